@@ -16,8 +16,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from bankmart.config import Config
-from bankmart.operators import (checks, customer, funnel, governance, portfolio, rollups,
-                                staging)
+from bankmart.operators import (checks, customer, function_views, funnel, governance,
+                                portfolio, rollups, staging)
 from bankmart.sources import schemas
 from bankmart.sources.raw import RawTables
 
@@ -201,6 +201,31 @@ class Project:
     def chk_freshness(self) -> DataFrame:
         return checks.freshness(dict(self.raw.items()), schemas.FRESHNESS_TESTS, self.cfg)
 
+    # --- public functions over whole tables --------------------------------
+    @cached_property
+    def fn_safe_divide(self) -> DataFrame:
+        return function_views.fn_safe_divide(self.stg_credit_cards)
+
+    @cached_property
+    def fn_delinquency_bucket(self) -> DataFrame:
+        return function_views.fn_delinquency_bucket(self.stg_loans)
+
+    @cached_property
+    def fn_utilization_risk(self) -> DataFrame:
+        return function_views.fn_utilization_risk(self.stg_credit_cards)
+
+    @cached_property
+    def fn_months_since(self) -> DataFrame:
+        return function_views.fn_months_since(self.stg_loans, self.cfg)
+
+    @cached_property
+    def fn_days_since(self) -> DataFrame:
+        return function_views.fn_days_since(self.stg_accounts, self.cfg)
+
+    @cached_property
+    def fn_surrogate_key(self) -> DataFrame:
+        return function_views.fn_surrogate_key(self.stg_accounts)
+
     def source_tests(self) -> dict[str, DataFrame]:
         """Only the raw-source tests (what a source test run executes)."""
         raw = dict(self.raw.items())
