@@ -32,16 +32,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only if none is configured."""
-    current = spark.sparkContext.getCheckpointDir()
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, the benchmark) gets a folder of its own
+    when none is configured; on a cluster an unset folder stays unset, since
+    a machine-local folder would not survive the loss of that machine.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            return None
         configured = tempfile.mkdtemp(prefix="bankmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+    sc.setCheckpointDir(configured)
     return configured
 
 

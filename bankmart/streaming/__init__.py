@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The modelled project is batch only: raw data lands once a day and every
+model is a full rebuild; there are no watermarks, windows or stateful
+operators to express with Structured Streaming. The one time-sensitive
+operator, source freshness, is a batch check in ``bankmart.operators.checks``.
+"""
