@@ -95,7 +95,8 @@ def size_initial_partitions(spark: SparkSession, raw: RawTables,
         return None
     total = 0
     for _, df in raw.items():
-        total += int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        total += int(size if isinstance(size, int) else size.toString())
     parallelism = spark.sparkContext.defaultParallelism
     n = max(parallelism, -(-total // target_bytes))
     spark.conf.set(key, str(n))
