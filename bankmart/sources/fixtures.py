@@ -205,10 +205,23 @@ def transactions(lineitem: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
+# The driver tables' columns used here, declared so reads skip schema inference
+# and prune to these columns from the start.
+DRIVER_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "orders": ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+               "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"),
+    "lineitem": ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                 "l_quantity DOUBLE, l_extendedprice DOUBLE, l_returnflag STRING"),
+}
+
+
 def raw_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE_AS_OF) -> RawTables:
     """The five raw banking tables derived from ``sf_dir``'s driver tables."""
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     orders = read("orders")
     return from_frames(
