@@ -43,29 +43,33 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out.withColumn("status", _status(F.col("failures")))
 
 
-def _by_table(specs: Iterable, kind: type) -> dict[str, list]:
-    grouped: dict[str, list] = {}
-    for s in specs:
-        if isinstance(s, kind):
-            grouped.setdefault(s.table, []).append(s)
-    return grouped
+_COLUMN_KINDS = (NotNull, AcceptedValues)
+
+
+def _violation(t) -> F.Column:
+    c = F.col(t.column)
+    if isinstance(t, NotNull):
+        return c.isNull()
+    return c.isNotNull() & ~c.isin(*t.values)   # accepted values: nulls pass
 
 
-def _fused_column_checks(tables: Mapping[str, DataFrame], specs: Iterable,
-                         kind: type) -> DataFrame:
-    """One aggregation per table computing every test of ``kind`` on it."""
+def column_tests(tables: Mapping[str, DataFrame], specs: Iterable) -> DataFrame:
+    """All not_null and accepted_values tests: ONE aggregation per table.
+
+    Every test of a table is a conditional count in the same global
+    aggregate, so the table is scanned once whatever the number of tests
+    (partial counts per task, one small merge), and the one-row result is
+    unpivoted into one row per test.
+    """
+    by_table: dict[str, list] = {}
+    for s in specs:
+        if isinstance(s, _COLUMN_KINDS):
+            by_table.setdefault(s.table, []).append(s)
     parts = []
-    for table, tests in _by_table(specs, kind).items():
-        measures = []
-        for i, t in enumerate(tests):
-            c = F.col(t.column)
-            if kind is NotNull:
-                bad = c.isNull()
-            else:  # accepted values: nulls pass
-                bad = c.isNotNull() & ~c.isin(*t.values)
-            measures.append(F.count(F.when(bad, F.lit(1))).alias(f"m{i}"))
-        counted = tables[table].agg(*measures)
-        rows = F.array(*[F.struct(*_result(kind_name(kind), table, t.column, F.col(f"m{i}")))
+    for table, tests in by_table.items():
+        counted = tables[table].agg(*[F.count(F.when(_violation(t), F.lit(1))).alias(f"m{i}")
+                                      for i, t in enumerate(tests)])
+        rows = F.array(*[F.struct(*_result(kind_name(type(t)), table, t.column, F.col(f"m{i}")))
                          for i, t in enumerate(tests)])
         parts.append(counted.select(F.inline(rows)))
     return _union(parts)
@@ -77,11 +81,25 @@ def kind_name(kind: type) -> str:
 
 
 def not_null(tables: Mapping[str, DataFrame], specs: Iterable) -> DataFrame:
-    return _fused_column_checks(tables, specs, NotNull)
+    return column_tests(tables, [s for s in specs if isinstance(s, NotNull)])
 
 
 def accepted_values(tables: Mapping[str, DataFrame], specs: Iterable) -> DataFrame:
-    return _fused_column_checks(tables, specs, AcceptedValues)
+    return column_tests(tables, [s for s in specs if isinstance(s, AcceptedValues)])
+
+
+def all_tests(tables: Mapping[str, DataFrame], specs: Iterable) -> DataFrame:
+    """Every declared test in one result: fused column tests, unique, relationships."""
+    specs = list(specs)
+    parts = [column_tests(tables, specs)]
+    if any(isinstance(s, Unique) for s in specs):
+        parts.append(unique(tables, specs))
+    if any(isinstance(s, Relationship) for s in specs):
+        parts.append(relationships(tables, specs))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def unique(tables: Mapping[str, DataFrame], specs: Iterable) -> DataFrame:

@@ -226,6 +226,10 @@ class Project:
     def fn_surrogate_key(self) -> DataFrame:
         return function_views.fn_surrogate_key(self.stg_accounts)
 
+    def all_tests(self) -> DataFrame:
+        """Every declared source and mart test, one row each, in one DataFrame."""
+        return checks.all_tests(self._test_tables(), schemas.SOURCE_TESTS + schemas.MART_TESTS)
+
     def source_tests(self) -> dict[str, DataFrame]:
         """Only the raw-source tests (what a source test run executes)."""
         raw = dict(self.raw.items())

@@ -99,3 +99,12 @@ def test_source_tests_only(project):
     tests = project.source_tests()
     assert tests["not_null"].count() == 29 and tests["unique"].count() == 6
     assert tests["accepted_values"].count() == 9 and tests["relationships"].count() == 4
+
+
+def test_all_tests_in_one_result(project):
+    rows = project.all_tests().collect()
+    kinds = {}
+    for r in rows:
+        kinds[r.test] = kinds.get(r.test, 0) + 1
+    assert kinds == {"not_null": 36, "accepted_values": 12, "unique": 7, "relationships": 4}
+    assert sum(1 for r in rows if r.status == "FAIL") == 11
