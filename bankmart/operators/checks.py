@@ -102,14 +102,60 @@ def all_tests(tables: Mapping[str, DataFrame], specs: Iterable) -> DataFrame:
     return out
 
 
-def unique(tables: Mapping[str, DataFrame], specs: Iterable) -> DataFrame:
-    """Failures = number of distinct non-null values that occur more than once."""
+# Above this estimated input size a unique test first shuffles 8-byte hashes
+# instead of the keys themselves (see _duplicate_keys_hashed).
+HASHED_UNIQUE_MIN_BYTES = 1 << 30
+# Largest set of colliding hashes that is broadcast (8 bytes each: 32 MB).
+MAX_BROADCAST_HASHES = 4_000_000
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
+
+
+def _duplicate_keys(keys: DataFrame) -> DataFrame:
+    """Distinct non-null keys occurring more than once: one partially aggregated count."""
+    return keys.groupBy("k").count().where(F.col("count") > 1)
+
+
+def _duplicate_keys_hashed(keys: DataFrame) -> DataFrame:
+    """The same result, exact, for very large tables with long keys.
+
+    1. Count xxhash64(key) per hash: the shuffle carries 8 bytes per key
+       instead of the key. Hashes seen once cannot belong to a duplicate.
+    2. The colliding hashes (true duplicates plus rare accidental collisions)
+       are checkpointed and counted. If their number is within
+       MAX_BROADCAST_HASHES they are broadcast and filter the keys map-side,
+       so only candidate keys reach the final exact count per key; beyond
+       that bound (massively duplicated data) the plain count per key runs.
+    """
+    spark = keys.sparkSession
+    hashed = keys.select("k", F.xxhash64("k").alias("h"))
+    colliding = hashed.groupBy("h").count().where(F.col("count") > 1).select("h")
+    if not spark.sparkContext.getCheckpointDir():
+        return _duplicate_keys(keys)
+    colliding = colliding.checkpoint(eager=True)
+    if colliding.count() > MAX_BROADCAST_HASHES:
+        return _duplicate_keys(keys)
+    candidates = hashed.join(F.broadcast(colliding), "h", "left_semi").select("k")
+    return _duplicate_keys(candidates)
+
+
+def unique(tables: Mapping[str, DataFrame], specs: Iterable,
+           hashed_min_bytes: int = HASHED_UNIQUE_MIN_BYTES) -> DataFrame:
+    """Failures = number of distinct non-null values that occur more than once.
+
+    Small inputs: one count per key (partial aggregation, one shuffle).
+    Inputs estimated above ``hashed_min_bytes``: the two-phase hashed form,
+    which shuffles hashes rather than keys and stays exact.
+    """
     parts = []
     for t in (s for s in specs if isinstance(s, Unique)):
-        dupes = (tables[t.table].select(F.col(t.column).alias("k"))
-                 .where(F.col("k").isNotNull())
-                 .groupBy("k").count()
-                 .where(F.col("count") > 1))
+        keys = (tables[t.table].select(F.col(t.column).alias("k"))
+                .where(F.col("k").isNotNull()))
+        big = _estimated_bytes(tables[t.table]) >= hashed_min_bytes
+        dupes = _duplicate_keys_hashed(keys) if big else _duplicate_keys(keys)
         parts.append(dupes.agg(*_result("unique", t.table, t.column, F.count(F.lit(1)))))
     return _union(parts)
 

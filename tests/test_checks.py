@@ -108,3 +108,17 @@ def test_all_tests_in_one_result(project):
         kinds[r.test] = kinds.get(r.test, 0) + 1
     assert kinds == {"not_null": 36, "accepted_values": 12, "unique": 7, "relationships": 4}
     assert sum(1 for r in rows if r.status == "FAIL") == 11
+
+
+def test_hashed_unique_matches_plain(spark, project):
+    tables = dict(project.raw.items())
+    specs = [s for s in schemas.SOURCE_TESTS if isinstance(s, schemas.Unique)]
+    plain = failures(checks.unique(tables, specs))
+    hashed = failures(checks.unique(tables, specs, hashed_min_bytes=0))
+    assert hashed == plain
+    # planted duplicates, including a hot value and nulls
+    rows = [("hot",)] * 500 + [(f"k{i}",) for i in range(300)] + [("k7",), ("k9",), (None,)] * 2
+    df = spark.createDataFrame(rows, "k string")
+    spec = [schemas.Unique("t", "k")]
+    assert checks.unique({"t": df}, spec, hashed_min_bytes=0).first().failures == 3
+    assert checks.unique({"t": df}, spec).first().failures == 3
