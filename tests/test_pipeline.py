@@ -93,3 +93,17 @@ def test_entry_smoke(spark):
 def test_queries_are_lazy(spark, sf_small, name):
     df = E.queries()[name](spark, sf_small)
     assert df.isStreaming is False and len(df.columns) > 0
+
+
+def test_command_line_run_and_test(spark, sf_small):
+    from bankmart.__main__ import main
+
+    root = tempfile.mkdtemp(prefix="bankmart-cli-")
+    for name, df in fixtures.raw_tables(spark, sf_small).items():
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+    common = ["--raw-root", root, "--as-of", "2001-11-05", "--start-date", "2000-01-01",
+              "--env", "cli"]
+    assert main(["run", "--select", "marts.finance", *common]) == 0
+    assert spark.table("cli_finance.mart_portfolio_performance").count() > 0
+    assert main(["test", "--sources-only", *common]) == 1        # planted violations fail
+    assert main(["freshness", *common]) == 0
