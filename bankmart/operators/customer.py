@@ -2,8 +2,9 @@
 
 Transactions are the only large fact. They are filtered to the rolling year
 and collapsed to one row per (account, month) *before* the join with
-accounts, so the join and every later shuffle move at most 13 rows per
-account instead of every transaction; a hot account is reduced map-side by
+accounts, so the join and every later shuffle move one row per account and
+active month (13 in the window, plus future-dated ones) instead of every
+transaction; a hot account is reduced map-side by
 partial aggregation and cannot skew any task.
 """
 

@@ -103,31 +103,54 @@ FUNNEL_COLUMNS = ("record_type", "cohort_month", "acquisition_channel", "custome
                   "avg_relationship_value", "avg_engagement_score", "cohort_total_spend")
 
 
-def mart_acquisition_funnel(cohorts: DataFrame, channels: DataFrame) -> DataFrame:
-    """Cohort rows and channel rows in one table; the month is rendered as text."""
-    null = lambda t: F.lit(None).cast(t)
-    cohort_rows = cohorts.select(
-        F.lit("ACQUISITION_COHORT").alias("record_type"),
-        F.col("cohort_month").cast("string").alias("cohort_month"),
-        "acquisition_channel", "customer_segment", "new_customers",
-        "multi_product_customers", "active", "loyal", "dormant", "at_risk",
-        "activation_rate_pct",
-        F.col("churn_risk_rate_pct").cast("decimal(38,6)").alias("churn_risk_rate_pct"),
-        "avg_relationship_value", "avg_engagement_score", "cohort_total_spend",
+def mart_acquisition_funnel(customer_360: DataFrame) -> DataFrame:
+    """Cohort rows and channel rows in one table, from ONE pass over the customers.
+
+    The two row kinds are aggregations of the same input at two grains, so
+    they are computed as grouping sets ((month, channel, segment), (channel))
+    of a single aggregate: each customer row feeds both grains before the
+    map-side partial aggregation, and there is one shuffle instead of two
+    independent computations of the customer 360. ``grouping_id() = 0``
+    marks the cohort grain. The month is rendered as text; the channel rows
+    carry the unrounded churn rate and nulls where a column has no meaning.
+    """
+    grain = customer_360.withColumn("cohort_month", C.month_start("customer_since_date"))
+    agg = grain.groupingSets(
+        [["cohort_month", "acquisition_channel", "customer_segment"], ["acquisition_channel"]],
+        "cohort_month", "acquisition_channel", "customer_segment",
+    ).agg(
+        F.grouping_id().alias("_gid"),
+        F.count("customer_id").alias("_n"),
+        _count_if(F.col("product_depth") >= 2).alias("_multi"),
+        _count_if(_stage() == "ACTIVE").alias("_active"),
+        _count_if(_stage() == "LOYAL").alias("_loyal"),
+        _count_if(_stage() == "DORMANT").alias("_dormant"),
+        _count_if(_stage() == "AT_RISK").alias("_at_risk"),
+        _count_if((_stage() != "ONBOARDING") & (_tenure() > ONBOARDING_DAYS)).alias("_activated"),
+        _count_if(_tenure() > ONBOARDING_DAYS).alias("_seasoned"),
+        _count_if(_high_churn()).alias("_high_churn"),
+        _avg_exact("total_relationship_value").alias("_avg_value"),
+        F.avg("engagement_score").alias("_avg_score"),
+        F.sum("total_spend_12m").cast(C.AMOUNT_SUM).alias("_spend"),
     )
-    channel_rows = channels.select(
-        F.lit("CHANNEL_SUMMARY").alias("record_type"),
-        null("string").alias("cohort_month"),
+    cohort = F.col("_gid") == 0
+    only_cohort = lambda c: F.when(cohort, c)
+    return agg.select(
+        F.when(cohort, F.lit("ACQUISITION_COHORT")).otherwise(F.lit("CHANNEL_SUMMARY"))
+        .alias("record_type"),
+        only_cohort(F.col("cohort_month").cast("string")).alias("cohort_month"),
         "acquisition_channel",
-        null("string").alias("customer_segment"),
-        F.col("total_customers").alias("new_customers"),
-        null("bigint").alias("multi_product_customers"),
-        null("bigint").alias("active"), null("bigint").alias("loyal"),
-        null("bigint").alias("dormant"), null("bigint").alias("at_risk"),
-        null("decimal(38,2)").alias("activation_rate_pct"),
-        F.col("high_churn_rate_pct").alias("churn_risk_rate_pct"),
-        F.col("avg_ltv").alias("avg_relationship_value"),
-        "avg_engagement_score",
-        null(C.AMOUNT_SUM).alias("cohort_total_spend"),
+        only_cohort(F.col("customer_segment")).alias("customer_segment"),
+        F.col("_n").alias("new_customers"),
+        only_cohort(F.col("_multi")).alias("multi_product_customers"),
+        only_cohort(F.col("_active")).alias("active"),
+        only_cohort(F.col("_loyal")).alias("loyal"),
+        only_cohort(F.col("_dormant")).alias("dormant"),
+        only_cohort(F.col("_at_risk")).alias("at_risk"),
+        only_cohort(C.count_pct("_activated", "_seasoned")).alias("activation_rate_pct"),
+        F.when(cohort, C.count_pct("_high_churn", "_n").cast("decimal(38,6)"))
+        .otherwise(C.count_pct("_high_churn", "_n", 6)).alias("churn_risk_rate_pct"),
+        F.col("_avg_value").alias("avg_relationship_value"),
+        F.col("_avg_score").alias("avg_engagement_score"),
+        only_cohort(F.col("_spend")).alias("cohort_total_spend"),
     )
-    return cohort_rows.unionByName(channel_rows)

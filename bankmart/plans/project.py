@@ -113,8 +113,8 @@ class Project:
 
     @cached_property
     def mart_acquisition_funnel(self) -> DataFrame:
-        return self._pick("mart_acquisition_funnel", lambda: funnel.mart_acquisition_funnel(
-            self.acquisition_cohorts, self.channel_summary))
+        return self._pick("mart_acquisition_funnel",
+                          lambda: funnel.mart_acquisition_funnel(self.mart_customer_360))
 
     # --- finance ----------------------------------------------------------
     @cached_property
