@@ -151,3 +151,31 @@ def test_hot_customer_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_bucketed_landing_removes_account_shuffles(spark, sf_small):
+    """Transactions and accounts bucketed by account_id: the (account, month)
+    aggregation and the join with accounts need no shuffle."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        spark.sql("CREATE DATABASE IF NOT EXISTS bucketed_raw")
+        for name, df in fixtures.raw_tables(spark, sf_small).items():
+            writer = df.write.mode("overwrite").format("parquet")
+            if name in ("transactions", "accounts"):
+                writer = writer.bucketBy(8, "account_id").sortBy("account_id")
+            writer.saveAsTable(f"bucketed_raw.{name}")
+        project = Project(raw.read_catalog(spark, "bucketed_raw"), FIXTURE_CONFIG)
+        plan = plan_of(project.txn_activity_12m)
+        keys = [re.sub(r"#\d+", "", k) for k in
+                re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)]
+        assert all(not k.startswith("account_id") for k in keys), keys
+        assert len(keys) == 2
+        plain = Project(fixtures.raw_tables(spark, sf_small), FIXTURE_CONFIG).txn_activity_12m
+        assert sorted(project.txn_activity_12m.collect()) == sorted(plain.collect())
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
