@@ -704,6 +704,40 @@ SELECT account_id, customer_id, closed_date,
 FROM stg_accounts"""
 
 
+# Decimal output columns per query. The comparison hands both engines' results
+# over as DOUBLE: exact decimals convert to the same correctly rounded double
+# in Spark and DuckDB, and doubles survive any client-side conversion (pandas
+# turns DuckDB decimals into floats but Spark's into Decimal objects).
+# tests/test_oracle.py checks this list against the Spark schemas.
+DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
+    'stg_accounts': ('balance', 'available_balance', 'interest_rate'),
+    'stg_transactions': ('amount', 'amount_abs'),
+    'stg_loans': ('principal_amount', 'outstanding_balance', 'interest_rate', 'monthly_payment', 'amount_paid_down', 'pct_paid_down'),
+    'stg_credit_cards': ('credit_limit', 'current_balance', 'minimum_payment_due', 'last_payment_amount', 'annual_fee', 'interest_rate', 'utilization_rate_pct', 'available_credit'),
+    'account_summary': ('total_deposit_balance', 'checking_balance', 'savings_balance'),
+    'loan_summary': ('total_loan_balance', 'total_loan_originated'),
+    'card_summary': ('total_credit_limit', 'total_card_balance', 'avg_utilization_rate'),
+    'txn_activity_12m': ('total_spend_12m', 'total_fees_12m'),
+    'int_customer_accounts': ('balance', 'available_balance', 'interest_rate'),
+    'int_customer_financials': ('total_deposit_balance', 'checking_balance', 'savings_balance', 'total_loan_balance', 'total_loan_originated', 'total_credit_limit', 'total_card_balance', 'avg_utilization_rate', 'total_relationship_value'),
+    'loan_portfolio': ('total_originated', 'total_outstanding', 'total_paid_down', 'avg_interest_rate', 'delinquent_balance', 'charged_off_balance'),
+    'card_portfolio': ('total_credit_limit', 'total_outstanding_balance', 'total_available_credit', 'avg_utilization_rate', 'total_annual_fees'),
+    'deposit_portfolio': ('total_balance', 'avg_balance', 'total_available', 'avg_interest_rate'),
+    'delinquency_summary': ('total_outstanding', 'total_delinquent_balance', 'delinquency_rate_pct'),
+    'mart_portfolio_performance': ('outstanding_balance', 'avg_interest_rate', 'delinquent_balance', 'utilization_rate'),
+    'mart_customer_360': ('total_deposit_balance', 'checking_balance', 'savings_balance', 'total_loan_balance', 'total_credit_limit', 'total_card_balance', 'avg_utilization_rate', 'total_relationship_value', 'total_spend_12m', 'total_fees_12m'),
+    'acquisition_cohorts': ('avg_relationship_value', 'cohort_total_spend', 'activation_rate_pct', 'churn_risk_rate_pct'),
+    'channel_summary': ('avg_ltv', 'loyal_rate_pct', 'high_churn_rate_pct'),
+    'ltv_distribution': ('total_value', 'avg_value'),
+    'mart_acquisition_funnel': ('activation_rate_pct', 'churn_risk_rate_pct', 'avg_relationship_value', 'cohort_total_spend'),
+    'dq_customers': ('completeness_score_pct',),
+    'dq_accounts': ('completeness_score_pct',),
+    'dq_loans': ('completeness_score_pct',),
+    'dq_scorecard': ('completeness_score_pct',),
+    'fn_safe_divide': ('current_balance', 'credit_limit', 'balance_to_limit'),
+}
+
+
 def _deps(name: str, seen: set[str], order: list[str]) -> None:
     if name in seen:
         return
@@ -715,13 +749,17 @@ def _deps(name: str, seen: set[str], order: list[str]) -> None:
     order.append(name)
 
 
-def query(name: str) -> str:
+def query(name: str, decimals_as_double: bool = False) -> str:
     """A self-contained statement producing the ``name`` model."""
     order: list[str] = []
     _deps(name, set(), order)
     ctes = ",\n".join(f"{n} AS (\n{CTES[n].strip()}\n)" for n in order)
-    return f"WITH {ctes}\nSELECT * FROM {name}"
+    select = "*"
+    if decimals_as_double and DECIMAL_COLUMNS.get(name):
+        casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in DECIMAL_COLUMNS[name])
+        select = f"* REPLACE ({casts})"
+    return f"WITH {ctes}\nSELECT {select} FROM {name}"
 
 
-def all_queries(names) -> dict[str, str]:
-    return {n: query(n) for n in names}
+def all_queries(names, decimals_as_double: bool = True) -> dict[str, str]:
+    return {n: query(n, decimals_as_double) for n in names}

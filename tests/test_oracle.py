@@ -26,6 +26,31 @@ def test_every_query_has_oracle_sql():
     assert set(E.queries()) == set(E.oracle_sql())
 
 
+def test_decimal_column_list_matches_models(spark, sf_small):
+    from pyspark.sql.types import DecimalType
+
+    from oracle.sql import DECIMAL_COLUMNS
+
+    project = E.project(spark, sf_small)
+    for name in E.QUERY_NAMES:
+        model = project.model(name)
+        decimals = tuple(f.name for f in model.schema.fields if isinstance(f.dataType, DecimalType))
+        assert decimals == DECIMAL_COLUMNS.get(name, ()), name
+
+
+def test_exact_oracle_without_double_casts(spark, sf_small, duck):
+    """The decimals themselves also match exactly (before the comparison casts)."""
+    from oracle.sql import query
+
+    project = E.project(spark, sf_small)
+    for name in ("mart_customer_360", "mart_portfolio_performance", "mart_acquisition_funnel"):
+        df = project.model(name)
+        rel = duck.sql(query(name))
+        order = [rel.columns.index(c) for c in df.columns]
+        assert Counter(tuple(r) for r in df.collect()) == \
+            Counter(tuple(r[i] for i in order) for r in rel.fetchall())
+
+
 @pytest.mark.parametrize("name", list(E.QUERY_NAMES))
 def test_query_matches_oracle(spark, sf_small, duck, name):
     df = E.queries()[name](spark, sf_small)
