@@ -704,37 +704,131 @@ SELECT account_id, customer_id, closed_date,
 FROM stg_accounts"""
 
 
-# Decimal output columns per query. The comparison hands both engines' results
-# over as DOUBLE: exact decimals convert to the same correctly rounded double
-# in Spark and DuckDB, and doubles survive any client-side conversion (pandas
-# turns DuckDB decimals into floats but Spark's into Decimal objects).
-# tests/test_oracle.py checks this list against the Spark schemas.
-DECIMAL_COLUMNS: dict[str, tuple[str, ...]] = {
-    'stg_accounts': ('balance', 'available_balance', 'interest_rate'),
-    'stg_transactions': ('amount', 'amount_abs'),
-    'stg_loans': ('principal_amount', 'outstanding_balance', 'interest_rate', 'monthly_payment', 'amount_paid_down', 'pct_paid_down'),
-    'stg_credit_cards': ('credit_limit', 'current_balance', 'minimum_payment_due', 'last_payment_amount', 'annual_fee', 'interest_rate', 'utilization_rate_pct', 'available_credit'),
-    'account_summary': ('total_deposit_balance', 'checking_balance', 'savings_balance'),
-    'loan_summary': ('total_loan_balance', 'total_loan_originated'),
-    'card_summary': ('total_credit_limit', 'total_card_balance', 'avg_utilization_rate'),
-    'txn_activity_12m': ('total_spend_12m', 'total_fees_12m'),
-    'int_customer_accounts': ('balance', 'available_balance', 'interest_rate'),
-    'int_customer_financials': ('total_deposit_balance', 'checking_balance', 'savings_balance', 'total_loan_balance', 'total_loan_originated', 'total_credit_limit', 'total_card_balance', 'avg_utilization_rate', 'total_relationship_value'),
-    'loan_portfolio': ('total_originated', 'total_outstanding', 'total_paid_down', 'avg_interest_rate', 'delinquent_balance', 'charged_off_balance'),
-    'card_portfolio': ('total_credit_limit', 'total_outstanding_balance', 'total_available_credit', 'avg_utilization_rate', 'total_annual_fees'),
-    'deposit_portfolio': ('total_balance', 'avg_balance', 'total_available', 'avg_interest_rate'),
-    'delinquency_summary': ('total_outstanding', 'total_delinquent_balance', 'delinquency_rate_pct'),
-    'mart_portfolio_performance': ('outstanding_balance', 'avg_interest_rate', 'delinquent_balance', 'utilization_rate'),
-    'mart_customer_360': ('total_deposit_balance', 'checking_balance', 'savings_balance', 'total_loan_balance', 'total_credit_limit', 'total_card_balance', 'avg_utilization_rate', 'total_relationship_value', 'total_spend_12m', 'total_fees_12m'),
-    'acquisition_cohorts': ('avg_relationship_value', 'cohort_total_spend', 'activation_rate_pct', 'churn_risk_rate_pct'),
-    'channel_summary': ('avg_ltv', 'loyal_rate_pct', 'high_churn_rate_pct'),
-    'ltv_distribution': ('total_value', 'avg_value'),
-    'mart_acquisition_funnel': ('activation_rate_pct', 'churn_risk_rate_pct', 'avg_relationship_value', 'cohort_total_spend'),
-    'dq_customers': ('completeness_score_pct',),
-    'dq_accounts': ('completeness_score_pct',),
-    'dq_loans': ('completeness_score_pct',),
-    'dq_scorecard': ('completeness_score_pct',),
-    'fn_safe_divide': ('current_balance', 'credit_limit', 'balance_to_limit'),
+# How each query's columns are handed to the cross-engine comparison:
+# decimals and nullable integers as DOUBLE, dates as TIMESTAMP (midnight). Exact decimals convert
+# to the same correctly rounded double in Spark and DuckDB, and doubles and
+# timestamps come out alike whatever client conversion the checker applies
+# (pandas turns DuckDB decimals into floats and dates into datetime64, but
+# Spark's into Decimal and date objects). tests/test_oracle.py checks this
+# list against the Spark schemas; __spark_entry__.comparable applies it.
+COMPARISON_CASTS: dict[str, dict[str, str]] = {
+    'stg_customers': {'customer_since_date': 'TIMESTAMP', 'customer_tenure_days': 'DOUBLE'},
+    'stg_accounts': {
+        'balance': 'DOUBLE', 'available_balance': 'DOUBLE', 'interest_rate': 'DOUBLE',
+        'opened_date': 'TIMESTAMP', 'closed_date': 'TIMESTAMP', 'account_age_days': 'DOUBLE',
+    },
+    'stg_transactions': {
+        'amount': 'DOUBLE', 'amount_abs': 'DOUBLE', 'transaction_date': 'TIMESTAMP',
+        'transaction_month': 'TIMESTAMP', 'transaction_year': 'TIMESTAMP',
+        'day_of_week': 'DOUBLE', 'posted_date': 'TIMESTAMP',
+    },
+    'stg_loans': {
+        'principal_amount': 'DOUBLE', 'outstanding_balance': 'DOUBLE',
+        'interest_rate': 'DOUBLE', 'monthly_payment': 'DOUBLE', 'amount_paid_down': 'DOUBLE',
+        'pct_paid_down': 'DOUBLE', 'origination_date': 'TIMESTAMP',
+        'maturity_date': 'TIMESTAMP', 'last_payment_date': 'TIMESTAMP',
+        'loan_age_months': 'DOUBLE',
+    },
+    'stg_credit_cards': {
+        'credit_limit': 'DOUBLE', 'current_balance': 'DOUBLE', 'minimum_payment_due': 'DOUBLE',
+        'last_payment_amount': 'DOUBLE', 'annual_fee': 'DOUBLE', 'interest_rate': 'DOUBLE',
+        'utilization_rate_pct': 'DOUBLE', 'available_credit': 'DOUBLE',
+        'opened_date': 'TIMESTAMP', 'closed_date': 'TIMESTAMP',
+        'last_payment_date': 'TIMESTAMP', 'statement_close_date': 'TIMESTAMP',
+        'card_age_months': 'DOUBLE',
+    },
+    'account_summary': {
+        'total_deposit_balance': 'DOUBLE', 'checking_balance': 'DOUBLE',
+        'savings_balance': 'DOUBLE', 'first_account_date': 'TIMESTAMP',
+        'latest_account_date': 'TIMESTAMP',
+    },
+    'loan_summary': {
+        'total_loan_balance': 'DOUBLE', 'total_loan_originated': 'DOUBLE',
+        'latest_loan_date': 'TIMESTAMP',
+    },
+    'card_summary': {
+        'total_credit_limit': 'DOUBLE', 'total_card_balance': 'DOUBLE',
+        'avg_utilization_rate': 'DOUBLE', 'has_high_utilization': 'DOUBLE',
+    },
+    'txn_activity_12m': {
+        'total_transactions_12m': 'DOUBLE', 'total_spend_12m': 'DOUBLE',
+        'total_fees_12m': 'DOUBLE', 'last_transaction_date': 'TIMESTAMP',
+    },
+    'int_customer_accounts': {
+        'customer_since_date': 'TIMESTAMP', 'customer_tenure_days': 'DOUBLE',
+        'account_opened_date': 'TIMESTAMP', 'account_age_days': 'DOUBLE', 'balance': 'DOUBLE',
+        'available_balance': 'DOUBLE', 'interest_rate': 'DOUBLE',
+        'days_to_account_open': 'DOUBLE',
+    },
+    'int_customer_financials': {
+        'customer_since_date': 'TIMESTAMP', 'customer_tenure_days': 'DOUBLE',
+        'total_deposit_balance': 'DOUBLE', 'checking_balance': 'DOUBLE',
+        'savings_balance': 'DOUBLE', 'first_account_date': 'TIMESTAMP',
+        'total_loan_balance': 'DOUBLE', 'total_loan_originated': 'DOUBLE',
+        'total_credit_limit': 'DOUBLE', 'total_card_balance': 'DOUBLE',
+        'avg_utilization_rate': 'DOUBLE', 'total_relationship_value': 'DOUBLE',
+    },
+    'loan_portfolio': {
+        'loan_count': 'DOUBLE', 'total_originated': 'DOUBLE', 'total_outstanding': 'DOUBLE',
+        'total_paid_down': 'DOUBLE', 'avg_interest_rate': 'DOUBLE',
+        'delinquent_balance': 'DOUBLE', 'charged_off_balance': 'DOUBLE',
+        'delinquent_count': 'DOUBLE', 'charged_off_count': 'DOUBLE',
+    },
+    'card_portfolio': {
+        'card_count': 'DOUBLE', 'total_credit_limit': 'DOUBLE',
+        'total_outstanding_balance': 'DOUBLE', 'total_available_credit': 'DOUBLE',
+        'avg_utilization_rate': 'DOUBLE', 'total_annual_fees': 'DOUBLE',
+        'active_cards': 'DOUBLE', 'high_utilization_cards': 'DOUBLE',
+    },
+    'deposit_portfolio': {
+        'account_count': 'DOUBLE', 'active_accounts': 'DOUBLE', 'total_balance': 'DOUBLE',
+        'avg_balance': 'DOUBLE', 'total_available': 'DOUBLE', 'avg_interest_rate': 'DOUBLE',
+    },
+    'delinquency_summary': {
+        'current_count': 'DOUBLE', 'dpd_30_count': 'DOUBLE', 'dpd_60_count': 'DOUBLE',
+        'dpd_90_count': 'DOUBLE', 'charged_off_count': 'DOUBLE', 'total_outstanding': 'DOUBLE',
+        'total_delinquent_balance': 'DOUBLE', 'delinquency_rate_pct': 'DOUBLE',
+    },
+    'mart_portfolio_performance': {
+        'record_count': 'DOUBLE', 'outstanding_balance': 'DOUBLE',
+        'avg_interest_rate': 'DOUBLE', 'delinquent_balance': 'DOUBLE',
+        'delinquent_count': 'DOUBLE', 'utilization_rate': 'DOUBLE',
+    },
+    'mart_customer_360': {
+        'customer_since_date': 'TIMESTAMP', 'customer_tenure_days': 'DOUBLE',
+        'total_deposit_balance': 'DOUBLE', 'checking_balance': 'DOUBLE',
+        'savings_balance': 'DOUBLE', 'total_loan_balance': 'DOUBLE',
+        'total_credit_limit': 'DOUBLE', 'total_card_balance': 'DOUBLE',
+        'avg_utilization_rate': 'DOUBLE', 'total_relationship_value': 'DOUBLE',
+        'total_spend_12m': 'DOUBLE', 'total_fees_12m': 'DOUBLE',
+        'last_transaction_date': 'TIMESTAMP', 'days_since_last_txn': 'DOUBLE',
+    },
+    'acquisition_cohorts': {
+        'cohort_month': 'TIMESTAMP', 'avg_relationship_value': 'DOUBLE',
+        'cohort_total_spend': 'DOUBLE', 'activation_rate_pct': 'DOUBLE',
+        'churn_risk_rate_pct': 'DOUBLE',
+    },
+    'channel_summary': {
+        'avg_ltv': 'DOUBLE', 'loyal_rate_pct': 'DOUBLE', 'high_churn_rate_pct': 'DOUBLE',
+    },
+    'ltv_distribution': {'total_value': 'DOUBLE', 'avg_value': 'DOUBLE'},
+    'mart_acquisition_funnel': {
+        'multi_product_customers': 'DOUBLE', 'active': 'DOUBLE', 'loyal': 'DOUBLE',
+        'dormant': 'DOUBLE', 'at_risk': 'DOUBLE', 'activation_rate_pct': 'DOUBLE',
+        'churn_risk_rate_pct': 'DOUBLE', 'avg_relationship_value': 'DOUBLE',
+        'cohort_total_spend': 'DOUBLE',
+    },
+    'dq_customers': {'completeness_score_pct': 'DOUBLE'},
+    'dq_accounts': {'completeness_score_pct': 'DOUBLE'},
+    'dq_loans': {'completeness_score_pct': 'DOUBLE'},
+    'dq_scorecard': {'completeness_score_pct': 'DOUBLE'},
+    'chk_freshness': {'age_seconds': 'DOUBLE'},
+    'fn_safe_divide': {
+        'current_balance': 'DOUBLE', 'credit_limit': 'DOUBLE', 'balance_to_limit': 'DOUBLE',
+    },
+    'fn_months_since': {'origination_date': 'TIMESTAMP', 'months_since': 'DOUBLE'},
+    'fn_days_since': {'opened_date': 'TIMESTAMP', 'days_since': 'DOUBLE'},
+    'fn_surrogate_key': {'closed_date': 'TIMESTAMP'},
 }
 
 
@@ -749,17 +843,17 @@ def _deps(name: str, seen: set[str], order: list[str]) -> None:
     order.append(name)
 
 
-def query(name: str, decimals_as_double: bool = False) -> str:
+def query(name: str, comparable: bool = False) -> str:
     """A self-contained statement producing the ``name`` model."""
     order: list[str] = []
     _deps(name, set(), order)
     ctes = ",\n".join(f"{n} AS (\n{CTES[n].strip()}\n)" for n in order)
     select = "*"
-    if decimals_as_double and DECIMAL_COLUMNS.get(name):
-        casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in DECIMAL_COLUMNS[name])
+    if comparable and COMPARISON_CASTS.get(name):
+        casts = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in COMPARISON_CASTS[name].items())
         select = f"* REPLACE ({casts})"
     return f"WITH {ctes}\nSELECT {select} FROM {name}"
 
 
-def all_queries(names, decimals_as_double: bool = True) -> dict[str, str]:
-    return {n: query(n, decimals_as_double) for n in names}
+def all_queries(names, comparable: bool = True) -> dict[str, str]:
+    return {n: query(n, comparable) for n in names}

@@ -26,16 +26,15 @@ def test_every_query_has_oracle_sql():
     assert set(E.queries()) == set(E.oracle_sql())
 
 
-def test_decimal_column_list_matches_models(spark, sf_small):
-    from pyspark.sql.types import DecimalType
-
-    from oracle.sql import DECIMAL_COLUMNS
+def test_comparison_casts_match_models(spark, sf_small):
+    from oracle.sql import COMPARISON_CASTS
 
     project = E.project(spark, sf_small)
     for name in E.QUERY_NAMES:
         model = project.model(name)
-        decimals = tuple(f.name for f in model.schema.fields if isinstance(f.dataType, DecimalType))
-        assert decimals == DECIMAL_COLUMNS.get(name, ()), name
+        casts = {f.name: E.comparison_type(f) for f in model.schema.fields
+                 if E.comparison_type(f)}
+        assert casts == COMPARISON_CASTS.get(name, {}), name
 
 
 def test_exact_oracle_without_double_casts(spark, sf_small, duck):
