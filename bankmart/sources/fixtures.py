@@ -178,17 +178,21 @@ def transactions(lineitem: DataFrame, as_of: dt.date) -> DataFrame:
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     pk, sk, qty = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_quantity")
     txn_date = F.date_sub(F.lit(as_of), ((pk * 31 + sk * 17 + ln * 13) % 700).cast("int"))
+    # Every line item is a transaction. Lines of account orders stay on their
+    # account; lines of loan and card orders are booked to the account order
+    # of the same block of four keys, except one block in ten, whose lines
+    # keep a key no account has (planted orphans).
+    booked_to = F.when(((ok % 4) >= 2) & (ok % 40 != 2), ok - ok % 4).otherwise(ok)
     amount = _money(F.col("l_extendedprice"))
     return (
         lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                         "l_quantity", "l_extendedprice", "l_returnflag")
-        .where((ok % 4).isin(0, 1) | (ok % 40 == 2))
         .select(
             F.when((qty == 50) & (ln == 7), F.lit(None).cast("string"))
              .otherwise(F.concat(F.lit("T"), F.md5(F.concat_ws(
                  "|", ok.cast("string"), ln.cast("string"), pk.cast("string"),
                  sk.cast("string"))))).alias("transaction_id"),
-            F.concat(F.lit("A"), ok.cast("string")).alias("account_id"),
+            F.concat(F.lit("A"), booked_to.cast("string")).alias("account_id"),
             _case_map(ln, TXN_TYPE_BY_LINENUMBER, None).alias("transaction_type"),
             F.when(qty <= 44, F.lit("posted")).when(qty <= 46, F.lit("PENDING"))
              .when(qty <= 48, F.lit("REVERSED")).otherwise(F.lit("FAILED")).alias("status"),

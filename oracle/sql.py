@@ -189,7 +189,8 @@ SELECT
        ELSE 'T' || md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
                                  CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR))) END
     AS transaction_id,
-  'A' || l_orderkey AS account_id,
+  'A' || CASE WHEN l_orderkey % 4 >= 2 AND l_orderkey % 40 <> 2 THEN l_orderkey - l_orderkey % 4
+              ELSE l_orderkey END AS account_id,
   CASE l_linenumber WHEN 1 THEN 'debit' WHEN 2 THEN 'DEBIT ' WHEN 3 THEN 'CREDIT'
        WHEN 4 THEN 'TRANSFER' WHEN 5 THEN 'FEE' WHEN 6 THEN 'INTEREST' WHEN 7 THEN 'REVERSAL' END
     AS transaction_type,
@@ -203,7 +204,7 @@ SELECT
   {_TXN_DATE} AS transaction_date,
   {_TXN_DATE} + 1 AS posted_date,
   CAST({_TXN_DATE} AS TIMESTAMP) AS created_at
-FROM lineitem WHERE l_orderkey % 4 IN (0, 1) OR l_orderkey % 40 = 2"""
+FROM lineitem"""
 
 # --- staging ---------------------------------------------------------------
 

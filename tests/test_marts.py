@@ -19,7 +19,7 @@ def project(spark, sf_small):
 
 def test_raw_table_sizes(project):
     counts = {name: df.count() for name, df in project.raw.items()}
-    assert counts == {"customers": 150, "accounts": 750, "transactions": 3189, "loans": 375,
+    assert counts == {"customers": 150, "accounts": 750, "transactions": 6000, "loans": 375,
                       "credit_cards": 375}
 
 
@@ -32,11 +32,11 @@ def test_customer_360_one_row_per_customer(project):
 def test_customer_360_distributions(project):
     c360 = project.mart_customer_360
     stages = {r[0]: r[1] for r in c360.groupBy("lifecycle_stage").count().collect()}
-    assert stages == {"ACTIVE": 116, "AT_RISK": 20, "DORMANT": 4, "LOYAL": 8, "ONBOARDING": 2}
+    assert stages == {"ACTIVE": 65, "AT_RISK": 7, "DORMANT": 4, "LOYAL": 72, "ONBOARDING": 2}
     tiers = {r[0]: r[1] for r in c360.groupBy("ltv_tier").count().collect()}
     assert tiers == {"TIER_1_HIGH_VALUE": 56, "TIER_2_MID_VALUE": 92, "TIER_3_STANDARD": 2}
     churn = {r[0]: r[1] for r in c360.groupBy("churn_risk").count().collect()}
-    assert churn == {"HIGH": 4, "MEDIUM": 8, "LOW": 138}
+    assert churn == {"HIGH": 4, "MEDIUM": 2, "LOW": 144}
     depth = {r[0]: r[1] for r in c360.groupBy("product_depth").count().collect()}
     assert depth == {0: 1, 1: 6, 2: 43, 3: 100}
     agg = c360.agg(F.sum("total_relationship_value").alias("trv"),
@@ -44,8 +44,8 @@ def test_customer_360_distributions(project):
                    F.min("engagement_score").alias("lo"), F.max("engagement_score").alias("hi"),
                    F.sum(F.when(F.col("engagement_score") == 100, 1).otherwise(0)).alias("capped"),
                    ).first()
-    assert agg.trv == Decimal("13603340.70") and agg.spend == Decimal("20426268.78")
-    assert 0 <= agg.lo and agg.hi <= 100 and agg.capped == 42
+    assert agg.trv == Decimal("13603340.70") and agg.spend == Decimal("41836049.03")
+    assert 0 <= agg.lo and agg.hi <= 100 and agg.capped == 100
 
 
 def test_first_account_same_day_rule(project):
