@@ -189,9 +189,9 @@ def transactions(lineitem: DataFrame, as_of: dt.date) -> DataFrame:
                         "l_quantity", "l_extendedprice", "l_returnflag")
         .select(
             F.when((qty == 50) & (ln == 7), F.lit(None).cast("string"))
-             .otherwise(F.concat(F.lit("T"), F.md5(F.concat_ws(
-                 "|", ok.cast("string"), ln.cast("string"), pk.cast("string"),
-                 sk.cast("string"))))).alias("transaction_id"),
+             .otherwise(F.concat(F.lit("T"), F.concat_ws(
+                 "-", ok.cast("string"), ln.cast("string"), pk.cast("string"),
+                 sk.cast("string")))).alias("transaction_id"),
             F.concat(F.lit("A"), booked_to.cast("string")).alias("account_id"),
             _case_map(ln, TXN_TYPE_BY_LINENUMBER, None).alias("transaction_type"),
             F.when(qty <= 44, F.lit("posted")).when(qty <= 46, F.lit("PENDING"))

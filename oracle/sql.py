@@ -186,8 +186,8 @@ _TXN_DATE = f"({AS_OF} - CAST((31 * l_partkey + 17 * l_suppkey + 13 * l_linenumb
 CTES["raw_transactions"] = f"""
 SELECT
   CASE WHEN l_quantity = 50 AND l_linenumber = 7 THEN NULL
-       ELSE 'T' || md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
-                                 CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR))) END
+       ELSE 'T' || concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
+                             CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR)) END
     AS transaction_id,
   'A' || CASE WHEN l_orderkey % 4 >= 2 AND l_orderkey % 40 <> 2 THEN l_orderkey - l_orderkey % 4
               ELSE l_orderkey END AS account_id,
