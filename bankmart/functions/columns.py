@@ -10,6 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+__all__ = [
+    "ColumnOrName", "MONEY", "RATE", "AMOUNT_SUM", "MONEY_AVG", "RATE_AVG",
+    "col", "clean_upper", "clean_lower", "clean", "proper_case", "money", "rate", "nonzero",
+    "pct", "count_pct", "exact_avg", "ratio_at_least", "flag", "flag_int", "as_date",
+    "as_timestamp_ntz", "days_between", "months_between_boundaries", "month_start",
+    "year_start", "day_of_week_sunday0", "years_before",
+]
+
 ColumnOrName = Column | str
 
 MONEY = "decimal(18,2)"
