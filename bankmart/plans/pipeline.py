@@ -11,10 +11,17 @@
   lineage that a lost executor would otherwise have to replay.
 * Before writing, the initial shuffle partition count is sized from the raw
   input's byte size when the session leaves it unset (AQE then coalesces).
+* A table is published only after its job has committed: each build writes
+  a new version folder under the warehouse, and the table is then pointed at
+  it (metadata only). A job that fails, for instance after losing executors
+  beyond the retry limit, leaves the previous version of the table in place.
+  Older versions than the previous one are removed.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -103,6 +110,52 @@ def size_initial_partitions(spark: SparkSession, raw: RawTables,
     return n
 
 
+KEEP_VERSIONS = 2   # the published one and the one before it
+
+
+def _warehouse_root(spark: SparkSession) -> str:
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+
+
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
+
+
+def _prune_versions(spark: SparkSession, folder: str, keep: int, current: str) -> None:
+    """Delete version folders beyond the newest ``keep``; never the current one."""
+    fs, root = _hadoop_fs(spark, folder)
+    if not fs.exists(root):
+        return
+    versions = sorted(st.getPath().getName() for st in fs.listStatus(root)
+                      if st.isDirectory() and st.getPath().getName().startswith("v="))
+    for name in versions[:-max(keep, 1)]:
+        if name != current:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"), True)
+
+
+def publish_table(spark: SparkSession, df: DataFrame, target: str,
+                  keep_versions: int = KEEP_VERSIONS) -> str:
+    """Write ``df`` as a new version of table ``target``, then switch the table to it.
+
+    The data job writes to ``<warehouse>/<db>/<table>/v=<build>``; only when
+    it has committed is the catalog entry replaced (drop of the external
+    table entry + create on the new folder: no data is touched). Returns the
+    version folder.
+    """
+    db, table = target.split(".", 1)
+    folder = f"{_warehouse_root(spark)}/{db}.db/{table}"
+    name = f"v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"   # sorts by time
+    version = f"{folder}/{name}"
+    df.write.mode("errorifexists").parquet(version)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    spark.catalog.createTable(target, path=version, source="parquet")
+    _prune_versions(spark, folder, keep_versions, name)
+    return version
+
+
 @dataclass
 class BuildResult:
     built: dict[str, str] = field(default_factory=dict)   # model -> view/table name
@@ -134,10 +187,8 @@ def build(spark: SparkSession, raw: RawTables, cfg: Config | None = None,
                     project = Project(raw, cfg, overrides)
         df = project.model(spec.name)
         if spec.materialized == "table" and write:
-            db = layer_database(cfg, spec.layer)
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-            target = f"{db}.{spec.name}"
-            with_load_timestamp(df).write.mode("overwrite").format("parquet").saveAsTable(target)
+            target = f"{layer_database(cfg, spec.layer)}.{spec.name}"
+            publish_table(spark, with_load_timestamp(df), target)
             overrides[spec.name] = spark.table(target).drop(LOAD_TIMESTAMP)
             result.built[spec.name] = target
         else:
@@ -151,8 +202,6 @@ def load_seed(spark: SparkSession, path: str, cfg: Config | None = None,
               name: str = "raw_customers") -> str:
     """Load the customer seed CSV as a table in ``<env>_seeds``."""
     cfg = cfg or Config()
-    db = cfg.database("seeds")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    target = f"{db}.{name}"
-    read_seed_customers(spark, path).write.mode("overwrite").format("parquet").saveAsTable(target)
+    target = f"{cfg.database('seeds')}.{name}"
+    publish_table(spark, read_seed_customers(spark, path), target)
     return target

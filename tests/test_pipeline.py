@@ -107,3 +107,23 @@ def test_command_line_run_and_test(spark, sf_small):
     assert spark.table("cli_finance.mart_portfolio_performance").count() > 0
     assert main(["test", "--sources-only", *common]) == 1        # planted violations fail
     assert main(["freshness", *common]) == 0
+
+
+def test_failed_build_keeps_previous_table(spark):
+    """A job that fails while writing leaves the published table untouched."""
+    from pyspark.sql import functions as F
+
+    good = spark.range(5).withColumn("v", F.lit("first"))
+    pipeline.publish_table(spark, good, "pub_test.t")
+    bad = spark.range(5).withColumn("v", F.raise_error(F.lit("boom")))
+    with pytest.raises(Exception):
+        pipeline.publish_table(spark, bad, "pub_test.t")
+    assert {r.v for r in spark.table("pub_test.t").collect()} == {"first"}
+    newer = spark.range(3).withColumn("v", F.lit("second"))
+    for _ in range(3):
+        pipeline.publish_table(spark, newer, "pub_test.t")
+    assert spark.table("pub_test.t").count() == 3
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/pub_test.db/t"
+    fs, root = pipeline._hadoop_fs(spark, folder)
+    versions = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+    assert len(versions) == pipeline.KEEP_VERSIONS
