@@ -27,15 +27,18 @@ class RawTables:
         return getattr(self, name)
 
 
-def _conform(df: DataFrame, name: str) -> DataFrame:
+def _conform(df: DataFrame, name: str, lenient: bool = False) -> DataFrame:
     """Select the declared columns in order, cast to the declared types.
 
     The cast is a no-op for data landed with the declared types (then Parquet
-    filters on these columns still push down); it is the plain cast, so bad
-    values fail the run rather than turning into nulls.
+    filters on these columns still push down). By default it is the plain
+    (ANSI) cast, so a bad value fails the run rather than silently turning
+    into a null; ``lenient=True`` uses ``try_cast`` instead (bad values
+    become nulls, which the not_null tests then report).
     """
     schema = schemas.RAW_SCHEMAS[name]
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    cast = (lambda c, t: c.try_cast(t)) if lenient else (lambda c, t: c.cast(t))
+    return df.select([cast(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_parquet(spark: SparkSession, root: str) -> RawTables:
@@ -46,17 +49,18 @@ def read_parquet(spark: SparkSession, root: str) -> RawTables:
     })
 
 
-def read_catalog(spark: SparkSession, database: str = schemas.SOURCE_NAME) -> RawTables:
+def read_catalog(spark: SparkSession, database: str = schemas.SOURCE_NAME,
+                 lenient: bool = False) -> RawTables:
     """Raw tables registered in the catalog as ``<database>.<table>``."""
     return RawTables(**{
-        name: _conform(spark.table(f"{database}.{name}"), name)
+        name: _conform(spark.table(f"{database}.{name}"), name, lenient)
         for name in schemas.RAW_SCHEMAS
     })
 
 
-def from_frames(**frames: DataFrame) -> RawTables:
+def from_frames(lenient: bool = False, **frames: DataFrame) -> RawTables:
     """Wrap already-built DataFrames, conforming them to the raw schemas."""
-    return RawTables(**{name: _conform(df, name) for name, df in frames.items()})
+    return RawTables(**{name: _conform(df, name, lenient) for name, df in frames.items()})
 
 
 def read_seed_customers(spark: SparkSession, path: str) -> DataFrame:

@@ -118,3 +118,25 @@ def test_stg_credit_cards(spark, cfg):
     assert out["K4"].utilization_rate_pct == D("66.67")
     assert out["K1"].available_credit == D("100.00")
     assert out["K1"].card_age_months == 6                 # Dec 31 -> Jun 15
+
+
+def test_bad_raw_values_fail_unless_lenient(spark, cfg):
+    import pytest
+
+    from bankmart.sources import raw as raw_mod
+
+    text = spark.createDataFrame(
+        [("A1", "C1", "checking", "active", "usd", "12.50", "1.00", "0.0100", "2024-01-02", None,
+          None),
+         ("A2", "C1", "checking", "active", "usd", "n/a", "1.00", "0.0100", "2024-01-02", None,
+          None)],
+        ", ".join(f"{f.name} string" for f in schemas.ACCOUNTS.fields))
+    empty = lambda s: spark.createDataFrame([], s)
+    others = dict(customers=empty(schemas.CUSTOMERS), transactions=empty(schemas.TRANSACTIONS),
+                  loans=empty(schemas.LOANS), credit_cards=empty(schemas.CREDIT_CARDS))
+    strict = raw_mod.from_frames(accounts=text, **others)
+    with pytest.raises(Exception):
+        strict.accounts.collect()
+    lenient = raw_mod.from_frames(lenient=True, accounts=text, **others)
+    rows = {r.account_id: r.balance for r in lenient.accounts.collect()}
+    assert rows == {"A1": D("12.50"), "A2": None}
