@@ -151,11 +151,3 @@ def stg_credit_cards(raw: DataFrame, cfg: Config) -> DataFrame:
         C.months_between_boundaries(C.as_date("opened_date"), today).alias("card_age_months"),
     )
 
-
-STAGING_MODELS = {
-    "stg_customers": ("customers", stg_customers),
-    "stg_accounts": ("accounts", stg_accounts),
-    "stg_transactions": ("transactions", stg_transactions),
-    "stg_loans": ("loans", stg_loans),
-    "stg_credit_cards": ("credit_cards", stg_credit_cards),
-}
