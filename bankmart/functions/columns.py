@@ -46,18 +46,21 @@ def clean(c: ColumnOrName) -> Column:
     return F.trim(col(c))
 
 
-# A word starts after any character that is not a letter, digit or apostrophe.
-_WORD_BREAK = r"(?<=[^\p{Alnum}'])"
+# A word starts after any character that is not a letter, a digit, an
+# apostrophe or a space (spaces are initcap's own word break).
+_WORD_BREAK = r"([^\p{L}\p{N}' ])"
 
 
 def proper_case(c: ColumnOrName) -> Column:
     """Title case that also breaks words at punctuation: 'mary-jane' -> 'Mary-Jane'.
 
-    Spark's initcap only breaks at spaces, so split after every delimiter,
-    capitalise each piece and glue the pieces back together.
+    Spark's initcap only breaks at spaces: a space is put after every other
+    delimiter, initcap capitalises, and the added spaces are taken out again.
+    Letters are Unicode letters ('élan' -> 'Élan'); an apostrophe does not
+    break a word ("o'brien" -> "O'brien").
     """
-    pieces = F.split(F.lower(col(c)), _WORD_BREAK)
-    return F.array_join(F.transform(pieces, lambda p: F.initcap(p)), "")
+    spaced = F.regexp_replace(F.lower(col(c)), _WORD_BREAK, "$1 ")
+    return F.regexp_replace(F.initcap(spaced), _WORD_BREAK + " ", "$1")
 
 
 # --- numbers --------------------------------------------------------------

@@ -19,8 +19,10 @@ def one(spark, expr, schema, *rows):
 
 def test_proper_case_breaks_at_punctuation(spark):
     got = one(spark, C.proper_case("n"), "n string",
-              ("mary-jane o'brien mc.donald",), ("NATION_0",), (None,))
-    assert got == ["Mary-Jane O'brien Mc.Donald", "Nation_0", None]
+              ("mary-jane o'brien mc.donald",), ("NATION_0",), (None,), ("élan VITAL-josé",),
+              ("a-  b",), ("x-",), ("anne\tmarie",))
+    assert got == ["Mary-Jane O'brien Mc.Donald", "Nation_0", None, "Élan Vital-José",
+                   "A-  B", "X-", "Anne\tMarie"]
 
 
 def test_trim_removes_spaces_only(spark):
