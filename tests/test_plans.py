@@ -179,3 +179,21 @@ def test_bucketed_landing_removes_account_shuffles(spark, sf_small):
     finally:
         for k, v in saved.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+_COMPUTE = ("Project [", "Filter ", "HashAggregate", "SortMergeJoin", "BroadcastHashJoin",
+            "Sort [", "Expand ", "ObjectHashAggregate", "SortAggregate")
+
+
+@pytest.mark.parametrize("name", ["mart_customer_360", "mart_portfolio_performance",
+                                  "mart_acquisition_funnel", "mart_kpi_governance",
+                                  "chk_accepted_values", "stg_customers", "stg_transactions"])
+def test_compute_stays_in_whole_stage_codegen(spark, sf_small, name):
+    """Every compute operator of the executed (final adaptive) plan is code-generated."""
+    df = E.project(spark, sf_small).model(name)
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    final = plan.toString().split("== Initial Plan ==")[0]
+    outside = [line for line in final.splitlines()
+               if line.strip().lstrip(":").strip().lstrip("+-").strip().startswith(_COMPUTE)]
+    assert outside == []
