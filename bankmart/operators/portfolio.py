@@ -43,7 +43,6 @@ def loan_portfolio(stg_loans: DataFrame, stg_customers: DataFrame) -> DataFrame:
     it: statuses that share the tier 9_UNKNOWN give several rows with equal
     visible keys there.
     """
-    l = F.col  # noqa: E741
     partials = [
         F.count("loan_id").alias("loan_count"),
         F.sum("principal_amount").alias("total_originated"),
@@ -51,12 +50,12 @@ def loan_portfolio(stg_loans: DataFrame, stg_customers: DataFrame) -> DataFrame:
         F.sum("amount_paid_down").alias("total_paid_down"),
         F.sum("interest_rate").alias("rate_sum"), F.count("interest_rate").alias("rate_n"),
         F.sum("loan_age_months").alias("age_sum"), F.count("loan_age_months").alias("age_n"),
-        F.sum(F.when(l("is_delinquent"), l("outstanding_balance")).otherwise(0))
+        F.sum(F.when(F.col("is_delinquent"), F.col("outstanding_balance")).otherwise(0))
         .alias("delinquent_balance"),
-        F.sum(F.when(l("is_charged_off"), l("outstanding_balance")).otherwise(0))
+        F.sum(F.when(F.col("is_charged_off"), F.col("outstanding_balance")).otherwise(0))
         .alias("charged_off_balance"),
-        _count_if(l("is_delinquent")).alias("delinquent_count"),
-        _count_if(l("is_charged_off")).alias("charged_off_count"),
+        _count_if(F.col("is_delinquent")).alias("delinquent_count"),
+        _count_if(F.col("is_charged_off")).alias("charged_off_count"),
     ]
     keys = ["loan_type", "risk_tier", "loan_status"]
     joined = _rollup(stg_loans, stg_customers, keys, partials)
@@ -82,7 +81,6 @@ def loan_portfolio(stg_loans: DataFrame, stg_customers: DataFrame) -> DataFrame:
 
 
 def card_portfolio(stg_credit_cards: DataFrame, stg_customers: DataFrame) -> DataFrame:
-    k = F.col
     partials = [
         F.count("card_id").alias("card_count"),
         F.sum("credit_limit").alias("total_credit_limit"),
@@ -91,8 +89,8 @@ def card_portfolio(stg_credit_cards: DataFrame, stg_customers: DataFrame) -> Dat
         F.sum("utilization_rate_pct").alias("util_sum"),
         F.count("utilization_rate_pct").alias("util_n"),
         F.sum("annual_fee").alias("total_annual_fees"),
-        _count_if(k("is_active")).alias("active_cards"),
-        _count_if(k("utilization_risk") == "HIGH").alias("high_utilization_cards"),
+        _count_if(F.col("is_active")).alias("active_cards"),
+        _count_if(F.col("utilization_risk") == "HIGH").alias("high_utilization_cards"),
     ]
     keys = ["card_product", "utilization_risk"]
     joined = _rollup(stg_credit_cards, stg_customers, keys, partials)
@@ -114,10 +112,9 @@ def card_portfolio(stg_credit_cards: DataFrame, stg_customers: DataFrame) -> Dat
 
 
 def deposit_portfolio(stg_accounts: DataFrame, stg_customers: DataFrame) -> DataFrame:
-    a = F.col
     partials = [
         F.count("account_id").alias("account_count"),
-        _count_if(a("is_active")).alias("active_accounts"),
+        _count_if(F.col("is_active")).alias("active_accounts"),
         F.sum("balance").alias("total_balance"), F.count("balance").alias("balance_n"),
         F.sum("available_balance").alias("total_available"),
         F.sum("interest_rate").alias("rate_sum"), F.count("interest_rate").alias("rate_n"),
