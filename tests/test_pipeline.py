@@ -127,3 +127,17 @@ def test_failed_build_keeps_previous_table(spark):
     fs, root = pipeline._hadoop_fs(spark, folder)
     versions = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
     assert len(versions) == pipeline.KEEP_VERSIONS
+
+
+def test_customer_360_files_are_clustered(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    raw = fixtures.raw_tables(spark, sf_small)
+    pipeline.build(spark, raw, FIXTURE_CONFIG, select=["mart_customer_360"])
+    rows = (spark.table("dev_gtm.mart_customer_360")
+            .select(F.input_file_name().alias("f"), "customer_segment").collect())
+    by_file = {}
+    for r in rows:
+        by_file.setdefault(r.f, []).append(r.customer_segment)
+    for segments in by_file.values():          # file order is the sorted order
+        assert segments == sorted(segments)
