@@ -77,3 +77,29 @@ def test_customer_360_rules_on_activity(spark):
     assert c2.total_accounts == 0 and c2.product_depth == 0 and c2.days_since_last_txn is None
     assert c3.lifecycle_stage == "DORMANT" and c3.churn_risk == "HIGH"
     assert c1.days_since_last_txn == (AS_OF - max(r[8] for r in rows)).days
+
+
+def test_closed_accounts_and_all_currencies_count(spark):
+    """Balances of closed accounts and of every currency add up (no filter, no FX)."""
+    raw_accts = spark.createDataFrame(
+        [("A1", "C1", "checking", "active", "usd", D("100.00"), D("1"), D("0.01"),
+          dt.date(2020, 1, 1), None, None),
+         ("A2", "C1", "savings", "closed", "eur", D("50.00"), D("1"), D("0.01"),
+          dt.date(2020, 1, 1), dt.date(2021, 1, 1), None)], schemas.ACCOUNTS)
+    acct = staging.stg_accounts(raw_accts, CFG)
+    summary = {r.customer_id: r for r in rollups.account_summary(acct).collect()}["C1"]
+    assert summary.total_accounts == 2 and summary.active_accounts == 1
+    assert summary.total_deposit_balance == D("150.00")
+    assert summary.checking_balance == D("100.00") and summary.savings_balance == D("50.00")
+
+
+def test_surrogate_key_text_null_collides_with_null(spark):
+    from pyspark.sql import functions as F
+
+    from bankmart.functions.macros import surrogate_key
+
+    row = spark.createDataFrame([("x", None, "NULL")], "a string, b string, c string").select(
+        surrogate_key("a", "b").alias("k1"), surrogate_key("a", "c").alias("k2"),
+        surrogate_key(F.lit(1), F.lit(None)).alias("k3")).first()
+    assert row.k1 == row.k2                   # by design of the key
+    assert len(row.k3) == 32
