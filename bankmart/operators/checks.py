@@ -2,10 +2,12 @@
 
 * not_null and accepted_values: fused, one scan and one global aggregation
   per table for all of its tests (partial aggregation, no collect).
-* unique: ``groupBy(column)`` with map-side counting, so a value shared by
-  a third of the rows is a single partial count per task; nulls are ignored.
-* relationships: child keys are pre-counted per key, parent keys are
-  de-duplicated, both map-side, then one anti join; null child keys pass.
+* unique: all tests in one ``groupBy(test, key)`` with map-side counting, so
+  a value shared by a third of the rows is a single partial count per task;
+  nulls are ignored; very large inputs use an exact hashed two-phase form.
+* relationships: no join; child and parent keys of all tests are stacked
+  and one aggregation per (test, key) counts child rows and notes a parent,
+  both sides reduced map-side; null child keys pass.
 * freshness: max(loaded_at) per table against the run's reference time.
 
 Result rows: (test, table_name, column_name, failures, status). Checks look
@@ -46,6 +48,18 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 _COLUMN_KINDS = (NotNull, AcceptedValues)
 
 
+def _per_test_rows(counted: DataFrame, tests: list, kind: str | None,
+                   measure: str) -> DataFrame:
+    """One-row aggregate with a column per test -> one result row per test.
+
+    ``kind`` names the test kind; None takes it from each test's type.
+    """
+    rows = F.array(*[F.struct(*_result(kind or kind_name(type(t)), t.table, t.column,
+                                       F.col(f"{measure}{i}")))
+                     for i, t in enumerate(tests)])
+    return counted.select(F.inline(rows))
+
+
 def _violation(t) -> F.Column:
     c = F.col(t.column)
     if isinstance(t, NotNull):
@@ -69,9 +83,7 @@ def column_tests(tables: Mapping[str, DataFrame], specs: Iterable) -> DataFrame:
     for table, tests in by_table.items():
         counted = tables[table].agg(*[F.count(F.when(_violation(t), F.lit(1))).alias(f"m{i}")
                                       for i, t in enumerate(tests)])
-        rows = F.array(*[F.struct(*_result(kind_name(type(t)), table, t.column, F.col(f"m{i}")))
-                         for i, t in enumerate(tests)])
-        parts.append(counted.select(F.inline(rows)))
+        parts.append(_per_test_rows(counted, tests, None, "m"))
     return _union(parts)
 
 
@@ -146,33 +158,66 @@ def unique(tables: Mapping[str, DataFrame], specs: Iterable,
            hashed_min_bytes: int = HASHED_UNIQUE_MIN_BYTES) -> DataFrame:
     """Failures = number of distinct non-null values that occur more than once.
 
-    Small inputs: one count per key (partial aggregation, one shuffle).
-    Inputs estimated above ``hashed_min_bytes``: the two-phase hashed form,
-    which shuffles hashes rather than keys and stays exact.
+    All tests on inputs below ``hashed_min_bytes`` share ONE aggregation: each
+    test's keys are tagged with the test's number and stacked, counted per
+    (test, key) with partial aggregation, and the duplicated keys are counted
+    per test in one global aggregate. Inputs estimated above the threshold
+    use the two-phase hashed form, which shuffles hashes rather than keys and
+    stays exact.
     """
+    tests = [s for s in specs if isinstance(s, Unique)]
+    big = [t for t in tests if _estimated_bytes(tables[t.table]) >= hashed_min_bytes]
+    small = [t for t in tests if t not in big]
     parts = []
-    for t in (s for s in specs if isinstance(s, Unique)):
+    if small:
+        stacked = None
+        for i, t in enumerate(small):
+            keys = (tables[t.table].select(F.lit(i).alias("test_ix"),
+                                           F.col(t.column).cast("string").alias("k"))
+                    .where(F.col("k").isNotNull()))
+            stacked = keys if stacked is None else stacked.unionByName(keys)
+        dupes = stacked.groupBy("test_ix", "k").count().where(F.col("count") > 1)
+        counted = dupes.agg(*[F.count(F.when(F.col("test_ix") == i, F.lit(1))).alias(f"d{i}")
+                              for i in range(len(small))])
+        parts.append(_per_test_rows(counted, small, "unique", "d"))
+    for t in big:
         keys = (tables[t.table].select(F.col(t.column).alias("k"))
                 .where(F.col("k").isNotNull()))
-        big = _estimated_bytes(tables[t.table]) >= hashed_min_bytes
-        dupes = _duplicate_keys_hashed(keys) if big else _duplicate_keys(keys)
-        parts.append(dupes.agg(*_result("unique", t.table, t.column, F.count(F.lit(1)))))
+        parts.append(_duplicate_keys_hashed(keys).agg(
+            *_result("unique", t.table, t.column, F.count(F.lit(1)))))
     return _union(parts)
 
 
 def relationships(tables: Mapping[str, DataFrame], specs: Iterable) -> DataFrame:
-    """Failures = child rows whose non-null key is missing from the parent."""
-    parts = []
-    for t in (s for s in specs if isinstance(s, Relationship)):
-        child_keys = (tables[t.table].select(F.col(t.column).alias("k"))
-                      .where(F.col("k").isNotNull())
-                      .groupBy("k").agg(F.count(F.lit(1)).alias("rows")))
-        parent_keys = (tables[t.to_table].select(F.col(t.to_column).alias("k"))
-                       .where(F.col("k").isNotNull()).distinct())
-        orphans = child_keys.join(parent_keys, "k", "left_anti")
-        parts.append(orphans.agg(*_result("relationships", t.table, t.column,
-                                          F.coalesce(F.sum("rows"), F.lit(0)))))
-    return _union(parts)
+    """Failures = child rows whose non-null key is missing from the parent.
+
+    No join: the child keys and the parent keys of every test are tagged
+    (test number, side) and stacked, and ONE aggregation per (test, key)
+    counts the child rows and notes whether a parent row exists. Both sides
+    are reduced map-side before the single shuffle (a hot child key or a
+    duplicated parent key becomes one row per task), and the optimizer has
+    no join to move below the aggregation. Null child keys pass.
+    """
+    tests = [s for s in specs if isinstance(s, Relationship)]
+    stacked = None
+    for i, t in enumerate(tests):
+        child = tables[t.table].select(F.lit(i).alias("test_ix"),
+                                       F.col(t.column).cast("string").alias("k"),
+                                       F.lit(1).alias("child"))
+        parent = tables[t.to_table].select(F.lit(i).alias("test_ix"),
+                                           F.col(t.to_column).cast("string").alias("k"),
+                                           F.lit(0).alias("child"))
+        for part in (child, parent):
+            part = part.where(F.col("k").isNotNull())
+            stacked = part if stacked is None else stacked.unionByName(part)
+    per_key = stacked.groupBy("test_ix", "k").agg(
+        F.sum("child").alias("child_rows"),
+        F.min("child").alias("min_side"))          # 0 when a parent row exists
+    orphans = per_key.where(F.col("min_side") == 1)
+    counted = orphans.agg(*[
+        F.coalesce(F.sum(F.when(F.col("test_ix") == i, F.col("child_rows"))), F.lit(0))
+        .alias(f"o{i}") for i in range(len(tests))])
+    return _union([_per_test_rows(counted, tests, "relationships", "o")])
 
 
 FRESHNESS_COLUMNS = ("table_name", "loaded_at_field", "max_loaded_at", "checked_at",

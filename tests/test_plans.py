@@ -92,10 +92,16 @@ def test_portfolio_pre_aggregates_per_customer(landed):
     assert re.search(r"Aggregate \[customer_id#\d+, loan_type", below)
 
 
-def test_relationship_check_pre_counts_child_keys(landed):
+def test_relationship_check_is_one_aggregation(landed):
+    """All four tests in one aggregation per (test, key); no join at all."""
     plan = optimized(landed.chk_relationships)
-    anti = plan.index("Join LeftAnti")
-    assert "Aggregate [k#" in plan[anti:]
+    assert "Join" not in plan.replace("Join Inner, (c_nationkey", "")   # fixture's geo join
+    assert plan.count("Aggregate [test_ix#") == 1
+
+
+def test_unique_tests_share_one_aggregation(landed):
+    plan = optimized(landed.chk_unique)
+    assert plan.count("Aggregate [test_ix#") == 1
 
 
 def test_tie_out_has_no_join(landed):
