@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bankmart.config import Config
+from bankmart.plans.sizing import input_bytes
 from bankmart.sources.schemas import (AcceptedValues, Freshness, NotNull, Relationship,
                                       Unique)
 
@@ -121,11 +122,6 @@ HASHED_UNIQUE_MIN_BYTES = 1 << 30
 MAX_BROADCAST_HASHES = 4_000_000
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size if isinstance(size, int) else size.toString())
-
-
 def _duplicate_keys(keys: DataFrame) -> DataFrame:
     """Distinct non-null keys occurring more than once: one partially aggregated count."""
     return keys.groupBy("k").count().where(F.col("count") > 1)
@@ -166,7 +162,7 @@ def unique(tables: Mapping[str, DataFrame], specs: Iterable,
     stays exact.
     """
     tests = [s for s in specs if isinstance(s, Unique)]
-    big = [t for t in tests if _estimated_bytes(tables[t.table]) >= hashed_min_bytes]
+    big = [t for t in tests if input_bytes(tables[t.table]) >= hashed_min_bytes]
     small = [t for t in tests if t not in big]
     parts = []
     if small:

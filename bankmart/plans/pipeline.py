@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from bankmart.config import Config
 from bankmart.plans.project import Project
+from bankmart.plans.sizing import input_bytes
 from bankmart.sources.raw import RawTables, read_seed_customers
 
 LOAD_TIMESTAMP = "dbt_loaded_at"
@@ -98,16 +99,14 @@ def size_initial_partitions(spark: SparkSession, raw: RawTables,
                             target_bytes: int = 128 * 1024 * 1024) -> int | None:
     """Set AQE's initial shuffle partition count from the raw input size.
 
-    Only when the session did not configure it. Uses the optimizer's size
-    estimate of each raw scan (file sizes for Parquet), so nothing is read.
+    Only when the session did not configure it. Uses the size of the
+    relations the raw tables read (file sizes for Parquet), so nothing is
+    read; see ``bankmart.plans.sizing``.
     """
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     if spark.conf.get(key, None):
         return None
-    total = 0
-    for _, df in raw.items():
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        total += int(size if isinstance(size, int) else size.toString())
+    total = sum(input_bytes(df) for _, df in raw.items())
     parallelism = spark.sparkContext.defaultParallelism
     n = max(parallelism, -(-total // target_bytes))
     spark.conf.set(key, str(n))
