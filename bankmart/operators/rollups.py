@@ -30,8 +30,7 @@ def avg_exact(c: str, places: int = 6, scale: int = 2) -> F.Column:
 
 
 def account_summary(stg_accounts: DataFrame) -> DataFrame:
-    a = stg_accounts
-    return a.groupBy("customer_id").agg(
+    return stg_accounts.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_accounts"),
         _count_if(F.col("is_active")).alias("active_accounts"),
         _sum("balance").alias("total_deposit_balance"),
