@@ -141,3 +141,25 @@ def test_customer_360_files_are_clustered(spark, sf_small):
         by_file.setdefault(r.f, []).append(r.customer_segment)
     for segments in by_file.values():          # file order is the sorted order
         assert segments == sorted(segments)
+
+
+def test_command_line_tests_read_the_built_mart(spark, sf_small):
+    from bankmart.__main__ import main
+
+    root = tempfile.mkdtemp(prefix="bankmart-cli2-")
+    for name, df in fixtures.raw_tables(spark, sf_small).items():
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+    common = ["--raw-root", root, "--as-of", "2001-11-05", "--start-date", "2000-01-01",
+              "--env", "cli2"]
+    assert main(["run", "--select", "mart_customer_360", *common]) == 0
+    # corrupt the stored mart: a duplicated customer must make the unique test fail
+    stored = spark.table("cli2_gtm.mart_customer_360")
+    pipeline.publish_table(spark, stored.unionByName(stored.limit(1)), "cli2_gtm.mart_customer_360")
+    from bankmart.plans.project import Project
+    from bankmart.sources import raw as raw_mod
+
+    project = Project(raw_mod.read_parquet(spark, root), FIXTURE_CONFIG,
+                      {"mart_customer_360": spark.table("cli2_gtm.mart_customer_360")})
+    got = {(r.table_name, r.column_name): r.failures for r in project.chk_unique.collect()}
+    assert got[("mart_customer_360", "customer_id")] == 1
+    assert main(["test", *common]) == 1
