@@ -163,3 +163,19 @@ def test_command_line_tests_read_the_built_mart(spark, sf_small):
     got = {(r.table_name, r.column_name): r.failures for r in project.chk_unique.collect()}
     assert got[("mart_customer_360", "customer_id")] == 1
     assert main(["test", *common]) == 1
+
+
+def test_unpinned_run_on_old_data(spark, sf_small):
+    """Default settings (today's date, start 2022-01-01) on 1995-2001 data: no
+    transaction survives staging, and every mart still builds."""
+    from bankmart.config import Config
+
+    raw = fixtures.raw_tables(spark, sf_small)
+    cfg = Config(env="nowdate")
+    res = pipeline.build(spark, raw, cfg, write=False)
+    assert res.frames["stg_transactions"].count() == 0
+    c360 = res.frames["mart_customer_360"]
+    assert c360.count() == 150
+    assert c360.where("active_months_12m <> 0 OR lifecycle_stage <> 'DORMANT'").count() == 0
+    assert res.frames["mart_kpi_governance"].count() == 12
+    assert res.frames["mart_acquisition_funnel"].count() > 0
