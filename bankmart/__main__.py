@@ -28,7 +28,8 @@ from bankmart.sources.schemas import FRESHNESS_TESTS, SOURCE_NAME
 
 def _config(args) -> Config:
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
-    return Config(as_of=as_of, start_date=args.start_date, env=args.env)
+    return Config(as_of=as_of, start_date=args.start_date, env=args.env,
+                  schema_prefix=args.schema_prefix)
 
 
 def _raw(spark, args):
@@ -42,6 +43,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("command", choices=("run", "test", "freshness", "seed"))
     parser.add_argument("--select", nargs="*", default=None)
     parser.add_argument("--env", default="dev")
+    parser.add_argument("--schema-prefix", default=None,
+                        help="prefix of the layer databases (default: --env)")
     parser.add_argument("--as-of", default=None, help="YYYY-MM-DD; default: today")
     parser.add_argument("--start-date", default=DEFAULT_START_DATE)
     parser.add_argument("--raw-root", default=None)

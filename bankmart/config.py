@@ -26,7 +26,9 @@ class Config:
     as_of       the business date treated as "today"; None = current_date()
                 of the query (views re-evaluate it when read).
     start_date  transactions dated before it are dropped in staging.
-    env         target name; prefixes every layer's database (dev, prod).
+    env         target name (dev, prod).
+    schema_prefix  prefix of every layer's database; default: ``env``
+                (``<prefix>_<layer>``, e.g. ``dev_staging``).
     checked_at  timestamp used by source freshness; None = midnight of
                 ``as_of`` when pinned, else current_timestamp().
     """
@@ -34,6 +36,7 @@ class Config:
     as_of: dt.date | None = None
     start_date: str = DEFAULT_START_DATE
     env: str = "dev"
+    schema_prefix: str | None = None
     checked_at: dt.datetime | None = None
     freshness_warn_hours: int = FRESHNESS_WARN_HOURS
     freshness_error_hours: int = FRESHNESS_ERROR_HOURS
@@ -58,7 +61,7 @@ class Config:
 
     def database(self, layer: str) -> str:
         """Database (schema) name for a layer, e.g. ``dev_staging``."""
-        return self.layer_databases.get(layer, f"{self.env}_{layer}")
+        return self.layer_databases.get(layer, f"{self.schema_prefix or self.env}_{layer}")
 
 
 # The pinned settings used with the driver's test tables (see FIXTURES.md):

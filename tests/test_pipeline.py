@@ -30,6 +30,8 @@ def test_layer_databases():
     cfg = dataclasses.replace(FIXTURE_CONFIG, env="prod")
     assert pipeline.layer_database(cfg, "marts.finance") == "prod_finance"
     assert pipeline.layer_database(cfg, "staging") == "prod_staging"
+    named = dataclasses.replace(cfg, schema_prefix="analytics_prod")
+    assert pipeline.layer_database(named, "marts.gtm") == "analytics_prod_gtm"
 
 
 def test_build_writes_tables_and_views(spark, sf_small):
