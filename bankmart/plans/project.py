@@ -36,6 +36,27 @@ class Project:
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    MODEL_NAMES = (
+        "stg_customers", "stg_accounts", "stg_transactions", "stg_loans", "stg_credit_cards",
+        "account_summary", "loan_summary", "card_summary", "int_customer_accounts",
+        "int_customer_financials", "txn_activity_12m", "mart_customer_360",
+        "acquisition_cohorts", "channel_summary", "ltv_distribution", "mart_acquisition_funnel",
+        "loan_portfolio", "card_portfolio", "deposit_portfolio", "delinquency_summary",
+        "mart_portfolio_performance", "dq_customers", "dq_accounts", "dq_loans",
+        "dq_scorecard", "kpi_catalog", "sttm_reconciliation", "mart_kpi_governance",
+    )
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Register every model as a temp view (``<prefix><model>``) for SQL users.
+
+        Views are lazy: a query on one runs the model's plan, nothing is built.
+        """
+        names = []
+        for name in self.MODEL_NAMES:
+            self.model(name).createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     def _pick(self, name: str, build) -> DataFrame:
         if name in self.overrides:
             return self.overrides[name]

@@ -181,3 +181,14 @@ def test_unpinned_run_on_old_data(spark, sf_small):
     assert c360.where("active_months_12m <> 0 OR lifecycle_stage <> 'DORMANT'").count() == 0
     assert res.frames["mart_kpi_governance"].count() == 12
     assert res.frames["mart_acquisition_funnel"].count() > 0
+
+
+def test_models_as_sql_views(spark, sf_small):
+    from bankmart.plans.project import Project
+
+    project = Project(fixtures.raw_tables(spark, sf_small), FIXTURE_CONFIG)
+    names = project.register_views(prefix="v_")
+    assert "v_mart_customer_360" in names and len(names) == len(Project.MODEL_NAMES)
+    rows = spark.sql("SELECT lifecycle_stage, count(*) AS n FROM v_mart_customer_360 "
+                     "GROUP BY lifecycle_stage").collect()
+    assert sum(r.n for r in rows) == 150
