@@ -5,8 +5,10 @@ this module maps them, row for row, onto the five raw banking sources so that
 every model runs over data whose size grows with the scale factor. Dirt is
 planted on purpose (stray spaces, lower case, nulls, invalid statuses,
 orphan keys, zero limits) so the staging rules and the data tests have
-something to find. The mapping is a pure projection/filter of each driver
-table plus a join of customer with the two 25/5-row reference tables.
+something to find. Every driver row is used: the orders are partitioned by
+key into accounts, loans and cards, every line item becomes a transaction,
+and every customer (joined with the 25/5-row nation and region tables)
+becomes a raw customer.
 """
 
 from __future__ import annotations
