@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "ColumnOrName", "MONEY", "RATE", "AMOUNT_SUM", "MONEY_AVG", "RATE_AVG",
     "col", "clean_upper", "clean_lower", "clean", "proper_case", "money", "rate", "nonzero",
-    "pct", "count_pct", "exact_avg", "ratio_at_least", "flag", "flag_int", "as_date",
+    "pct", "count_pct", "exact_avg", "units", "from_units", "ratio_at_least", "flag", "flag_int", "as_date",
     "as_timestamp_ntz", "days_between", "months_between_boundaries", "month_start",
     "year_start", "day_of_week_sunday0", "years_before",
 ]
@@ -109,6 +109,22 @@ def exact_avg(total: ColumnOrName, count: ColumnOrName, places: int, total_scale
     return F.round(n / d, places).cast(f"decimal(38,{places})")
 
 
+def units(c: ColumnOrName, scale: int = 2) -> Column:
+    """A decimal with ``scale`` places as an exact count of its smallest unit (cents).
+
+    Summing these longs is exact and much cheaper than summing decimals: a
+    decimal sum is widened past 18 digits, where Spark leaves its compact
+    64-bit representation for BigDecimal arithmetic. Under ANSI mode a sum
+    that left the long range would fail, never wrap.
+    """
+    return (col(c) * (10 ** scale)).cast("long")
+
+
+def from_units(total: ColumnOrName, scale: int = 2) -> Column:
+    """A sum of ``units`` back as decimal(38, scale), exactly."""
+    return (col(total).cast("decimal(38,0)") / (10 ** scale)).cast(f"decimal(38,{scale})")
+
+
 def ratio_at_least(num: ColumnOrName, den: ColumnOrName, threshold: str) -> Column:
     """num / den >= threshold, decided without dividing; null when den is 0/null.
 

@@ -29,8 +29,10 @@ def txn_activity_12m(stg_transactions: DataFrame, stg_accounts: DataFrame,
     t = stg_transactions
     recent = t.where((F.col("transaction_date") >= C.years_before(cfg.today()))
                      & F.col("is_posted") & ~F.col("is_reversal"))
+    # amounts are summed as exact cents (long arithmetic), turned back into
+    # decimals once at the end
     amount_if = lambda kind: F.when(F.col("transaction_type") == kind,
-                                    F.col("amount_abs")).otherwise(0)
+                                    C.units("amount_abs")).otherwise(0)
     per_account_month = recent.groupBy("account_id", "transaction_month").agg(
         F.count("transaction_id").alias("n"),
         F.sum(amount_if("DEBIT")).alias("spend"),
@@ -46,8 +48,8 @@ def txn_activity_12m(stg_transactions: DataFrame, stg_accounts: DataFrame,
     )
     return per_customer_month.groupBy("customer_id").agg(
         F.sum("n").cast("bigint").alias("total_transactions_12m"),
-        F.sum("spend").cast(C.AMOUNT_SUM).alias("total_spend_12m"),
-        F.sum("fees").cast(C.AMOUNT_SUM).alias("total_fees_12m"),
+        C.from_units(F.sum("spend")).alias("total_spend_12m"),
+        C.from_units(F.sum("fees")).alias("total_fees_12m"),
         F.max("last_date").alias("last_transaction_date"),
         F.count("transaction_month").alias("active_months_12m"),
     )

@@ -6,7 +6,9 @@ may own a third of all rows, so the product rows are first pre-aggregated
 per (customer_id, product keys) with map-side partial aggregation. The join
 then sees at most one row per customer and key combination (no hot key), and
 the final aggregation merges the partial sums and counts. Averages are
-carried as (sum, count) pairs and divided once at the end, exactly.
+carried as (sum, count) pairs and divided once at the end, exactly. Money
+and rates are summed as exact integer units (cents, 1/10000) in long
+arithmetic and turned back into decimals once, after the last merge.
 """
 
 from __future__ import annotations
@@ -45,14 +47,15 @@ def loan_portfolio(stg_loans: DataFrame, stg_customers: DataFrame) -> DataFrame:
     """
     partials = [
         F.count("loan_id").alias("loan_count"),
-        F.sum("principal_amount").alias("total_originated"),
-        F.sum("outstanding_balance").alias("total_outstanding"),
-        F.sum("amount_paid_down").alias("total_paid_down"),
-        F.sum("interest_rate").alias("rate_sum"), F.count("interest_rate").alias("rate_n"),
+        F.sum(C.units("principal_amount")).alias("total_originated"),
+        F.sum(C.units("outstanding_balance")).alias("total_outstanding"),
+        F.sum(C.units("amount_paid_down")).alias("total_paid_down"),
+        F.sum(C.units("interest_rate", 4)).alias("rate_sum"),
+        F.count("interest_rate").alias("rate_n"),
         F.sum("loan_age_months").alias("age_sum"), F.count("loan_age_months").alias("age_n"),
-        F.sum(F.when(F.col("is_delinquent"), F.col("outstanding_balance")).otherwise(0))
+        F.sum(F.when(F.col("is_delinquent"), C.units("outstanding_balance")).otherwise(0))
         .alias("delinquent_balance"),
-        F.sum(F.when(F.col("is_charged_off"), F.col("outstanding_balance")).otherwise(0))
+        F.sum(F.when(F.col("is_charged_off"), C.units("outstanding_balance")).otherwise(0))
         .alias("charged_off_balance"),
         _count_if(F.col("is_delinquent")).alias("delinquent_count"),
         _count_if(F.col("is_charged_off")).alias("charged_off_count"),
@@ -67,14 +70,14 @@ def loan_portfolio(stg_loans: DataFrame, stg_customers: DataFrame) -> DataFrame:
     return merged.select(
         *keys, "customer_segment",
         F.col("loan_count").cast("bigint").alias("loan_count"),
-        F.col("total_originated").cast(C.AMOUNT_SUM).alias("total_originated"),
-        F.col("total_outstanding").cast(C.AMOUNT_SUM).alias("total_outstanding"),
-        F.col("total_paid_down").cast(C.AMOUNT_SUM).alias("total_paid_down"),
-        C.exact_avg("rate_sum", "rate_n", 8, 4).alias("avg_interest_rate"),
+        C.from_units("total_originated").alias("total_originated"),
+        C.from_units("total_outstanding").alias("total_outstanding"),
+        C.from_units("total_paid_down").alias("total_paid_down"),
+        C.exact_avg(C.from_units("rate_sum", 4), "rate_n", 8, 4).alias("avg_interest_rate"),
         (F.col("age_sum").cast("double") / C.nonzero(F.col("age_n")).cast("double"))
         .alias("avg_loan_age_months"),
-        F.col("delinquent_balance").cast(C.AMOUNT_SUM).alias("delinquent_balance"),
-        F.col("charged_off_balance").cast(C.AMOUNT_SUM).alias("charged_off_balance"),
+        C.from_units("delinquent_balance").alias("delinquent_balance"),
+        C.from_units("charged_off_balance").alias("charged_off_balance"),
         F.col("delinquent_count").cast("bigint").alias("delinquent_count"),
         F.col("charged_off_count").cast("bigint").alias("charged_off_count"),
     )
@@ -83,12 +86,12 @@ def loan_portfolio(stg_loans: DataFrame, stg_customers: DataFrame) -> DataFrame:
 def card_portfolio(stg_credit_cards: DataFrame, stg_customers: DataFrame) -> DataFrame:
     partials = [
         F.count("card_id").alias("card_count"),
-        F.sum("credit_limit").alias("total_credit_limit"),
-        F.sum("current_balance").alias("total_outstanding_balance"),
-        F.sum("available_credit").alias("total_available_credit"),
-        F.sum("utilization_rate_pct").alias("util_sum"),
+        F.sum(C.units("credit_limit")).alias("total_credit_limit"),
+        F.sum(C.units("current_balance")).alias("total_outstanding_balance"),
+        F.sum(C.units("available_credit")).alias("total_available_credit"),
+        F.sum(C.units("utilization_rate_pct")).alias("util_sum"),
         F.count("utilization_rate_pct").alias("util_n"),
-        F.sum("annual_fee").alias("total_annual_fees"),
+        F.sum(C.units("annual_fee")).alias("total_annual_fees"),
         _count_if(F.col("is_active")).alias("active_cards"),
         _count_if(F.col("utilization_risk") == "HIGH").alias("high_utilization_cards"),
     ]
@@ -101,11 +104,11 @@ def card_portfolio(stg_credit_cards: DataFrame, stg_customers: DataFrame) -> Dat
     return merged.select(
         "customer_segment", *keys,
         F.col("card_count").cast("bigint").alias("card_count"),
-        F.col("total_credit_limit").cast(C.AMOUNT_SUM).alias("total_credit_limit"),
-        F.col("total_outstanding_balance").cast(C.AMOUNT_SUM).alias("total_outstanding_balance"),
-        F.col("total_available_credit").cast(C.AMOUNT_SUM).alias("total_available_credit"),
-        C.exact_avg("util_sum", "util_n", 6, 2).alias("avg_utilization_rate"),
-        F.col("total_annual_fees").cast(C.AMOUNT_SUM).alias("total_annual_fees"),
+        C.from_units("total_credit_limit").alias("total_credit_limit"),
+        C.from_units("total_outstanding_balance").alias("total_outstanding_balance"),
+        C.from_units("total_available_credit").alias("total_available_credit"),
+        C.exact_avg(C.from_units("util_sum"), "util_n", 6, 2).alias("avg_utilization_rate"),
+        C.from_units("total_annual_fees").alias("total_annual_fees"),
         F.col("active_cards").cast("bigint").alias("active_cards"),
         F.col("high_utilization_cards").cast("bigint").alias("high_utilization_cards"),
     )
@@ -115,9 +118,10 @@ def deposit_portfolio(stg_accounts: DataFrame, stg_customers: DataFrame) -> Data
     partials = [
         F.count("account_id").alias("account_count"),
         _count_if(F.col("is_active")).alias("active_accounts"),
-        F.sum("balance").alias("total_balance"), F.count("balance").alias("balance_n"),
-        F.sum("available_balance").alias("total_available"),
-        F.sum("interest_rate").alias("rate_sum"), F.count("interest_rate").alias("rate_n"),
+        F.sum(C.units("balance")).alias("total_balance"), F.count("balance").alias("balance_n"),
+        F.sum(C.units("available_balance")).alias("total_available"),
+        F.sum(C.units("interest_rate", 4)).alias("rate_sum"),
+        F.count("interest_rate").alias("rate_n"),
     ]
     keys = ["account_type", "account_category"]
     joined = _rollup(stg_accounts, stg_customers, keys, partials)
@@ -128,10 +132,10 @@ def deposit_portfolio(stg_accounts: DataFrame, stg_customers: DataFrame) -> Data
         "customer_segment", *keys,
         F.col("account_count").cast("bigint").alias("account_count"),
         F.col("active_accounts").cast("bigint").alias("active_accounts"),
-        F.col("total_balance").cast(C.AMOUNT_SUM).alias("total_balance"),
-        C.exact_avg("total_balance", "balance_n", 6, 2).alias("avg_balance"),
-        F.col("total_available").cast(C.AMOUNT_SUM).alias("total_available"),
-        C.exact_avg("rate_sum", "rate_n", 8, 4).alias("avg_interest_rate"),
+        C.from_units("total_balance").alias("total_balance"),
+        C.exact_avg(C.from_units("total_balance"), "balance_n", 6, 2).alias("avg_balance"),
+        C.from_units("total_available").alias("total_available"),
+        C.exact_avg(C.from_units("rate_sum", 4), "rate_n", 8, 4).alias("avg_interest_rate"),
     )
 
 

@@ -16,7 +16,8 @@ from bankmart.functions import columns as C
 
 
 def _sum(c) -> F.Column:
-    return F.sum(c).cast(C.AMOUNT_SUM)
+    """Exact sum of a 2-place decimal, accumulated as long cents."""
+    return C.from_units(F.sum(C.units(F.col(c) if isinstance(c, str) else c)))
 
 
 def _count_if(cond) -> F.Column:
@@ -26,7 +27,7 @@ def _count_if(cond) -> F.Column:
 
 def avg_exact(c: str, places: int = 6, scale: int = 2) -> F.Column:
     """Average of a decimal column, rounded once, half away from zero."""
-    return C.exact_avg(F.sum(c), F.count(c), places, scale)
+    return C.exact_avg(C.from_units(F.sum(C.units(c, scale)), scale), F.count(c), places, scale)
 
 
 def account_summary(stg_accounts: DataFrame) -> DataFrame:
@@ -34,10 +35,10 @@ def account_summary(stg_accounts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_accounts"),
         _count_if(F.col("is_active")).alias("active_accounts"),
         _sum("balance").alias("total_deposit_balance"),
-        _sum(F.when(F.col("account_type") == "CHECKING", F.col("balance")).otherwise(0))
-        .alias("checking_balance"),
-        _sum(F.when(F.col("account_type") == "SAVINGS", F.col("balance")).otherwise(0))
-        .alias("savings_balance"),
+        C.from_units(F.sum(F.when(F.col("account_type") == "CHECKING", C.units("balance"))
+                           .otherwise(0))).alias("checking_balance"),
+        C.from_units(F.sum(F.when(F.col("account_type") == "SAVINGS", C.units("balance"))
+                           .otherwise(0))).alias("savings_balance"),
         F.min("opened_date").alias("first_account_date"),
         F.max("opened_date").alias("latest_account_date"),
     )
