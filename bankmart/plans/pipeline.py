@@ -143,9 +143,10 @@ def publish_table(spark: SparkSession, df: DataFrame, target: str,
     """Write ``df`` as a new version of table ``target``, then switch the table to it.
 
     The data job writes to ``<warehouse>/<db>/<table>/v=<build>``; only when
-    it has committed is the catalog entry replaced (drop of the external
-    table entry + create on the new folder: no data is touched). Returns the
-    version folder.
+    it has committed does the table move to the new folder: with an unchanged
+    schema by ``ALTER TABLE ... SET LOCATION`` (readers never see the table
+    missing), otherwise by replacing the external table entry. No data is
+    touched by the switch. Returns the version folder.
     """
     db, table = target.split(".", 1)
     folder = f"{_warehouse_root(spark)}/{db}.db/{table}"
@@ -153,8 +154,13 @@ def publish_table(spark: SparkSession, df: DataFrame, target: str,
     version = f"{folder}/{name}"
     df.write.mode("errorifexists").parquet(version)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.catalog.createTable(target, path=version, source="parquet")
+    shape = lambda schema: [(f.name, f.dataType) for f in schema.fields]
+    if spark.catalog.tableExists(target) and shape(spark.table(target).schema) == shape(df.schema):
+        spark.sql(f"ALTER TABLE {target} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(target)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+        spark.catalog.createTable(target, path=version, source="parquet")
     _prune_versions(spark, folder, keep_versions, name)
     return version
 

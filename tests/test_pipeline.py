@@ -192,3 +192,13 @@ def test_models_as_sql_views(spark, sf_small):
     rows = spark.sql("SELECT lifecycle_stage, count(*) AS n FROM v_mart_customer_360 "
                      "GROUP BY lifecycle_stage").collect()
     assert sum(r.n for r in rows) == 150
+
+
+def test_republish_same_schema_moves_location(spark):
+    from pyspark.sql import functions as F
+
+    first = pipeline.publish_table(spark, spark.range(2).withColumn("v", F.lit("a")), "pub2.t")
+    second = pipeline.publish_table(spark, spark.range(4).withColumn("v", F.lit("b")), "pub2.t")
+    location = spark.sql("DESCRIBE TABLE EXTENDED pub2.t").where("col_name = 'Location'").first()
+    assert location.data_type.rstrip("/").endswith(second.rsplit("/", 1)[1]) and first != second
+    assert spark.table("pub2.t").count() == 4
