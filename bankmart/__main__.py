@@ -28,8 +28,9 @@ from bankmart.sources.schemas import FRESHNESS_TESTS, SOURCE_NAME
 
 def _config(args) -> Config:
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
+    checked = dt.datetime.fromisoformat(args.checked_at) if args.checked_at else None
     return Config(as_of=as_of, start_date=args.start_date, env=args.env,
-                  schema_prefix=args.schema_prefix)
+                  schema_prefix=args.schema_prefix, checked_at=checked)
 
 
 def _raw(spark, args):
@@ -47,6 +48,9 @@ def main(argv: list[str] | None = None) -> int:
                         help="prefix of the layer databases (default: --env)")
     parser.add_argument("--as-of", default=None, help="YYYY-MM-DD; default: today")
     parser.add_argument("--start-date", default=DEFAULT_START_DATE)
+    parser.add_argument("--checked-at", default=None,
+                        help="freshness reference time, YYYY-MM-DDTHH:MM; default: now "
+                             "(midnight of --as-of when given)")
     parser.add_argument("--raw-root", default=None)
     parser.add_argument("--raw-database", default=SOURCE_NAME)
     parser.add_argument("--path", default=None, help="seed CSV for 'seed'")

@@ -109,6 +109,7 @@ def test_command_line_run_and_test(spark, sf_small):
     assert spark.table("cli_finance.mart_portfolio_performance").count() > 0
     assert main(["test", "--sources-only", *common]) == 1        # planted violations fail
     assert main(["freshness", *common]) == 0
+    assert main(["freshness", "--checked-at", "2001-11-07T01:00", *common]) == 1   # 49 h: ERROR
 
 
 def test_failed_build_keeps_previous_table(spark):
