@@ -42,6 +42,14 @@ class Config:
     freshness_error_hours: int = FRESHNESS_ERROR_HOURS
     layer_databases: dict[str, str] = field(default_factory=dict, hash=False, compare=False)
 
+    def __post_init__(self):
+        # accept ISO text for the dates, keep real date/datetime objects inside
+        if isinstance(self.as_of, str):
+            object.__setattr__(self, "as_of", dt.date.fromisoformat(self.as_of))
+        if isinstance(self.checked_at, str):
+            object.__setattr__(self, "checked_at", dt.datetime.fromisoformat(self.checked_at))
+        dt.date.fromisoformat(self.start_date)          # fail early on a malformed start
+
     def today(self) -> Column:
         """The as-of date as a DATE column."""
         if self.as_of is None:

@@ -164,3 +164,17 @@ def test_surrogate_key_renders_null(spark):
 def test_flag_never_null(spark):
     got = one(spark, C.flag(F.col("x") == "A"), "x string", ("A",), ("B",), (None,))
     assert got == [True, False, False]
+
+
+def test_config_accepts_iso_text():
+    import datetime as _dt
+
+    import pytest as _pytest
+
+    from bankmart.config import Config
+
+    cfg = Config(as_of="2024-06-15", checked_at="2024-06-16T01:00")
+    assert cfg.as_of == _dt.date(2024, 6, 15)
+    assert cfg.checked_at == _dt.datetime(2024, 6, 16, 1, 0)
+    with _pytest.raises(ValueError):
+        Config(start_date="15/06/2024")
