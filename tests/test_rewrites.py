@@ -113,3 +113,34 @@ def test_loan_portfolio_equals_join_then_aggregate(spark, loan_rows, cust_rows):
     built = Counter(tuple(r) for r in portfolio.loan_portfolio(loans, custs).collect())
     naive = Counter(tuple(r) for r in _naive_loan_portfolio(loans, custs).collect())
     assert built == naive
+
+
+keys_st = st.lists(st.sampled_from(["k1", "k1", "k1", "k2", "k3", "k4", None]),
+                   min_size=0, max_size=40)
+
+
+@settings(max_examples=15, deadline=None)
+@given(keys_st, keys_st, keys_st)
+def test_stacked_checks_equal_plain_ones(spark, child_keys, parent_keys, other_keys):
+    from bankmart.operators import checks
+
+    frame = lambda ks: spark.createDataFrame([(k,) for k in ks], "k string")
+    tables = {"child": frame(child_keys), "parent": frame(parent_keys),
+              "other": frame(other_keys)}
+    rel_specs = [schemas.Relationship("child", "k", "parent", "k"),
+                 schemas.Relationship("other", "k", "parent", "k"),
+                 schemas.Relationship("parent", "k", "child", "k")]
+    got = {(r.table_name, r.failures) for r in checks.relationships(tables, rel_specs).collect()}
+    want = set()
+    for t in rel_specs:
+        parent_set = {k for k in {"child": child_keys, "parent": parent_keys,
+                                  "other": other_keys}[t.to_table] if k is not None}
+        rows = {"child": child_keys, "parent": parent_keys, "other": other_keys}[t.table]
+        want.add((t.table, sum(1 for k in rows if k is not None and k not in parent_set)))
+    assert got == want
+
+    uq_specs = [schemas.Unique(name, "k") for name in tables]
+    got = {r.table_name: r.failures for r in checks.unique(tables, uq_specs).collect()}
+    for name, ks in (("child", child_keys), ("parent", parent_keys), ("other", other_keys)):
+        counts = Counter(k for k in ks if k is not None)
+        assert got[name] == sum(1 for n in counts.values() if n > 1)
