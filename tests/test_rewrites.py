@@ -144,3 +144,50 @@ def test_stacked_checks_equal_plain_ones(spark, child_keys, parent_keys, other_k
     for name, ks in (("child", child_keys), ("parent", parent_keys), ("other", other_keys)):
         counts = Counter(k for k in ks if k is not None)
         assert got[name] == sum(1 for n in counts.values() if n > 1)
+
+
+c360_st = st.lists(st.tuples(
+    st.sampled_from(["DIGITAL", "BRANCH", None]),
+    st.sampled_from(["RETAIL", "PREMIUM", None]),
+    st.one_of(st.none(), st.dates(dt.date(2023, 1, 1), dt.date(2024, 6, 1))),
+    st.sampled_from(["ONBOARDING", "ACTIVE", "LOYAL", "AT_RISK", "DORMANT"]),
+    st.sampled_from(["HIGH", "MEDIUM", "LOW"]),
+    st.integers(-10, 400), st.integers(0, 3), st.integers(0, 100),
+    st.integers(0, 10**8), st.integers(0, 10**6)), min_size=1, max_size=40)
+
+
+@settings(max_examples=15, deadline=None)
+@given(c360_st)
+def test_funnel_grouping_sets_equal_union_of_aggregations(spark, rows):
+    from bankmart.operators import funnel
+
+    df = spark.createDataFrame(
+        [(f"C{i}", ch, seg, since, stage, churn, tenure, depth, score,
+          Decimal(trv) / 100, Decimal(spend) / 100)
+         for i, (ch, seg, since, stage, churn, tenure, depth, score, trv, spend)
+         in enumerate(rows)],
+        "customer_id string, acquisition_channel string, customer_segment string, "
+        "customer_since_date date, lifecycle_stage string, churn_risk string, "
+        "customer_tenure_days int, product_depth int, engagement_score int, "
+        "total_relationship_value decimal(38,2), total_spend_12m decimal(38,2)")
+    one_pass = Counter(tuple(r) for r in funnel.mart_acquisition_funnel(df).collect())
+    cohorts, channels = funnel.acquisition_cohorts(df), funnel.channel_summary(df)
+    null = lambda t: F.lit(None).cast(t)
+    union = cohorts.select(
+        F.lit("ACQUISITION_COHORT").alias("record_type"),
+        F.col("cohort_month").cast("string").alias("cohort_month"), "acquisition_channel",
+        "customer_segment", "new_customers", "multi_product_customers", "active", "loyal",
+        "dormant", "at_risk", "activation_rate_pct",
+        F.col("churn_risk_rate_pct").cast("decimal(38,6)").alias("churn_risk_rate_pct"),
+        "avg_relationship_value", "avg_engagement_score", "cohort_total_spend",
+    ).unionByName(channels.select(
+        F.lit("CHANNEL_SUMMARY").alias("record_type"), null("string").alias("cohort_month"),
+        "acquisition_channel", null("string").alias("customer_segment"),
+        F.col("total_customers").alias("new_customers"),
+        *[null("bigint").alias(c) for c in ("multi_product_customers", "active", "loyal",
+                                            "dormant", "at_risk")],
+        null("decimal(38,2)").alias("activation_rate_pct"),
+        F.col("high_churn_rate_pct").alias("churn_risk_rate_pct"),
+        F.col("avg_ltv").alias("avg_relationship_value"), "avg_engagement_score",
+        null("decimal(38,2)").alias("cohort_total_spend")))
+    assert one_pass == Counter(tuple(r) for r in union.collect())
