@@ -24,10 +24,22 @@ _REQUIRED = {
 }
 
 
+# Tuning applied only where the session still has Spark's default value.
+# AQE turns a sort-merge join into a shuffled hash join when every partition
+# of the build side was measured below this size (no sort; the size check at
+# runtime keeps the hash maps small), else the sort-merge join stays.
+_TUNING_IF_DEFAULT = {
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": ("0b", "64MB"),
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the models need to an existing session."""
     for key, value in _REQUIRED.items():
         spark.conf.set(key, value)
+    for key, (default, value) in _TUNING_IF_DEFAULT.items():
+        if spark.conf.get(key, default) in (default, "0"):
+            spark.conf.set(key, value)
     checkpoint_dir(spark)
     return spark
 

@@ -150,7 +150,9 @@ def test_hot_customer_is_split_by_aqe(spark):
         plan = df._jdf.queryExecution().executedPlan()
         assert plan.executeCollect() is not None
         final = plan.toString()
-        assert "isFinalPlan=true" in final and "SortMergeJoin(skew=true)" in final
+        assert "isFinalPlan=true" in final
+        # sort-merge, or shuffled hash when AQE measured small partitions: split either way
+        assert "SortMergeJoin(skew=true)" in final or "ShuffledHashJoin(skew=true)" in final
         assert df.count() == 30000
     finally:
         for k, v in saved.items():
@@ -189,6 +191,7 @@ def test_bucketed_landing_removes_account_shuffles(spark, sf_small):
 
 
 _COMPUTE = ("Project [", "Filter ", "HashAggregate", "SortMergeJoin", "BroadcastHashJoin",
+            "ShuffledHashJoin",
             "Sort [", "Expand ", "ObjectHashAggregate", "SortAggregate")
 
 
