@@ -55,15 +55,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         if not sc.master.startswith("local"):
             return None
         configured = tempfile.mkdtemp(prefix="bankmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+    # spark.checkpoint.dir itself cannot change at run time; the context's
+    # checkpoint folder can
     sc.setCheckpointDir(configured)
-    return configured
+    return sc.getCheckpointDir() or configured
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,

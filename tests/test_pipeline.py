@@ -203,3 +203,30 @@ def test_republish_same_schema_moves_location(spark):
     location = spark.sql("DESCRIBE TABLE EXTENDED pub2.t").where("col_name = 'Location'").first()
     assert location.data_type.rstrip("/").endswith(second.rsplit("/", 1)[1]) and first != second
     assert spark.table("pub2.t").count() == 4
+
+
+def test_checkpoint_folder_only_for_local_sessions():
+    from bankmart.session import checkpoint_dir
+
+    class Ctx:
+        def __init__(self, master):
+            self.master, self.folder = master, None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def getConf(self):
+            return {"spark.master": self.master}
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        def __init__(self, master):
+            self.sparkContext = Ctx(master)
+
+    local = Session("local[4]")
+    folder = checkpoint_dir(local)
+    assert folder and folder == local.sparkContext.folder and os.path.isdir(folder)
+    cluster = Session("yarn")
+    assert checkpoint_dir(cluster) is None and cluster.sparkContext.folder is None
