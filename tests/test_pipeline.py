@@ -230,3 +230,16 @@ def test_checkpoint_folder_only_for_local_sessions():
     assert folder and folder == local.sparkContext.folder and os.path.isdir(folder)
     cluster = Session("yarn")
     assert checkpoint_dir(cluster) is None and cluster.sparkContext.folder is None
+
+
+def test_command_line_seed(spark):
+    from bankmart.__main__ import main
+
+    folder = tempfile.mkdtemp(prefix="bankmart-cliseed-")
+    path = os.path.join(folder, "seed.csv")
+    with open(path, "w") as fh:
+        fh.write("customer_id,first_name,last_name,email,phone,customer_segment,"
+                 "acquisition_channel,state,zip_code,created_at,updated_at\n"
+                 "S1,ada,lovelace,a@b.c,555,RETAIL,DIGITAL,NY,01234,2020-02-02,2024-01-01\n")
+    assert main(["seed", "--path", path, "--env", "cliseed"]) == 0
+    assert spark.table("cliseed_seeds.raw_customers").count() == 1
