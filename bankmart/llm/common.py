@@ -32,6 +32,14 @@ def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shipped(spark: SparkSession, value):
+    """Broadcast ``value``, of bounded size, with its class; gives what loads it in a task."""
+    from pyspark import cloudpickle
+
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(data.value)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -41,8 +49,8 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def slices(batch, budget: int, column: str = "text"):
-    """Cut an Arrow batch into slices whose texts hold about ``budget`` bytes.
+def slices(batch, budget: int, column: str = "text", rows: int = 1 << 30):
+    """Cut an Arrow batch into slices of up to ``rows`` rows whose texts hold about ``budget`` bytes.
 
     A text longer than the budget comes alone. Every row is in one slice.
     """
@@ -57,6 +65,7 @@ def slices(batch, budget: int, column: str = "text"):
     while at < len(ends):
         before = ends[at - 1] if at else 0
         stop = max(at + 1, int(np.searchsorted(ends, before + budget, side="right")))
+        stop = min(stop, at + rows)
         yield batch.slice(at, stop - at)
         at = stop
 
@@ -83,6 +92,71 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def ranges(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches flat[begin:begin + size], one after the other."""
+    stop = np.cumsum(size)
+    total = int(stop[-1]) if len(stop) else 0
+    return flat[np.repeat(begin - (stop - size), size) + np.arange(total)]
+
+
+class PartCache:
+    """Ids of parts of texts that a task has met; forgets all when it holds ``LIMIT`` parts."""
+
+    LIMIT = 1 << 19
+
+    def __init__(self, encode):
+        self.encode = encode       # parts -> (ids of all, sizes)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict = {}
+        self.flat, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def of(self, parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, begin of each part in them, size of each part) for distinct parts."""
+        new = [p for p in parts if p not in self.number]
+        if len(self.number) + len(new) > self.LIMIT and self.number:
+            self._forget()
+            new = parts
+        if new:
+            flat, size = self.encode(new)
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+            self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+            self.size = np.concatenate([self.size, size])
+        at = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+        return self.flat, (np.cumsum(self.size) - self.size)[at], self.size[at]
+
+
+class SortedHashes:
+    """A sorted array of 64-bit hashes with a directory of their leading bits."""
+
+    BITS = 18
+
+    def __init__(self, hashes: np.ndarray):
+        self.keys = np.append(hashes, np.uint64(2**64 - 1))
+        lead = np.arange((1 << self.BITS) + 1, dtype=np.uint64)
+        lead[:-1] <<= np.uint64(64 - self.BITS)
+        self.first = np.searchsorted(hashes, lead[:-1]).astype(np.int32)
+        self.first = np.append(self.first, np.int32(len(hashes)))
+        self.longest = int(np.diff(self.first).max())
+
+    def __len__(self):
+        return len(self.keys) - 1
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Place of each wanted hash, -1 where it is missing."""
+        at = self.first[(wanted >> np.uint64(64 - self.BITS)).astype(np.int64)]
+        open_ = np.flatnonzero(self.keys[at] != wanted)
+        for _ in range(1, self.longest):
+            if not len(open_):
+                break
+            at[open_] = np.minimum(at[open_] + 1, len(self))
+            open_ = open_[self.keys[at[open_]] < wanted[open_]]
+        at[self.keys[at] != wanted] = -1
+        at[at == len(self)] = -1
+        return at
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): one row (node, component).
 
