@@ -1,10 +1,11 @@
 """Declared data tests as distributed checks: each returns one row per test.
 
 * not_null and accepted_values: fused, one scan and one global aggregation
-  per table for all of its tests (partial aggregation, no collect).
+  per table for all of its tests (partial aggregation, no collect); their
+  failures count offending rows (not distinct values).
 * unique: all tests in one ``groupBy(test, key)`` with map-side counting, so
   a value shared by a third of the rows is a single partial count per task;
-  nulls are ignored; very large inputs use an exact hashed two-phase form.
+  nulls are ignored.
 * relationships: no join; child and parent keys of all tests are stacked
   and one aggregation per (test, key) counts child rows and notes a parent,
   both sides reduced map-side; null child keys pass.
@@ -23,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bankmart.config import Config
-from bankmart.plans.sizing import input_bytes
 from bankmart.sources.schemas import (AcceptedValues, Freshness, NotNull, Relationship,
                                       Unique)
 
@@ -115,73 +115,26 @@ def all_tests(tables: Mapping[str, DataFrame], specs: Iterable) -> DataFrame:
     return out
 
 
-# Above this estimated input size a unique test first shuffles 8-byte hashes
-# instead of the keys themselves (see _duplicate_keys_hashed).
-HASHED_UNIQUE_MIN_BYTES = 1 << 30
-# Largest set of colliding hashes that is broadcast (8 bytes each: 32 MB).
-MAX_BROADCAST_HASHES = 4_000_000
-
-
-def _duplicate_keys(keys: DataFrame) -> DataFrame:
-    """Distinct non-null keys occurring more than once: one partially aggregated count."""
-    return keys.groupBy("k").count().where(F.col("count") > 1)
-
-
-def _duplicate_keys_hashed(keys: DataFrame) -> DataFrame:
-    """The same result, exact, for very large tables with long keys.
-
-    1. Count xxhash64(key) per hash: the shuffle carries 8 bytes per key
-       instead of the key. Hashes seen once cannot belong to a duplicate.
-    2. The colliding hashes (true duplicates plus rare accidental collisions)
-       are checkpointed and counted. If their number is within
-       MAX_BROADCAST_HASHES they are broadcast and filter the keys map-side,
-       so only candidate keys reach the final exact count per key; beyond
-       that bound (massively duplicated data) the plain count per key runs.
-    """
-    spark = keys.sparkSession
-    hashed = keys.select("k", F.xxhash64("k").alias("h"))
-    colliding = hashed.groupBy("h").count().where(F.col("count") > 1).select("h")
-    if not spark.sparkContext.getCheckpointDir():
-        return _duplicate_keys(keys)
-    colliding = colliding.checkpoint(eager=True)
-    if colliding.count() > MAX_BROADCAST_HASHES:
-        return _duplicate_keys(keys)
-    candidates = hashed.join(F.broadcast(colliding), "h", "left_semi").select("k")
-    return _duplicate_keys(candidates)
-
-
-def unique(tables: Mapping[str, DataFrame], specs: Iterable,
-           hashed_min_bytes: int = HASHED_UNIQUE_MIN_BYTES) -> DataFrame:
+def unique(tables: Mapping[str, DataFrame], specs: Iterable) -> DataFrame:
     """Failures = number of distinct non-null values that occur more than once.
 
-    All tests on inputs below ``hashed_min_bytes`` share ONE aggregation: each
-    test's keys are tagged with the test's number and stacked, counted per
-    (test, key) with partial aggregation, and the duplicated keys are counted
-    per test in one global aggregate. Inputs estimated above the threshold
-    use the two-phase hashed form, which shuffles hashes rather than keys and
-    stays exact.
+    All tests share ONE aggregation: each test's keys are tagged with the test's
+    number and stacked, counted per (test, key) with partial aggregation, and the
+    duplicated keys are counted per test in one global aggregate. The same lazy
+    plan serves every input size; a value shared by many rows is one partial
+    count per task.
     """
     tests = [s for s in specs if isinstance(s, Unique)]
-    big = [t for t in tests if input_bytes(tables[t.table]) >= hashed_min_bytes]
-    small = [t for t in tests if t not in big]
-    parts = []
-    if small:
-        stacked = None
-        for i, t in enumerate(small):
-            keys = (tables[t.table].select(F.lit(i).alias("test_ix"),
-                                           F.col(t.column).cast("string").alias("k"))
-                    .where(F.col("k").isNotNull()))
-            stacked = keys if stacked is None else stacked.unionByName(keys)
-        dupes = stacked.groupBy("test_ix", "k").count().where(F.col("count") > 1)
-        counted = dupes.agg(*[F.count(F.when(F.col("test_ix") == i, F.lit(1))).alias(f"d{i}")
-                              for i in range(len(small))])
-        parts.append(_per_test_rows(counted, small, "unique", "d"))
-    for t in big:
-        keys = (tables[t.table].select(F.col(t.column).alias("k"))
+    stacked = None
+    for i, t in enumerate(tests):
+        keys = (tables[t.table].select(F.lit(i).alias("test_ix"),
+                                       F.col(t.column).cast("string").alias("k"))
                 .where(F.col("k").isNotNull()))
-        parts.append(_duplicate_keys_hashed(keys).agg(
-            *_result("unique", t.table, t.column, F.count(F.lit(1)))))
-    return _union(parts)
+        stacked = keys if stacked is None else stacked.unionByName(keys)
+    dupes = stacked.groupBy("test_ix", "k").count().where(F.col("count") > 1)
+    counted = dupes.agg(*[F.count(F.when(F.col("test_ix") == i, F.lit(1))).alias(f"d{i}")
+                          for i in range(len(tests))])
+    return _union([_per_test_rows(counted, tests, "unique", "d")])
 
 
 def relationships(tables: Mapping[str, DataFrame], specs: Iterable) -> DataFrame:

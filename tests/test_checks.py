@@ -112,15 +112,36 @@ def test_all_tests_in_one_result(project):
     assert sum(1 for r in rows if r.status == "FAIL") == 12
 
 
-def test_hashed_unique_matches_plain(spark, project):
-    tables = dict(project.raw.items())
-    specs = [s for s in schemas.SOURCE_TESTS if isinstance(s, schemas.Unique)]
-    plain = failures(checks.unique(tables, specs))
-    hashed = failures(checks.unique(tables, specs, hashed_min_bytes=0))
-    assert hashed == plain
-    # planted duplicates, including a hot value and nulls
+def test_unique_counts_duplicated_values(spark):
+    """Planted duplicates, including a hot value and nulls; one lazy plan, no broadcast."""
     rows = [("hot",)] * 500 + [(f"k{i}",) for i in range(300)] + [("k7",), ("k9",), (None,)] * 2
     df = spark.createDataFrame(rows, "k string")
-    spec = [schemas.Unique("t", "k")]
-    assert checks.unique({"t": df}, spec, hashed_min_bytes=0).first().failures == 3
-    assert checks.unique({"t": df}, spec).first().failures == 3
+    assert checks.unique({"t": df}, [schemas.Unique("t", "k")]).first().failures == 3
+
+
+def test_a_tampered_mart_fails_its_tests(project):
+    """Tie-out and mart tests see the mart they are given, not the customers it was made from."""
+    from pyspark.sql import functions as F
+
+    from bankmart.plans.project import Project
+
+    mart = project.mart_customer_360
+    doubled = mart.unionByName(mart.where(F.col("customer_id") == "C000000001"))
+    missing = mart.where(F.col("customer_id") != "C000000001")
+    nulled = mart.withColumn("ltv_tier", F.when(F.col("customer_id") != "C000000001", F.col("ltv_tier")))
+
+    def graph(df):
+        return Project(project.raw, project.cfg, {"mart_customer_360": df})
+
+    assert graph(mart).sttm_reconciliation.first().status == "PASS"
+    for df, variance in ((doubled, -1), (missing, 1)):
+        row = graph(df).sttm_reconciliation.first()
+        assert (row.status, row.variance) == ("FAIL", variance)
+
+    def status(checked, column):
+        return {r.status for r in checked.collect()
+                if r.table_name == "mart_customer_360" and r.column_name == column}
+
+    assert status(graph(doubled).chk_unique, "customer_id") == {"FAIL"}
+    assert status(graph(mart).chk_unique, "customer_id") == {"PASS"}
+    assert status(graph(nulled).chk_not_null, "ltv_tier") == {"FAIL"}
