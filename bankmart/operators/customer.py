@@ -1,11 +1,11 @@
 """Customer 360: 12-month transaction activity joined onto the financial record.
 
 Transactions are the only large fact. They are filtered to the rolling year
-and collapsed to one row per (account, month) *before* the join with
-accounts, so the join and every later shuffle move one row per account and
-active month (13 in the window, plus future-dated ones) instead of every
-transaction; a hot account is reduced map-side by
-partial aggregation and cannot skew any task.
+and collapsed to one row per account *before* the join with accounts; the
+active months travel as a bit mask that later steps merge by OR, so the
+path has three exchanges (account, accounts, customer) and every one moves at
+most a row per account. A hot account is reduced map-side by partial
+aggregation, a hot customer by the partial aggregation after the join.
 """
 
 from __future__ import annotations
@@ -18,6 +18,10 @@ from bankmart.functions import columns as C
 from bankmart.functions import rules as R
 
 
+# Months from the start of the window that one 64-bit mask holds.
+MASK_MONTHS = 62
+
+
 def txn_activity_12m(stg_transactions: DataFrame, stg_accounts: DataFrame,
                      cfg: Config) -> DataFrame:
     """Per customer: posted, non-reversal transactions of the last year.
@@ -33,25 +37,37 @@ def txn_activity_12m(stg_transactions: DataFrame, stg_accounts: DataFrame,
     # decimals once at the end
     amount_if = lambda kind: F.when(F.col("transaction_type") == kind,
                                     C.units("amount_abs")).otherwise(0)
-    per_account_month = recent.groupBy("account_id", "transaction_month").agg(
+    first = C.month_start(C.years_before(cfg.today()))
+    month = C.months_between_boundaries(first, "transaction_date")
+    near = F.col("transaction_date") < F.add_months(first, MASK_MONTHS)
+    per_account = recent.groupBy("account_id").agg(
         F.count("transaction_id").alias("n"),
         F.sum(amount_if("DEBIT")).alias("spend"),
         F.sum(amount_if("FEE")).alias("fees"),
         F.max("transaction_date").alias("last_date"),
+        F.bit_or(F.when(near, F.call_function("shiftleft", F.lit(1).cast("bigint"), month))).alias("months"),
     )
     owners = stg_accounts.select("account_id", "customer_id")
-    per_customer_month = (
-        per_account_month.join(owners, "account_id")
-        .groupBy("customer_id", "transaction_month")
-        .agg(F.sum("n").alias("n"), F.sum("spend").alias("spend"),
-             F.sum("fees").alias("fees"), F.max("last_date").alias("last_date"))
-    )
-    return per_customer_month.groupBy("customer_id").agg(
+    per_owner = per_account.join(owners, "account_id").select(
+        "customer_id", "n", "spend", "fees", "last_date", "months", F.lit(0).alias("far_months"))
+    # Months that the mask does not reach (more than four years ahead) are
+    # counted as distinct (customer, month) rows. The filter reaches the scan, so a
+    # table without such dates costs its row-group statistics only.
+    far = (recent.where(F.col("transaction_date") >= F.add_months(first, MASK_MONTHS))
+           .select("account_id", "transaction_month").distinct().join(owners, "account_id")
+           .select("customer_id", "transaction_month").distinct()
+           .select("customer_id", F.lit(0).cast("bigint").alias("n"),
+                   F.lit(0).cast("bigint").alias("spend"), F.lit(0).cast("bigint").alias("fees"),
+                   F.lit(None).cast("date").alias("last_date"),
+                   F.lit(None).cast("bigint").alias("months"), F.lit(1).alias("far_months")))
+    return per_owner.unionByName(far).groupBy("customer_id").agg(
         F.sum("n").cast("bigint").alias("total_transactions_12m"),
         C.from_units(F.sum("spend")).alias("total_spend_12m"),
         C.from_units(F.sum("fees")).alias("total_fees_12m"),
         F.max("last_date").alias("last_transaction_date"),
-        F.count("transaction_month").alias("active_months_12m"),
+        (F.coalesce(F.bit_count(F.bit_or("months")), F.lit(0))
+         + F.coalesce(F.sum("far_months"), F.lit(0)))
+        .cast("bigint").alias("active_months_12m"),
     )
 
 

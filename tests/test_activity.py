@@ -103,3 +103,21 @@ def test_surrogate_key_text_null_collides_with_null(spark):
         surrogate_key(F.lit(1), F.lit(None)).alias("k3")).first()
     assert row.k1 == row.k2                   # by design of the key
     assert len(row.k3) == 32
+
+
+def test_months_beyond_the_mask_are_exact(spark):
+    """Months 10 and 100 years ahead, twice on two accounts of a customer, a duplicated account
+    row and a hot account: every distinct month counts once."""
+    far10, far100 = dt.date(2034, 3, 5), dt.date(2124, 7, 9)
+    edge = [dt.date(2028, 7, 1), dt.date(2028, 8, 1)]             # the mask's last month and the next
+    rows = [txn(f"h{i}", "A1", "DEBIT", "POSTED", "1.00", dt.date(2024, 6, 1 + i % 14)) for i in range(300)]
+    rows += [txn("f1", "A1", "DEBIT", "POSTED", "1.00", far10), txn("f2", "A2", "DEBIT", "POSTED", "1.00", far10),
+             txn("f3", "A2", "FEE", "POSTED", "2.00", far100), txn("f4", "A1", "DEBIT", "POSTED", "1.00", edge[0]),
+             txn("f5", "A2", "DEBIT", "POSTED", "1.00", edge[1]), txn("f6", "A3", "DEBIT", "POSTED", "1.00", far100)]
+    t = staging.stg_transactions(spark.createDataFrame(rows, schemas.TRANSACTIONS), CFG)
+    a = accounts(spark, [("A1", "C1", "1.00"), ("A2", "C1", "1.00"), ("A3", "C2", "1.00"), ("A3", "C2", "1.00")])
+    out = {r.customer_id: r for r in customer.txn_activity_12m(t, a, CFG).collect()}
+    # 2024-06, 2034-03, 2124-07 and the two at the edge
+    assert out["C1"].active_months_12m == 5 and out["C1"].total_transactions_12m == 305
+    assert out["C1"].last_transaction_date == far100 and out["C1"].total_fees_12m == D("2.00")
+    assert out["C2"].active_months_12m == 1 and out["C2"].total_transactions_12m == 2
