@@ -1,14 +1,13 @@
 """Finance marts: loan, card and deposit portfolios, delinquency roll-forward.
 
 Each portfolio groups a product table by product keys plus the owner's
-segment. The owner's segment needs a join on customer_id, and one customer
-may own a third of all rows, so the product rows are first pre-aggregated
-per (customer_id, product keys) with map-side partial aggregation. The join
-then sees at most one row per customer and key combination (no hot key), and
-the final aggregation merges the partial sums and counts. Averages are
-carried as (sum, count) pairs and divided once at the end, exactly. Money
-and rates are summed as exact integer units (cents, 1/10000) in long
-arithmetic and turned back into decimals once, after the last merge.
+segment. The segment comes from a join on customer_id: both sides are
+shuffled once by the customer, a customer who owns a large share of the rows
+is split by AQE's skew join (a partial aggregation follows the join, so the
+split needs no further exchange), and one aggregation by the visible keys
+ends the plan. Averages are (sum, count) pairs divided once at the end,
+exactly. Money and rates are summed as exact integer units (cents, 1/10000)
+in long arithmetic and turned back into decimals once.
 """
 
 from __future__ import annotations
@@ -28,14 +27,9 @@ def _segments(stg_customers: DataFrame) -> DataFrame:
 
 
 def _rollup(facts: DataFrame, stg_customers: DataFrame, keys: list[str],
-            partials: list[F.Column]) -> DataFrame:
-    """Pre-aggregate per customer, attach the segment, return the joined partials."""
-    per_customer = facts.groupBy("customer_id", *keys).agg(*partials)
-    return per_customer.join(_segments(stg_customers), "customer_id")
-
-
-def _s(name: str) -> F.Column:
-    return F.sum(name).alias(name)
+            measures: list[F.Column]) -> DataFrame:
+    """Attach the owner's segment and aggregate once by the keys."""
+    return facts.join(_segments(stg_customers), "customer_id").groupBy(*keys).agg(*measures)
 
 
 def loan_portfolio(stg_loans: DataFrame, stg_customers: DataFrame) -> DataFrame:
@@ -45,7 +39,7 @@ def loan_portfolio(stg_loans: DataFrame, stg_customers: DataFrame) -> DataFrame:
     it: statuses that share the tier 9_UNKNOWN give several rows with equal
     visible keys there.
     """
-    partials = [
+    measures = [
         F.count("loan_id").alias("loan_count"),
         F.sum(C.units("principal_amount")).alias("total_originated"),
         F.sum(C.units("outstanding_balance")).alias("total_outstanding"),
@@ -61,12 +55,7 @@ def loan_portfolio(stg_loans: DataFrame, stg_customers: DataFrame) -> DataFrame:
         _count_if(F.col("is_charged_off")).alias("charged_off_count"),
     ]
     keys = ["loan_type", "risk_tier", "loan_status"]
-    joined = _rollup(stg_loans, stg_customers, keys, partials)
-    merged = joined.groupBy(*keys, "customer_segment").agg(
-        *[_s(c) for c in ("loan_count", "total_originated", "total_outstanding",
-                          "total_paid_down", "rate_sum", "rate_n", "age_sum", "age_n",
-                          "delinquent_balance", "charged_off_balance", "delinquent_count",
-                          "charged_off_count")])
+    merged = _rollup(stg_loans, stg_customers, [*keys, "customer_segment"], measures)
     return merged.select(
         *keys, "customer_segment",
         F.col("loan_count").cast("bigint").alias("loan_count"),
@@ -84,7 +73,7 @@ def loan_portfolio(stg_loans: DataFrame, stg_customers: DataFrame) -> DataFrame:
 
 
 def card_portfolio(stg_credit_cards: DataFrame, stg_customers: DataFrame) -> DataFrame:
-    partials = [
+    measures = [
         F.count("card_id").alias("card_count"),
         F.sum(C.units("credit_limit")).alias("total_credit_limit"),
         F.sum(C.units("current_balance")).alias("total_outstanding_balance"),
@@ -96,11 +85,7 @@ def card_portfolio(stg_credit_cards: DataFrame, stg_customers: DataFrame) -> Dat
         _count_if(F.col("utilization_risk") == "HIGH").alias("high_utilization_cards"),
     ]
     keys = ["card_product", "utilization_risk"]
-    joined = _rollup(stg_credit_cards, stg_customers, keys, partials)
-    merged = joined.groupBy("customer_segment", *keys).agg(
-        *[_s(c) for c in ("card_count", "total_credit_limit", "total_outstanding_balance",
-                          "total_available_credit", "util_sum", "util_n",
-                          "total_annual_fees", "active_cards", "high_utilization_cards")])
+    merged = _rollup(stg_credit_cards, stg_customers, ["customer_segment", *keys], measures)
     return merged.select(
         "customer_segment", *keys,
         F.col("card_count").cast("bigint").alias("card_count"),
@@ -115,7 +100,7 @@ def card_portfolio(stg_credit_cards: DataFrame, stg_customers: DataFrame) -> Dat
 
 
 def deposit_portfolio(stg_accounts: DataFrame, stg_customers: DataFrame) -> DataFrame:
-    partials = [
+    measures = [
         F.count("account_id").alias("account_count"),
         _count_if(F.col("is_active")).alias("active_accounts"),
         F.sum(C.units("balance")).alias("total_balance"), F.count("balance").alias("balance_n"),
@@ -124,10 +109,7 @@ def deposit_portfolio(stg_accounts: DataFrame, stg_customers: DataFrame) -> Data
         F.count("interest_rate").alias("rate_n"),
     ]
     keys = ["account_type", "account_category"]
-    joined = _rollup(stg_accounts, stg_customers, keys, partials)
-    merged = joined.groupBy("customer_segment", *keys).agg(
-        *[_s(c) for c in ("account_count", "active_accounts", "total_balance", "balance_n",
-                          "total_available", "rate_sum", "rate_n")])
+    merged = _rollup(stg_accounts, stg_customers, ["customer_segment", *keys], measures)
     return merged.select(
         "customer_segment", *keys,
         F.col("account_count").cast("bigint").alias("account_count"),
