@@ -46,9 +46,11 @@ def clean(c: ColumnOrName) -> Column:
     return F.trim(col(c))
 
 
-# A word starts after any character that is not a letter, a digit, an
-# apostrophe or a space (spaces are initcap's own word break).
-_WORD_BREAK = r"([^\p{L}\p{N}' ])"
+# The characters after which a new word starts (white space and
+# these signs). Others, such as an apostrophe of either kind, an equals sign or a combining mark,
+# stay inside a word. The space itself is initcap's own word break.
+WORD_DELIMITERS = "!?@\"^#$&~_,.:;+-*%/|\\[](){}<>\t\n\r\f\v"
+_WORD_BREAK = r"""([!?@"^#$&~_,.:;+\-*%/|\\\[\](){}<>\t\n\r\f\x0B])"""
 
 
 def proper_case(c: ColumnOrName) -> Column:
@@ -56,8 +58,8 @@ def proper_case(c: ColumnOrName) -> Column:
 
     Spark's initcap only breaks at spaces: a space is put after every other
     delimiter, initcap capitalises, and the added spaces are taken out again.
-    Letters are Unicode letters ('élan' -> 'Élan'); an apostrophe does not
-    break a word ("o'brien" -> "O'brien").
+    Case is Unicode's ('élan' -> 'Élan'); an apostrophe does not
+    break a word ("o'brien" -> "O'brien"), nor does a combining mark.
     """
     spaced = F.regexp_replace(F.lower(col(c)), _WORD_BREAK, "$1 ")
     return F.regexp_replace(F.initcap(spaced), _WORD_BREAK + " ", "$1")
@@ -114,8 +116,9 @@ def units(c: ColumnOrName, scale: int = 2) -> Column:
 
     Summing these longs is exact and much cheaper than summing decimals: a
     decimal sum is widened past 18 digits, where Spark leaves its compact
-    64-bit representation for BigDecimal arithmetic. Under ANSI mode a sum
-    that left the long range would fail, never wrap.
+    64-bit representation for BigDecimal arithmetic. The capacity is that of
+    a long: a group's sum of cents up to about 9.2e18 (9.2e16 in money). Under
+    ANSI mode, which ``configure`` sets, a sum beyond it fails and never wraps.
     """
     return (col(c) * (10 ** scale)).cast("long")
 

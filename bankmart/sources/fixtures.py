@@ -71,6 +71,12 @@ def _case_map(key: Column, mapping: dict, default) -> Column:
     return expr.otherwise(F.lit(default).cast("string"))
 
 
+# First names by customer key: one and several words, every kind of word break
+# and of character that is none (both apostrophes, a combining accent, an equals sign).
+FIRST_NAMES = (" customer ", "mary-jane", "o'brien", "d\u2019angelo", " anna  maria", "JEAN-luc PAUL",
+               "rene\u0301e", "a=b smith", "\u00e9lan (jr.)", "x_y/z", "tab\tname")
+
+
 def _ts(d: Column) -> Column:
     return d.cast("timestamp_ntz")
 
@@ -78,14 +84,14 @@ def _ts(d: Column) -> Column:
 def customers(customer: DataFrame, nation: DataFrame, region: DataFrame,
               as_of: dt.date) -> DataFrame:
     k = F.col("c_custkey")
-    # nation and region are the fixed 25- and 5-row reference tables.
-    geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-    base = customer.join(F.broadcast(geo.select("n_nationkey", "n_name", "r_name")),
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    base = customer.join(geo.select("n_nationkey", "n_name", "r_name"),
                          customer.c_nationkey == geo.n_nationkey)
     segment = _case_map(F.col("c_mktsegment"), SEGMENT_BY_MKTSEGMENT, "RETAIL")
     return base.select(
         _customer_id(k).alias("customer_id"),
-        F.lit(" customer ").alias("first_name"),
+        F.element_at(F.array(*map(F.lit, FIRST_NAMES)), (k % len(FIRST_NAMES) + 1).cast("int"))
+        .alias("first_name"),
         F.col("n_name").alias("last_name"),
         F.when(k % 23 == 0, F.lit(None).cast("string"))
          .when(k % 97 == 0, F.lit("shared@email.com"))

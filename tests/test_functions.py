@@ -178,3 +178,13 @@ def test_config_accepts_iso_text():
     assert cfg.checked_at == _dt.datetime(2024, 6, 16, 1, 0)
     with _pytest.raises(ValueError):
         Config(start_date="15/06/2024")
+
+
+def test_proper_case_delimiters(spark):
+    """A fixed list of delimiters breaks words; marks, both apostrophes and '=' do not."""
+    cases = {"mary-jane": "Mary-Jane", "o'brien": "O'brien", "d\u2019angelo": "D\u2019angelo",
+             "a=b": "A=b", "rene\u0301e": "Rene\u0301e", "JEAN-luc  PAUL": "Jean-Luc  Paul",
+             "x_y/z": "X_Y/Z", "tab\tname": "Tab\tName", "\u00e9lan (jr.)": "\u00c9lan (Jr.)", "": ""}
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()], "x string, want string")
+    for r in df.select("want", C.proper_case("x").alias("got")).collect():
+        assert r.got == r.want
