@@ -8,6 +8,7 @@ import tempfile
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from bankmart.config import FIXTURE_CONFIG, Config
@@ -85,11 +86,43 @@ def test_no_python_in_any_plan(spark, sf_small, name):
         assert node not in plan
 
 
-def test_portfolio_pre_aggregates_per_customer(landed):
-    plan = optimized(landed.loan_portfolio)
-    join_at = plan.index("Join Inner")
-    below = plan[join_at:]
-    assert re.search(r"Aggregate \[customer_id#\d+, loan_type", below)
+def test_portfolio_is_one_aggregation_after_the_join(landed):
+    """The owner's segment is joined to the rows themselves; one aggregation ends the plan."""
+    for name in ("loan_portfolio", "card_portfolio", "deposit_portfolio"):
+        plan = optimized(landed.model(name))
+        assert plan.count("Aggregate [") == 1 and plan.index("Aggregate [") < plan.index("Join Inner"), name
+
+
+def test_hot_customer_of_a_portfolio_is_split(spark):
+    """One customer has a third of the loans: AQE splits the join, without a further exchange."""
+    n = 60_000
+    loans = spark.range(n).select(
+        F.col("id").alias("loan_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 500)).alias("customer_id"),
+        F.repeat(F.md5(F.col("id").cast("string")), 20).alias("loan_type"))
+    customers = spark.range(500).select(F.concat(F.lit("c"), F.col("id")).alias("customer_id"),
+                                        F.lit("RETAIL").alias("customer_segment")).union(
+        spark.createDataFrame([("hot", "VIP")], "customer_id string, customer_segment string"))
+    from bankmart.operators import portfolio
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+            "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0b",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = portfolio._rollup(loans, customers, ["customer_segment"],
+                               [F.count("loan_id").alias("n"), F.max("loan_type").alias("m")])
+        assert {r.customer_segment: r.n for r in df.collect()} == {"RETAIL": n - n // 3, "VIP": n // 3}
+        plan = plan_of(df)
+        assert "skew=true" in plan
+        final = plan[plan.index("== Final Plan =="):plan.index("== Initial Plan ==")]
+        assert len(re.findall(r"(?<!Broadcast)(?<!Reused)Exchange ", final)) <= 3
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_relationship_check_is_one_aggregation(landed):
@@ -104,8 +137,11 @@ def test_unique_tests_share_one_aggregation(landed):
     assert plan.count("Aggregate [test_ix#") == 1
 
 
-def test_tie_out_has_no_join(landed):
-    assert "Join" not in optimized(landed.sttm_reconciliation)
+def test_mart_checks_scan_the_stored_mart(spark, sf_small):
+    """Tie-out, mart tests and funnel read the mart's files, none of its columns folds away."""
+    for name in E.FROM_STORED_MART:
+        df = E.queries()[name](spark, sf_small)
+        assert any("mart_customer_360" in f for f in df.inputFiles()), name
 
 
 def test_column_checks_are_one_aggregate_per_table(landed):
@@ -114,11 +150,11 @@ def test_column_checks_are_one_aggregate_per_table(landed):
     assert plan.count("Aggregate [count(") == 6
 
 
-def test_only_reference_tables_are_hinted_broadcast(spark, sf_small):
-    """No model hints a broadcast; the fixture mapping hints only nation and region."""
+def test_nothing_is_hinted_broadcast(spark, sf_small):
+    """Neither a model nor the fixture mapping hints a broadcast."""
     assert "strategy=broadcast" not in optimized(E.queries()["mart_customer_360"](spark, sf_small))
     derived = fixtures.raw_tables(spark, sf_small).customers
-    assert optimized(derived).count("strategy=broadcast") == 2
+    assert "strategy=broadcast" not in optimized(derived)
 
 
 def test_hot_customer_is_split_by_aqe(spark):
