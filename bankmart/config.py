@@ -27,8 +27,8 @@ class Config:
                 of the query (views re-evaluate it when read).
     start_date  transactions dated before it are dropped in staging.
     env         target name (dev, prod).
-    schema_prefix  prefix of every layer's database; default: ``env``
-                (``<prefix>_<layer>``, e.g. ``dev_staging``).
+    schema_prefix  the target schema, prefix of every layer's database; default:
+                ``dbt_<env>`` (``<schema>_<layer>``, e.g. ``dbt_dev_staging``).
     checked_at  timestamp used by source freshness; None = midnight of
                 ``as_of`` when pinned, else current_timestamp().
     """
@@ -68,8 +68,8 @@ class Config:
         return F.lit(self.start_date).cast("date")
 
     def database(self, layer: str) -> str:
-        """Database (schema) name for a layer, e.g. ``dev_staging``."""
-        return self.layer_databases.get(layer, f"{self.schema_prefix or self.env}_{layer}")
+        """Database (schema) name for a layer, e.g. ``dbt_dev_staging``."""
+        return self.layer_databases.get(layer, f"{self.schema_prefix or f'dbt_{self.env}'}_{layer}")
 
 
 # The pinned settings used with the driver's test tables (see FIXTURES.md):

@@ -1,9 +1,10 @@
 """Build the project: select layers or models, materialise them in order.
 
-* Staging and intermediate models are views (a temp view per model, plus the
-  lazy DataFrame); marts are tables, fully replaced on every build.
-* Each layer has its own database, ``<env>_<layer>`` (``dev_staging``,
-  ``prod_finance``, ...).
+* Staging and intermediate models are session temp views (plus the lazy
+  DataFrame): their plans are DataFrame code, which a catalog view cannot hold.
+  Marts are tables, fully replaced on every build.
+* Marts and seeds are in the database of their layer, ``<schema>_<layer>``
+  (``dbt_dev_gtm``, ``dbt_prod_finance``, ...).
 * The load timestamp column is stamped only here, when a model is
   materialised; the model functions stay deterministic.
 * A mart that reads another mart reads the *written* table, not a recomputed
@@ -66,7 +67,7 @@ BY_NAME = {m.name: m for m in MODELS}
 
 
 def layer_database(cfg: Config, layer: str) -> str:
-    """``marts.finance`` -> ``<env>_finance``; ``staging`` -> ``<env>_staging``."""
+    """``marts.finance`` -> ``<schema>_finance``; ``staging`` -> ``<schema>_staging``."""
     return cfg.database(layer.split(".")[-1])
 
 
@@ -95,21 +96,28 @@ def with_load_timestamp(df: DataFrame) -> DataFrame:
     return df.withColumn(LOAD_TIMESTAMP, F.current_timestamp())
 
 
+# The value that this module set, by session: a later build sizes anew.
+_SIZED: dict[int, str] = {}
+
+
 def size_initial_partitions(spark: SparkSession, raw: RawTables,
                             target_bytes: int = 128 * 1024 * 1024) -> int | None:
     """Set AQE's initial shuffle partition count from the raw input size.
 
-    Only when the session did not configure it. Uses the size of the
+    Only when the session did not configure it; a value set by an earlier
+    build is replaced. Uses the size of the
     relations the raw tables read (file sizes for Parquet), so nothing is
     read; see ``bankmart.plans.sizing``.
     """
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    if spark.conf.get(key, None):
+    current = spark.conf.get(key, None)
+    if current and current != _SIZED.get(id(spark)):
         return None
     total = sum(input_bytes(df) for _, df in raw.items())
     parallelism = spark.sparkContext.defaultParallelism
     n = max(parallelism, -(-total // target_bytes))
     spark.conf.set(key, str(n))
+    _SIZED[id(spark)] = str(n)
     return n
 
 
@@ -212,7 +220,7 @@ def build(spark: SparkSession, raw: RawTables, cfg: Config | None = None,
 
 def load_seed(spark: SparkSession, path: str, cfg: Config | None = None,
               name: str = "raw_customers") -> str:
-    """Load the customer seed CSV as a table in ``<env>_seeds``."""
+    """Load the customer seed CSV as a table in ``<schema>_seeds``."""
     cfg = cfg or Config()
     target = f"{cfg.database('seeds')}.{name}"
     publish_table(spark, read_seed_customers(spark, path), target)

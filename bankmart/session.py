@@ -1,7 +1,10 @@
 """SparkSession helpers.
 
-On a cluster the session comes from the platform; ``configure`` only adds the
-SQL settings the models rely on and never overrides what the cluster set. The
+On a cluster the session comes from the platform; ``configure`` sets the SQL
+settings the models rely on (ANSI, UTC as the session time zone, AQE with
+coalescing and skew join) whatever the cluster set for them, and one tuning
+value only where the session still has Spark's default. With UTC, an unpinned
+"today" is the UTC date. The
 checkpoint folder is read from ``spark.checkpoint.dir``; a local one is created
 only when nothing is configured (tests on one machine).
 """

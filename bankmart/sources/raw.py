@@ -63,29 +63,32 @@ def from_frames(lenient: bool = False, **frames: DataFrame) -> RawTables:
     return RawTables(**{name: _conform(df, name, lenient) for name, df in frames.items()})
 
 
-def land(tables: RawTables, root: str, files: int | None = None) -> RawTables:
+ROWS_PER_FILE = 4_000_000
+
+
+def land(tables: RawTables, root: str) -> RawTables:
     """Write the raw tables as Parquet folders ``<root>/<table>`` and read them back.
 
     The landing step of a raw load: later reads are plain Parquet scans
     (filters on the raw columns push down, splits run in parallel) instead
-    of recomputing whatever produced ``tables``. ``files`` sets the number
-    of files per table (default: one per 128 MB of input, at least the
-    session's default parallelism). ``root`` must be a fresh or disposable
-    folder on storage every executor can read.
+    of recomputing whatever produced ``tables``. Nothing is shuffled for it: each
+    task writes what it read, in files of up to ``ROWS_PER_FILE`` rows. ``root``
+    must be a fresh or disposable folder on storage every executor can read.
     """
-    from bankmart.plans.sizing import input_bytes
-
     spark = tables.customers.sparkSession
     for name, df in tables.items():
-        n = files or max(spark.sparkContext.defaultParallelism,
-                         -(-input_bytes(df) // (128 * 1024 * 1024)))
-        df.repartition(n).write.mode("overwrite").parquet(f"{root}/{name}")
+        df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{root}/{name}")
     return read_parquet(spark, root)
 
 
 def read_seed_customers(spark: SparkSession, path: str) -> DataFrame:
-    """The customer seed CSV (header row), typed like the raw customers table."""
-    seed = spark.read.schema(schemas.SEED_CUSTOMERS).option("header", True).csv(path)
+    """The customer seed CSV (header row), typed like the raw customers table.
+
+    A row that does not parse, or a header that does not name the declared
+    columns in order, fails the run.
+    """
+    seed = spark.read.schema(schemas.SEED_CUSTOMERS).option("header", True) \
+        .option("mode", "FAILFAST").option("enforceSchema", False).csv(path)
     return _conform(seed, "customers")
 
 

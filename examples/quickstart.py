@@ -33,13 +33,13 @@ def main() -> None:
 
     spark.sql("""
         SELECT lifecycle_stage, count(*) AS customers, round(avg(engagement_score), 1) AS score
-        FROM dev_gtm.mart_customer_360 GROUP BY lifecycle_stage ORDER BY customers DESC
+        FROM dbt_dev_gtm.mart_customer_360 GROUP BY lifecycle_stage ORDER BY customers DESC
     """).show()
-    spark.table("dev_governance.mart_kpi_governance").where(
+    spark.table("dbt_dev_governance.mart_kpi_governance").where(
         "record_type <> 'KPI_DEFINITION'").show(truncate=False)
 
     # data tests against the built marts
-    built = {"mart_customer_360": spark.table("dev_gtm.mart_customer_360")}
+    built = {"mart_customer_360": spark.table("dbt_dev_gtm.mart_customer_360")}
     tests = Project(raw, FIXTURE_CONFIG, built).all_tests()
     tests.where("status = 'FAIL'").orderBy("test", "table_name", "column_name").show(truncate=False)
     spark.stop()

@@ -28,8 +28,8 @@ def test_selectors():
 
 def test_layer_databases():
     cfg = dataclasses.replace(FIXTURE_CONFIG, env="prod")
-    assert pipeline.layer_database(cfg, "marts.finance") == "prod_finance"
-    assert pipeline.layer_database(cfg, "staging") == "prod_staging"
+    assert pipeline.layer_database(cfg, "marts.finance") == "dbt_prod_finance"
+    assert pipeline.layer_database(cfg, "staging") == "dbt_prod_staging"
     named = dataclasses.replace(cfg, schema_prefix="analytics_prod")
     assert pipeline.layer_database(named, "marts.gtm") == "analytics_prod_gtm"
 
@@ -37,21 +37,21 @@ def test_layer_databases():
 def test_build_writes_tables_and_views(spark, sf_small):
     raw = fixtures.raw_tables(spark, sf_small)
     res = pipeline.build(spark, raw, FIXTURE_CONFIG, select=["staging", "marts"])
-    assert res.built["mart_customer_360"] == "dev_gtm.mart_customer_360"
-    assert res.built["mart_portfolio_performance"] == "dev_finance.mart_portfolio_performance"
-    assert res.built["mart_kpi_governance"] == "dev_governance.mart_kpi_governance"
+    assert res.built["mart_customer_360"] == "dbt_dev_gtm.mart_customer_360"
+    assert res.built["mart_portfolio_performance"] == "dbt_dev_finance.mart_portfolio_performance"
+    assert res.built["mart_kpi_governance"] == "dbt_dev_governance.mart_kpi_governance"
     assert res.built["stg_loans"] == "stg_loans"          # a view
-    c360 = spark.table("dev_gtm.mart_customer_360")
+    c360 = spark.table("dbt_dev_gtm.mart_customer_360")
     assert pipeline.LOAD_TIMESTAMP in c360.columns and c360.count() == 150
     assert spark.table("stg_loans").count() == 375
     # the funnel read the stored customer 360 table
-    funnel = spark.table("dev_gtm.mart_acquisition_funnel")
+    funnel = spark.table("dbt_dev_gtm.mart_acquisition_funnel")
     assert funnel.where("record_type = 'CHANNEL_SUMMARY'").count() == 5
-    gov = spark.table("dev_governance.mart_kpi_governance")
+    gov = spark.table("dbt_dev_governance.mart_kpi_governance")
     assert gov.where("record_type = 'STTM_RECON' AND value_3 = 'PASS'").count() == 1
     # a second build replaces, not appends
     pipeline.build(spark, raw, FIXTURE_CONFIG, select=["marts.finance"])
-    assert spark.table("dev_finance.mart_portfolio_performance").count() == \
+    assert spark.table("dbt_dev_finance.mart_portfolio_performance").count() == \
         res.frames["mart_portfolio_performance"].count()
 
 
@@ -106,7 +106,7 @@ def test_command_line_run_and_test(spark, sf_small):
     common = ["--raw-root", root, "--as-of", "2001-11-05", "--start-date", "2000-01-01",
               "--env", "cli"]
     assert main(["run", "--select", "marts.finance", *common]) == 0
-    assert spark.table("cli_finance.mart_portfolio_performance").count() > 0
+    assert spark.table("dbt_cli_finance.mart_portfolio_performance").count() > 0
     assert main(["test", "--sources-only", *common]) == 1        # planted violations fail
     assert main(["freshness", *common]) == 0
     assert main(["freshness", "--checked-at", "2001-11-07T01:00", *common]) == 1   # 49 h: ERROR
@@ -137,7 +137,7 @@ def test_customer_360_files_are_clustered(spark, sf_small):
 
     raw = fixtures.raw_tables(spark, sf_small)
     pipeline.build(spark, raw, FIXTURE_CONFIG, select=["mart_customer_360"])
-    rows = (spark.table("dev_gtm.mart_customer_360")
+    rows = (spark.table("dbt_dev_gtm.mart_customer_360")
             .select(F.input_file_name().alias("f"), "customer_segment").collect())
     by_file = {}
     for r in rows:
@@ -156,13 +156,13 @@ def test_command_line_tests_read_the_built_mart(spark, sf_small):
               "--env", "cli2"]
     assert main(["run", "--select", "mart_customer_360", *common]) == 0
     # corrupt the stored mart: a duplicated customer must make the unique test fail
-    stored = spark.table("cli2_gtm.mart_customer_360")
-    pipeline.publish_table(spark, stored.unionByName(stored.limit(1)), "cli2_gtm.mart_customer_360")
+    stored = spark.table("dbt_cli2_gtm.mart_customer_360")
+    pipeline.publish_table(spark, stored.unionByName(stored.limit(1)), "dbt_cli2_gtm.mart_customer_360")
     from bankmart.plans.project import Project
     from bankmart.sources import raw as raw_mod
 
     project = Project(raw_mod.read_parquet(spark, root), FIXTURE_CONFIG,
-                      {"mart_customer_360": spark.table("cli2_gtm.mart_customer_360")})
+                      {"mart_customer_360": spark.table("dbt_cli2_gtm.mart_customer_360")})
     got = {(r.table_name, r.column_name): r.failures for r in project.chk_unique.collect()}
     assert got[("mart_customer_360", "customer_id")] == 1
     assert main(["test", *common]) == 1
@@ -242,4 +242,4 @@ def test_command_line_seed(spark):
                  "acquisition_channel,state,zip_code,created_at,updated_at\n"
                  "S1,ada,lovelace,a@b.c,555,RETAIL,DIGITAL,NY,01234,2020-02-02,2024-01-01\n")
     assert main(["seed", "--path", path, "--env", "cliseed"]) == 0
-    assert spark.table("cliseed_seeds.raw_customers").count() == 1
+    assert spark.table("dbt_cliseed_seeds.raw_customers").count() == 1
