@@ -2,26 +2,26 @@
 
 A set is a document's distinct shingles as 64-bit hashes (a clash inside one
 pair of sets has a chance of about n^2 / 2^65). Equal sets are one node. Links
-between different sets are found without comparing all pairs:
+between different sets are found without listing all pairs:
 
 1. *Extended prefixes.* In hash order, two sets that link share at least k of
    their first n - ceil(t n) + k shingles. Only these go to a grouping by
-   shingle, packed as 4-byte fingerprints per (input slice, bucket); it returns
-   a frequency class per shingle. A set with fewer than k shingles that occur
-   elsewhere links with nothing and is finished here.
+   shingle, packed as 4-byte fingerprints per (chunk of input, bucket); it returns
+   a frequency class per shingle. A set with fewer than k shingles that other sets
+   have links with nothing and is finished here.
 2. *Rarest first.* Of the shared shingles of a prefix, the k - 1 most frequent
    can be left out on both sides (the rarest shingle of a link always stays).
    What remains is the inverted index; long lists of common passages are gone.
 3. *Skipping by position.* A shingle at place i of a set leaves at most n - i
-   common ones, which bounds the partner's size. Lists are cut into blocks by
-   size, and a set visits only the blocks that its place in the list allows.
-4. *Answers from similar sets.* Every set of a list is first compared with a
-   few leaders of the list (a number that grows with the logarithm of the
-   list). Afterwards only pairs of different components are open. Their overlap
-   is bounded from both sides by the overlaps with a common leader; a pair that
-   the bounds decide is not compared. The rest is compared exactly.
-
-No list is expanded into all its pairs unless its sets are truly unlinked.
+   common ones, which bounds the size of a partner. Sorted by size, a list falls into
+   blocks such that no set reaches beyond its block; only sets of one block meet.
+4. *Answers from similar sets.* Blocks that share their first set form a cluster;
+   a set is sent once to a cluster, whatever number of lists they share. Inside,
+   every set is compared with one pivot. The overlap of two others is
+   bounded from both sides by their overlaps with the pivot; what the bounds leave
+   open is computed from the pivot's shingles and the few that both have
+   besides. Clusters are cut into parts of bounded size that are compared pairwise.
+   A task returns a spanning forest of its links, never all pairs.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, mix64, shuffle_width, slices, stored, text_bytes
@@ -46,7 +46,11 @@ _LOWER[65:91] += 32
 
 SLICE_BYTES = 2 << 20          # texts hashed at a time by a task
 CHUNK_BYTES = 8 << 20          # prefixes packed together
-LEADER_ORDERS = 12
+CHUNK_SETS = 1 << 16
+PART_SETS = 1024               # sets of a cluster that are compared together
+PART_SHINGLES = 1 << 20
+COLUMNS = 2048                 # shingles multiplied at a time
+ROWS = 256
 
 
 def _powers(factor: int, n: int) -> np.ndarray:
@@ -126,7 +130,7 @@ def _guaranteed_by_any(n, percent: int):
 def _pack(chunk: list, buckets: int):
     """Prefixes of one chunk's distinct sets as (bucket, fingerprints, set numbers)."""
     tokens = mix64(np.concatenate([t for _, t in chunk]))   # the hash order used the high bits up
-    owner = np.repeat(np.arange(len(chunk), dtype=np.uint32), [len(t) for _, t in chunk])
+    owner = np.repeat(np.arange(len(chunk), dtype=np.uint16), [len(t) for _, t in chunk])
     bucket = tokens % np.uint64(buckets)
     mark = (tokens >> np.uint64(32)).astype(np.uint32)
     order = np.lexsort((owner, mark, bucket))
@@ -138,7 +142,7 @@ def _pack(chunk: list, buckets: int):
             yield b, mark[a:z].tobytes(), owner[a:z].tobytes()
 
 
-_FIRST = ("kind string, doc_id long, n long, signature binary, chunk string, number int, "
+_FIRST = ("kind string, doc_id long, digest long, n long, signature binary, chunk string, number int, "
           "bucket int, marks binary, owners binary")
 
 
@@ -149,7 +153,7 @@ def _first_pass(words: int, percent: int, buckets: int):
 
         hasher = Hasher(words)
         schema = pa.schema([
-            ("kind", pa.string()), ("doc_id", pa.int64()), ("n", pa.int64()),
+            ("kind", pa.string()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()),
             ("signature", pa.binary()), ("chunk", pa.string()), ("number", pa.int32()),
             ("bucket", pa.int32()), ("marks", pa.binary()), ("owners", pa.binary())])
 
@@ -161,16 +165,16 @@ def _first_pass(words: int, percent: int, buckets: int):
             return [], uuid.uuid4().hex, 0, set()
 
         def packed(chunk, name):
-            rows = [("prefix", None, None, None, name, None, *x) for x in _pack(chunk, buckets)]
+            rows = [("prefix", None, None, None, None, name, None, *x) for x in _pack(chunk, buckets)]
             for a in range(0, len(rows), 256):
                 yield made(rows[a:a + 256])
 
         chunk, name, size, seen = fresh()
         for batch in batches:
-            for part in slices(batch, SLICE_BYTES):
+            for part in slices(batch, SLICE_BYTES, rows=4096):
                 rows = []
-                ids = part.column("doc_id").to_pylist()
-                for doc_id, tokens in zip(ids, hasher.sets(part.column("text"))):
+                keys = zip(part.column("doc_id").to_pylist(), part.column("digest").to_pylist())
+                for (doc_id, digest), tokens in zip(keys, hasher.sets(part.column("text"))):
                     mark = signature(tokens) if len(tokens) else None
                     number = None
                     if mark is not None and mark not in seen:   # copies in a chunk send one prefix
@@ -178,9 +182,9 @@ def _first_pass(words: int, percent: int, buckets: int):
                         number = len(chunk)
                         chunk.append((mark, tokens[:_prefix(len(tokens), percent)].copy()))
                         size += chunk[-1][1].nbytes
-                    rows.append(("doc", doc_id, len(tokens), mark, name, number, None, None, None))
+                    rows.append(("doc", doc_id, digest, len(tokens), mark, name, number, None, None, None))
                 yield made(rows)
-                if size >= CHUNK_BYTES:
+                if size >= CHUNK_BYTES or len(chunk) > CHUNK_SETS - 4096:
                     yield from packed(chunk, name)
                     chunk, name, size, seen = fresh()
         if chunk:
@@ -189,15 +193,28 @@ def _first_pass(words: int, percent: int, buckets: int):
     return run
 
 
-def _distinct_marks(parts):
-    """One row per mark of a (chunk, bucket), with its number of sets: a common mark travels once."""
+def _own(prefixes, sets) -> list:
+    """(bucket, marks, owners) of a chunk without sets that another chunk stands for."""
+    counted = np.zeros(CHUNK_SETS, bool)
+    counted[sets.number.to_numpy(np.int64)] = True
+    out = []
+    for b, marks, owners in zip(prefixes.bucket, prefixes.marks, prefixes.owners):
+        marks, owners = np.frombuffer(marks, np.uint32), np.frombuffer(owners, np.uint16)
+        keep = counted[owners]
+        if keep.any():
+            out.append((b, marks[keep], owners[keep]))
+    return out
+
+
+def _distinct_marks(prefixes, sets):
+    """One row per (bucket, chunk): its marks with their numbers of sets; a common mark travels once."""
     import pandas as pd
 
-    for pdf in parts:
-        pairs = [np.unique(np.frombuffer(m, np.uint32), return_counts=True) for m in pdf.marks]
-        yield pd.DataFrame({"bucket": pdf.bucket, "chunk": pdf.chunk,
-                            "marks": [u.tobytes() for u, _ in pairs],
-                            "counts": [c.astype(np.uint32).tobytes() for _, c in pairs]})
+    rows = []
+    for b, marks, _ in _own(prefixes, sets):
+        marks, counts = np.unique(marks, return_counts=True)
+        rows.append((b, prefixes.chunk.iloc[0], marks.tobytes(), counts.astype(np.uint32).tobytes()))
+    return pd.DataFrame(rows, columns=["bucket", "chunk", "marks", "counts"])
 
 
 def _classify(pdf):
@@ -218,18 +235,17 @@ def _classify(pdf):
 
 
 def _index(percent: int):
-    """Per chunk: the sets that can have a link, with the shingles that can show it, rarest first."""
+    """Per chunk: the sets that can have a link, with their index entries, rarest first."""
     def run(prefixes, rest):
         import pandas as pd
 
         names = ["signature", "n", "rare", "tokens"]
-        sets = rest[rest.kind == "set"].sort_values("number")
-        levels = dict(zip(rest.bucket[rest.kind == "class"], rest.levels[rest.kind == "class"]))
-        if not len(prefixes):
+        sets = rest[rest.kind == "set"]
+        if not len(sets) or not len(prefixes):
             return pd.DataFrame(columns=names)
+        levels = dict(zip(rest.bucket[rest.kind == "class"], rest.levels[rest.kind == "class"]))
         token, owner, level = [], [], []
-        for b, marks, owners in zip(prefixes.bucket, prefixes.marks, prefixes.owners):
-            marks, owners = np.frombuffer(marks, np.uint32), np.frombuffer(owners, np.uint32)
+        for b, marks, owners in _own(prefixes, sets):
             each = np.frombuffer(levels[b], np.uint8)[np.unique(marks, return_inverse=True)[1]]
             shared = each > 0
             token.append((np.int64(b) << np.int64(32)) | marks[shared].astype(np.int64))
@@ -238,123 +254,163 @@ def _index(percent: int):
         token, owner, level = map(np.concatenate, (token, owner, level))
         order = np.lexsort((token, level, owner))
         token, owner = token[order], owner[order]
-        n = sets.n.to_numpy(np.int64)
-        ends = np.searchsorted(owner, np.arange(len(n) + 1))
-        shared = np.diff(ends)
-        keep = shared - _guaranteed_by_any(n, percent) + 1
-        rows = [(mark, n[j], _prefix(n[j], percent) - shared[j], token[ends[j]:ends[j] + keep[j]])
-                for j, mark in enumerate(sets.signature) if keep[j] > 0]
+        n, number = sets.n.to_numpy(np.int64), sets.number.to_numpy(np.int64)
+        begin, end = np.searchsorted(owner, number), np.searchsorted(owner, number, side="right")
+        kept = end - begin - _guaranteed_by_any(n, percent) + 1
+        rare = _prefix(n, percent) - (end - begin)
+        rows = [(mark, n[j], rare[j], token[begin[j]:begin[j] + kept[j]])
+                for j, mark in enumerate(sets.signature) if kept[j] > 0]
         return pd.DataFrame(rows, columns=names)
 
     return run
 
 
 def _shingled(words: int):
-    """Sets of texts, for those whose signature is the expected one."""
+    """Sets of texts whose signature is the expected one, once for every cluster part they go to."""
     def run(batches):
         import pyarrow as pa
 
         hasher = Hasher(words)
+        schema = pa.schema([("leader", pa.int64()), ("one", pa.int32()), ("two", pa.int32()),
+                            ("part", pa.int32()), ("sid", pa.int64()), ("tokens", pa.binary())])
         for batch in batches:
-            for part in slices(batch, SLICE_BYTES):
-                rows = [(w, len(t), t.tobytes()) for w, t in zip(
-                    part.column("expected").to_pylist(), hasher.sets(part.column("text")))
-                    if len(t) and signature(t) == w]
-                if rows:
-                    s, n, t = zip(*rows)
+            for rows in slices(batch, SLICE_BYTES):
+                out, size = [], 0
+                for sid, mark, clusters, tokens in zip(
+                        rows.column("sid").to_pylist(), rows.column("signature").to_pylist(),
+                        rows.column("clusters").to_pylist(), hasher.sets(rows.column("text"))):
+                    if not len(tokens) or signature(tokens) != mark:
+                        continue
+                    data = tokens.tobytes()
+                    for c in clusters:
+                        part = sid % c["parts"]
+                        for other in range(c["parts"]):
+                            out.append((c["leader"], min(part, other), max(part, other), part, sid, data))
+                            size += len(data)
+                            if size >= 4 * SLICE_BYTES:
+                                yield pa.RecordBatch.from_arrays(
+                                    [pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
+                                out, size = [], 0
+                if out:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(s, pa.binary()), pa.array(n, pa.int64()), pa.array(t, pa.binary())],
-                        ["signature", "n", "tokens"])
+                        [pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
 
     return run
 
 
-def _common(parts):
-    """Size of the intersection of two sorted sets, per row."""
-    import pandas as pd
-
-    for pdf in parts:
-        out = []
-        for x, y in zip(pdf.x, pdf.y):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            out.append(int((y[at] == x).sum()))
-        yield pd.DataFrame({"a": pdf.a, "b": pdf.b, "na": pdf.na, "nb": pdf.nb, "common": out})
-
-
-def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Exact overlap of every pair (a, b) of signatures."""
-    left = sets.select(F.col("signature").alias("a"), F.col("n").alias("na"),
-                       F.col("tokens").alias("x"))
-    right = sets.select(F.col("signature").alias("b"), F.col("n").alias("nb"),
-                        F.col("tokens").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInPandas(
-        _common, "a binary, b binary, na long, nb long, common long")
-
-
-def _linked(percent: int):
-    return F.expr(f"100 * common >= {percent} * (na + nb - common)")
-
+def _incidence(rows: np.ndarray, columns: np.ndarray, low: int, n: int) -> np.ndarray:
+    """0/1 matrix (n sets x COLUMNS shingles) of the entries with columns from ``low``."""
+    out = np.zeros((n, COLUMNS), np.float32)
+    own = (columns >= low) & (columns < low + COLUMNS)
+    out[rows[own], columns[own] - low] = 1
+    return out
+
+
+def linked_sets(sets: list, parts: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sorted sets link, as a boolean matrix; only pairs of different ``parts`` if there are two."""
+    m = len(sets)
+    n = np.array([len(t) for t in sets], np.int64)
+    pivot = int(np.argmin(np.abs(n - np.median(n))))
+    tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(m), n)
+    in_pivot = np.zeros(len(tokens), bool)
+    in_pivot[column[row == pivot]] = True
+    shared = np.bincount(row, in_pivot[column], m).astype(np.int64)     # with the pivot
+    # columns: the pivot's first, then those that two sets have besides it
+    useful = np.bincount(column, minlength=len(tokens)) > 1
+    order = np.full(len(tokens), -1, np.int64)
+    for some in (useful & in_pivot, useful & ~in_pivot):
+        order[some] = order.max() + 1 + np.arange(some.sum())
+    column = order[column]
+    row, column = row[column >= 0], column[column >= 0]
+    width = int(column.max()) + 1 if len(column) else 0
+
+    total = n[:, None] + n[None]
+    most = np.minimum(shared[:, None], shared) + np.minimum((n - shared)[:, None], n - shared)
+    least = shared[:, None] + shared - n[pivot]
+    sure = (100 + percent) * least >= percent * total
+    unsure = ((100 + percent) * most >= percent * total) & ~sure \
+        & (100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n))
+    if parts.min() != parts.max():
+        apart = parts[:, None] != parts
+        sure &= apart
+        unsure &= apart
+    np.fill_diagonal(sure, False)
+    np.fill_diagonal(unsure, False)
+    out = sure
+    open_ = [(a, b) for a in range(0, m, ROWS) for b in range(a, m, ROWS)
+             if unsure[a:a + ROWS, b:b + ROWS].any()]
+    if open_:
+        common = np.zeros((m, m), np.float32)
+        for low in range(0, width, COLUMNS):
+            matrix = _incidence(row, column, low, m)
+            for a, b in open_:
+                common[a:a + ROWS, b:b + ROWS] += matrix[a:a + ROWS] @ matrix[b:b + ROWS].T
+        for a, b in open_:
+            found = (100 + percent) * common[a:a + ROWS, b:b + ROWS].astype(np.int64) \
+                >= percent * total[a:a + ROWS, b:b + ROWS]
+            found &= unsure[a:a + ROWS, b:b + ROWS]
+            out[a:a + ROWS, b:b + ROWS] |= found
+            out[b:b + ROWS, a:a + ROWS] |= found.T
+    return out
+
+
+def _forest(linked: np.ndarray) -> list:
+    """Edges of a spanning forest of a boolean matrix."""
+    edges = []
+    left = np.flatnonzero(linked.any(1))
+    while len(left):
+        front, left = left[:1], left[1:]
+        while len(front) and len(left):
+            met = linked[np.ix_(front, left)]
+            found = met.any(0)
+            edges += zip(front[met.argmax(0)[found]].tolist(), left[found].tolist())
+            front, left = left[found], left[~found]
+    return edges
+
+
+def _cluster(percent: int):
+    def run(pdf):
+        import pandas as pd
 
-def _place_allows(n: str, place: str, other: str, percent: int):
-    """The shingles from ``place`` on suffice for a link with a set of ``other`` shingles."""
-    return F.expr(f"({100 + percent}) * ({n} - {place}) >= {percent} * ({n} + {other})")
+        pdf = pdf.drop_duplicates("sid")     # rows of one doc_id and text bring a set twice
+        sid = pdf.sid.to_numpy()
+        if len(sid) < 2:
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        linked = linked_sets([np.frombuffer(t, np.uint64) for t in pdf.tokens], pdf.part.to_numpy(), percent)
+        edges = np.array(_forest(linked), np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": sid[edges[:, 0]], "b": sid[edges[:, 1]]})
 
+    return run
 
-def _open_pairs(entries: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different components that share an index entry and may link.
 
-    Lists are cut into blocks of sizes; a set visits the blocks between the
-    least partner size and the largest that its place in the list leaves possible.
-    """
-    entries = entries.join(labels.select(F.col("node").alias("signature"), "component"),
-                           "signature", "left").withColumn(
-        "component", F.coalesce("component", "signature"))
-    mixed = entries.groupBy("token").agg(F.min("component").alias("u"), F.max("component").alias("v")) \
-        .where("u != v").select("token")
-    entries = entries.join(mixed, "token")
-
-    def block(size):
-        return F.floor(F.log(size.cast("double")) / F.log(F.lit(1.1)) + 1e-9)
-
-    index = entries.select("token", block(F.col("n")).alias("block"), F.col("signature").alias("b"),
-                           F.col("n").alias("nb"), F.col("place").alias("pb"),
-                           F.col("component").alias("cb"))
-    most = F.least(F.floor(F.col("n") * 100 / percent),
-                   F.floor((F.col("n") - F.col("place")) * (100 + percent) / percent) - F.col("n"))
-    probes = entries.withColumn("most", most).where("most >= n").select(
-        "token", F.explode(F.sequence(block(F.col("n")), block(F.col("most")))).alias("block"),
-        F.col("signature").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"),
-        F.col("component").alias("ca"))
-    return probes.join(index, ["token", "block"]).where(
-        (F.expr("ca != cb and (na < nb or (na = nb and a < b))"))
-        & F.expr(f"100 * na >= {percent} * nb")
-        & _place_allows("na", "pa", "nb", percent) & _place_allows("nb", "pb", "na", percent)) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _bounded(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """The pairs with bounds of their overlap, derived from overlaps with a common third set."""
-    both = known.select(F.col("a").alias("s"), F.col("na").alias("ns"), F.col("b").alias("l"),
-                        F.col("nb").alias("nl"), "common") \
-        .union(known.select("b", "nb", "a", "na", "common"))
-    one = both.select(F.col("s").alias("a"), F.col("ns").alias("na"), "l", "nl", F.col("common").alias("oa"))
-    two = both.select(F.col("s").alias("b"), F.col("ns").alias("nb"), "l", F.col("common").alias("ob"))
-    found = pairs.join(one, "a").join(two, ["b", "l"]).groupBy("a", "b").agg(
-        F.first("na").alias("na"), F.first("nb").alias("nb"),
-        F.max(F.expr("oa + ob - nl")).alias("least"),
-        F.min(F.expr("least(oa, ob) + least(na - oa, nb - ob)")).alias("most"))
-    return pairs.join(found, ["a", "b"], "left")
+def _clusters(index: DataFrame, percent: int) -> DataFrame:
+    """Per set the clusters it belongs to: (sid, [(leader, parts)])."""
+    entries = index.select("sid", "n", "rare", F.posexplode("tokens").alias("i", "token")).select(
+        "token", "sid", "n",
+        # the largest partner that the shingles from this place on leave possible
+        F.least(F.floor(F.col("n") * 100 / percent), F.floor(
+            (F.col("n") - F.col("rare") - F.col("i")) * (100 + percent) / percent) - F.col("n")).alias("most"))
+    by_size = Window.partitionBy("token").orderBy("n", "sid")
+    begins = F.col("n") > F.coalesce(F.max(F.greatest("most", "n")).over(
+        by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = entries.withColumn("begins", begins.cast("long")) \
+        .withColumn("block", F.sum("begins").over(by_size.rowsBetween(Window.unboundedPreceding, 0)))
+    heads = blocks.groupBy("token", "block").agg(F.min("sid").alias("leader"), F.count("*").alias("sets")) \
+        .where("sets > 1").select("token", "block", "leader")
+    members = stored(blocks.join(heads, ["token", "block"]).select("leader", "sid", "n").distinct(), "members")
+    parts = members.groupBy("leader").agg(F.greatest(
+        F.ceil(F.count("*") / F.lit(PART_SETS)), F.ceil(F.sum("n") / F.lit(PART_SHINGLES))).cast("int").alias("parts"))
+    return members.join(parts, "leader").groupBy("sid").agg(
+        F.collect_list(F.struct("leader", "parts")).alias("clusters"))     # up to an entry each
 
 
 def ngram_jaccard_join(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Link documents whose shingle sets have a Jaccard similarity of ``percent`` % or more.
 
     Returns one row per row of ``documents`` (doc_id, text): doc_id, n_shingles
-    (size of its set), component_id (the smallest doc_id reachable by links),
-    signature (of its set, null if empty). A-Z are lower-cased, words are runs
+    (size of its set), component_id (the smallest doc_id reachable by links), group (names the
+    component), signature (of its set, null if empty as is group), digest (of its text). A-Z are lower-cased, words are runs
     of characters other than space and \\t-\\r; a text with fewer words than a
     shingle is one shingle. A null, empty or wordless text has the empty set and links
     with nothing (component_id = doc_id). Repeated rows and repeated ids are kept as they are;
@@ -365,65 +421,59 @@ def ngram_jaccard_join(documents: DataFrame, words: int = 5, percent: int = 80)
         raise ValueError("percent must be 50 to 100, words 1 to 64")
     spark = documents.sparkSession
     buckets = 4 * shuffle_width(spark)
-    documents = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    documents = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")) \
+        .withColumn("digest", F.xxhash64("text"))
     first = stored(documents.mapInArrow(_first_pass(words, percent, buckets), _FIRST), "shingles",
                    ("kind",))
-    docs = first.where("kind = 'doc'").select("doc_id", "n", "signature", "chunk", "number")
+    docs = first.where("kind = 'doc'").select("doc_id", "digest", "n", "signature", "chunk", "number")
     prefixes = first.where("kind = 'prefix'").select("chunk", "bucket", "marks", "owners")
     rest = "kind string, chunk string, bucket int, number int, n long, signature binary, levels binary"
-    classes = prefixes.select("bucket", "chunk", "marks").mapInPandas(
+    own = docs.where("number is not null").groupBy("signature").agg(
+        F.min(F.struct("chunk", "number")).alias("at"), F.first("n").alias("n"))
+    own = stored(own.select("signature", "n", "at.chunk", "at.number"), "own")   # one chunk stands for a set
+    by_chunk = prefixes.groupBy("chunk")
+    classes = by_chunk.cogroup(own.groupBy("chunk")).applyInPandas(
         _distinct_marks, "bucket int, chunk string, marks binary, counts binary") \
         .groupBy("bucket").applyInPandas(_classify, rest)
-    numbered = docs.where("number is not null").select(
+    numbered = own.select(
         F.lit("set").alias("kind"), "chunk", F.lit(None).cast("int").alias("bucket"), "number", "n",
         "signature", F.lit(None).cast("binary").alias("levels"))
-    index = stored(prefixes.groupBy("chunk").cogroup(classes.union(numbered).groupBy("chunk"))
-                   .applyInPandas(_index(percent), "signature binary, n long, rare long, tokens array<long>")
-                   .dropDuplicates(["signature"]), "index")
-
-    chosen = docs.join(index.select("signature"), "signature").groupBy("signature").agg(
-        F.min("doc_id").alias("id"))
-    sets = stored(documents.join(chosen, documents.doc_id.eqNullSafe(chosen.id))
-                  .select("text", F.col("signature").alias("expected"))
-                  .mapInArrow(_shingled(words), "signature binary, n long, tokens binary")
-                  .dropDuplicates(["signature"]), "sets")
-
-    entries = index.select("signature", "n", "rare", F.posexplode("tokens").alias("i", "token")).select(
-        "token", "signature", "n", (F.col("rare") + F.col("i")).alias("place"))
-    h = F.xxhash64("signature")
-    lists = entries.groupBy("token").agg(F.count("*").alias("length"), F.array(*[
-        F.min(F.struct(F.xxhash64(h, F.lit(j)).alias("order"), F.col("signature").alias("b"),
-                       F.col("n").alias("nb"), F.col("place").alias("pb")))
-        for j in range(LEADER_ORDERS)]).alias("leaders")).where("length > 1").select(
-        "token", F.expr("slice(leaders, 1, 1 + int(ln(length) / ln(4)))").alias("leaders"))
-    stars = entries.join(lists, "token").select(
-        F.col("signature").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"),
-        F.explode("leaders").alias("leader")).select("a", "na", "pa", "leader.*").where(
-        F.expr(f"a != b and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-        & _place_allows("na", "pa", "nb", percent) & _place_allows("nb", "pb", "na", percent)) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    compared = stored(_compare(stars, sets), "compared")
-    labels = components(compared.where(_linked(percent)))
-
-    pairs = _open_pairs(entries, labels, percent).join(compared.select("a", "b"), ["a", "b"], "left_anti")
-    pairs = stored(_bounded(pairs, compared), "open")
-    decided = pairs.where(F.expr("least is not null") & F.expr(
-        f"100 * least >= {percent} * (na + nb - least)"))
-    unknown = pairs.where(F.expr("most is null") | F.expr(
-        f"100 * most >= {percent} * (na + nb - most) and 100 * least < {percent} * (na + nb - least)"))
-    further = _compare(unknown, sets).where(_linked(percent)).select("a", "b") \
-        .union(decided.select("a", "b"))
-
-    def labelled(df, side):
-        own = labels.select(F.col("node").alias(side), F.col("component").alias("c"))
-        return df.join(own, side, "left").withColumn(side, F.coalesce("c", side)).drop("c")
-
-    merged = components(labelled(labelled(further, "a"), "b")).withColumnRenamed("node", "was")
-    sets_of = docs.select("doc_id", "n", "signature") \
-        .join(labels.withColumnRenamed("node", "signature"), "signature", "left") \
-        .withColumn("was", F.coalesce("component", "signature")).drop("component") \
-        .join(merged, "was", "left").withColumn("group", F.coalesce("component", "was")).drop("component")
+    index = by_chunk.cogroup(classes.union(numbered).groupBy("chunk")).applyInPandas(
+        _index(percent), "signature binary, n long, rare long, tokens array<long>")
+    index = stored(index.withColumn("sid", F.monotonically_increasing_id()), "index")
+
+    known = index.select("sid", "signature").join(_clusters(index, percent), "sid")
+    chosen = docs.join(known, "signature").groupBy("sid", "signature").agg(
+        F.min("doc_id").alias("id"), F.first("clusters").alias("clusters"))
+    # one plan whatever the number of sets: both sides are shuffled by the id
+    texts = documents.join(chosen.hint("merge"), documents.doc_id.eqNullSafe(chosen.id))
+    edges = texts.select("text", "sid", "signature", "clusters").mapInArrow(
+        _shingled(words), "leader long, one int, two int, part int, sid long, tokens binary") \
+        .groupBy("leader", "one", "two").applyInPandas(_cluster(percent), "a long, b long")
+    groups = index.select("sid", "signature").join(
+        components(edges).withColumnRenamed("node", "sid"), "sid", "left") \
+        .select("signature", F.coalesce("component", "sid").alias("found"))
+    # a set that no candidate met is a group by itself: its signature names it
+    sets_of = docs.select("doc_id", "digest", "n", "signature").join(groups, "signature", "left").withColumn(
+        "group", F.coalesce(F.col("found").cast("string"), F.hex("signature"))).drop("found")
     least = sets_of.where("signature is not null").groupBy("group").agg(F.min("doc_id").alias("least_id"))
     return sets_of.join(least, "group", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.expr("if(signature is null, doc_id, least_id)").alias("component_id"), "signature")
+        F.expr("if(signature is null, doc_id, least_id)").alias("component_id"),
+        "group", "signature", "digest")
+
+
+def one_of_each_group(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``documents`` with one row of every group of linked documents, that of the smallest doc_id.
+
+    Documents without a word are no copies of each other and all stay. Rows of
+    one doc_id and text are one document.
+    """
+    found = ngram_jaccard_join(documents, words, percent).where("doc_id <=> component_id")
+    kept = found.where("signature is not null").dropDuplicates(["group"]) \
+        .union(found.where("signature is null")).select("doc_id", "digest").distinct().alias("k")
+    rows = documents.withColumn("join_digest", F.xxhash64("text")) \
+        .dropDuplicates(["doc_id", "join_digest"]).alias("d")
+    return rows.join(kept, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
+                     & (F.col("d.join_digest") == F.col("k.digest"))) \
+        .select(*[F.col(f"d.`{c}`") for c in documents.columns])
