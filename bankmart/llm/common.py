@@ -40,6 +40,18 @@ def shipped(spark: SparkSession, value):
     return lambda: cloudpickle.loads(data.value)
 
 
+def hash_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """Up to ``limit`` rows, those of the smallest hashes of ``key``; all rows if there are no more.
+
+    The threshold is set for 97 % of ``limit``, so that the final limit never has to choose.
+    """
+    n = df.count()
+    if n <= limit:
+        return df
+    least = int(-(2**63) + 0.97 * limit / n * 2**64)
+    return df.where(F.xxhash64(key) < F.lit(least)).limit(limit)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
