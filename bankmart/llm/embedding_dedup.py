@@ -137,7 +137,7 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.93, cells: int
                   "vectors")
     groups = stored(rows.groupBy("label", "dim", "digest").agg(
         F.min("id").alias("least"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
-        .withColumn("id", F.xxhash64("label", "dim", "digest")), "vector-groups")
+        .withColumn("id", F.monotonically_increasing_id()), "vector-groups")
     centres = {d: spherical_kmeans(x, cells) for d, x in sample(rows, sample_rows).items()}
     label = dict(vectors.dtypes)["label"]
     assigned = stored(groups.select("label", "dim", "id", "copies", "vector").mapInPandas(

@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import hash_sample
+
 SCHEMA = "id long, dim int, digest binary, vector binary"
 
 
@@ -50,7 +52,7 @@ def matrix(column) -> np.ndarray:
 
 
 def sample(rows: DataFrame, limit: int) -> dict:
-    """Unit vectors of the ``limit`` rows that come first in a hash order, by dimension (bounded)."""
-    found = rows.select("dim", "vector", "digest", "id").orderBy(F.xxhash64("id"), "id", "digest") \
-        .limit(limit).toPandas()
+    """Unit vectors of up to ``limit`` rows, chosen by a hash of their ids, by dimension (bounded)."""
+    found = hash_sample(rows.select("id", "dim", "digest", "vector"), "id", limit).toPandas() \
+        .sort_values(["id", "digest"])
     return {int(d): matrix(own.vector) for d, own in found.groupby("dim")}
