@@ -108,13 +108,14 @@ def ranges(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The stretches flat[begin:begin + size], one after the other."""
     stop = np.cumsum(size)
     total = int(stop[-1]) if len(stop) else 0
-    return flat[np.repeat(begin - (stop - size), size) + np.arange(total)]
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    return flat[np.repeat((begin - (stop - size)).astype(kind), size) + np.arange(total, dtype=kind)]
 
 
 class PartCache:
     """Ids of parts of texts that a task has met; forgets all when it holds ``LIMIT`` parts."""
 
-    LIMIT = 1 << 19
+    LIMIT = 1 << 20
 
     def __init__(self, encode):
         self.encode = encode       # parts -> (ids of all, sizes)

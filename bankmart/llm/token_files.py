@@ -24,10 +24,12 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bankmart.plans.sizing import input_bytes
+
 from .common import PartCache, ranges, scratch, shuffle_width, slices, stored, text_bytes
 
-SLICE_BYTES = 4 << 20
-JOINED = 256                  # parts that go through the tokenizer as one text
+SLICE_BYTES = 12 << 20
+JOINED = 2048                 # parts that go through the tokenizer as one text
 FILE_BYTES = 64 << 20         # a file ends with the document that reaches this
 
 # Fixed values of the public zstandard seekable format.
@@ -36,10 +38,18 @@ _SEEK_TABLE = 0x184D2A5E
 _SEEKABLE_MAGIC = 0x8F92EAB1
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_SIGN = np.zeros(256, bool)
+_SIGN[[i for i in range(33, 127) if not chr(i).isalnum() and chr(i) not in "'<|>"]] = True
+
+
 def cut_points(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where the parts of all texts begin: at each text, and at each single space inside it.
+    """Where the parts of all texts begin: at each text, at each single space inside it, and at signs after letters.
 
     Beside the space there must be printable ASCII, or a character whose lead byte no white space has.
+    A sign begins a pre-token after an ASCII letter; an apostrophe may belong to a contraction and the
+    signs of the special token's text to it, so there is no cut at these.
     """
     n = len(raw)
     graph = (raw > 0x20) & (raw < 0x7F)
@@ -50,8 +60,11 @@ def cut_points(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     before = graph[space - 1] | ((raw[space - 1] >= 0x80) & (
         ((space > 1) & lead2[space - 2]) | ((space > 2) & lead3[space - 3])))
     after = graph[space + 1] | lead2[space + 1] | lead3[space + 1]
-    points = np.union1d(space[before & after], offsets[:-1][np.diff(offsets) > 0])
-    return points
+    cut = np.zeros(n, bool)
+    cut[space[before & after]] = True
+    cut[1:] |= _SIGN[raw[1:]] & _LETTER[raw[:-1]]
+    cut[offsets[:-1][np.diff(offsets) > 0]] = True
+    return np.flatnonzero(cut)
 
 
 class Encoder:
@@ -74,9 +87,9 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _parts(self, parts: list) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of distinct parts. Parts that begin with a space before a letter or sign and end
-        with ASCII that is none are encoded many at once, and told apart by the bytes of their ids."""
-        plain = [len(p) > 1 and p[0] == " " and "!" <= p[1] <= "~" and "!" <= p[-1] <= "~" for p in parts]
+        """Ids of distinct parts. Parts that begin with one space and do not end with white space
+        are encoded many at once, and told apart by the bytes of their ids."""
+        plain = [len(p) > 1 and p[0] == " " and not (p[1].isspace() or p[-1].isspace()) for p in parts]
         lists: list = [None] * len(parts)
         size = np.zeros(len(parts), np.int64)
         alone = [i for i, x in enumerate(plain) if not x]
@@ -85,7 +98,7 @@ class Encoder:
         together = [i for i, x in enumerate(plain) if x]
         groups = [together[a:a + JOINED] for a in range(0, len(together), JOINED)]
         for group, ids in zip(groups, self._encoded(["".join(parts[i] for i in g) for g in groups])):
-            ends = np.cumsum([len(parts[i].encode()) for i in group])
+            ends = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in (parts[i] for i in group)])
             cut = np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1
             lists[group[0]] = ids
             size[group] = np.diff(cut, prepend=0)
@@ -121,8 +134,8 @@ class Encoder:
             begin, size = np.append(begin, len(flat)), np.append(size, 1)
             flat = np.append(flat, np.int32(self.end_id))
             at = at + np.arange(n + 1)
-        ids = ranges(flat, begin[index], size[index])
-        return ids.astype(np.uint32), np.append(0, np.cumsum(size[index]))[at]
+        size = size[index]
+        return ranges(flat, begin[index], size), np.append(0, np.cumsum(size))[at]
 
 
 class FileWriter:
@@ -248,8 +261,14 @@ def write_token_files(documents: DataFrame, tokenizer: str, end_id: int | None =
         if writer is not None:
             yield done()
 
+    # large parts share more words; twice what a task reads
+    read = documents.sparkSession.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        documents.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
+    size = input_bytes(documents)
+    unknown = size >= 1 << 62        # Spark's own default where it knows no size
+    parts = shuffle_width(documents.sparkSession) if unknown else max(1, -(-size // (2 * read)))
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")) \
-        .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+        .repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     manifest = rows.mapInArrow(run, "file string, partition int, part int, docs long, tokens long")
     return stored(manifest, "token-manifest").withColumn("folder", F.lit(folder))
 
