@@ -12,9 +12,12 @@ between different sets are found without listing all pairs:
 2. *Rarest first.* Of the shared shingles of a prefix, the k - 1 most frequent
    can be left out on both sides (the rarest shingle of a link always stays).
    What remains is the inverted index; long lists of common passages are gone.
-3. *Skipping by position.* A shingle at place i of a set leaves at most n - i
-   common ones, which bounds the size of a partner. Sorted by size, a list falls into
-   blocks such that no set reaches beyond its block; only sets of one block meet.
+3. *Skipping by position.* Two sets meet at the first shingle that both have in their
+   indexed prefixes; what a set has before it is not in the other's prefix. That it
+   is not in the other set at all holds for its first shingles in hash order only
+   (``_reaches``: a linked partner of a given size has them in its prefix if anywhere).
+   These bound the size of a partner. Sorted by size, a list falls into blocks such
+   that no set reaches beyond its block; only sets of one block meet.
 4. *Answers from similar sets.* Blocks that share their first set form a cluster;
    a set is sent once to a cluster, whatever number of lists they share. Inside,
    every set is compared with one pivot. The overlap of two others is
@@ -27,6 +30,7 @@ between different sets are found without listing all pairs:
 from __future__ import annotations
 
 import uuid
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -51,6 +55,7 @@ PART_SETS = 1024               # sets of a cluster that are compared together
 PART_SHINGLES = 1 << 20
 COLUMNS = 2048                 # shingles multiplied at a time
 ROWS = 256
+CELLS = 8                      # ranges of partner sizes that are bounded one by one
 
 
 def _powers(factor: int, n: int) -> np.ndarray:
@@ -127,23 +132,54 @@ def _guaranteed_by_any(n, percent: int):
     return _guaranteed(_least_overlap(n, percent), percent)
 
 
-def _pack(chunk: list, buckets: int):
-    """Prefixes of one chunk's distinct sets as (bucket, fingerprints, set numbers)."""
-    tokens = mix64(np.concatenate([t for _, t in chunk]))   # the hash order used the high bits up
-    owner = np.repeat(np.arange(len(chunk), dtype=np.uint16), [len(t) for _, t in chunk])
+@lru_cache(1 << 14)
+def _reaches(n: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of sets of n and their partners of n to n / t, the sizes in CELLS ranges: per range the least
+    overlap of a link, the largest size, and the reach.
+
+    The j-th shingle of a set, if a linked partner of b has it, is among the partner's
+    first j + b - overlap ones, so in its prefix for every j up to prefix - b + overlap:
+    the reach, taken over all sizes up to the range's largest.
+    """
+    b = np.arange(n, max(n, 100 * n // percent) + 1)
+    overlap = -(-percent * (n + b) // (100 + percent))
+    reach = np.minimum.accumulate(_prefix(b, percent) - b + overlap)
+    edges = np.linspace(0, len(b), CELLS + 1).astype(np.int64)
+    last = np.maximum(edges[1:], 1) - 1
+    return overlap[np.minimum(edges[:-1], len(b) - 1)], b[last], reach[last]
+
+
+def _zones(n: int, percent: int) -> np.ndarray:
+    """For each place of the prefix of a set of n: the number of ranges whose reach covers it."""
+    reach = _reaches(n, percent)[2]
+    return (np.arange(_prefix(n, percent))[:, None] < reach).sum(1).astype(np.uint8)
+
+
+def _largest_partner(n: int, percent: int, unshared: np.ndarray) -> np.ndarray:
+    """Largest size of a partner by ``unshared`` (entries x CELLS), shingles of a set of n that are in
+    no partner of a range; 0 if no range is possible."""
+    overlap, size, _ = _reaches(n, percent)
+    return np.where(n - unshared >= overlap, size, 0).max(1)
+
+
+def _pack(chunk: list, buckets: int, percent: int):
+    """Prefixes of one chunk's distinct sets as (bucket, fingerprints, set numbers, zones)."""
+    tokens = mix64(np.concatenate([t for _, t, _ in chunk]))   # the hash order used the high bits up
+    owner = np.repeat(np.arange(len(chunk), dtype=np.uint16), [len(t) for _, t, _ in chunk])
+    zone = np.concatenate([_zones(n, percent) for _, _, n in chunk])
     bucket = tokens % np.uint64(buckets)
     mark = (tokens >> np.uint64(32)).astype(np.uint32)
     order = np.lexsort((owner, mark, bucket))
-    bucket, mark, owner = bucket[order], mark[order], owner[order]
+    bucket, mark, owner, zone = bucket[order], mark[order], owner[order], zone[order]
     ends = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
     for b in range(buckets):
         a, z = ends[b], ends[b + 1]
         if z > a:
-            yield b, mark[a:z].tobytes(), owner[a:z].tobytes()
+            yield b, mark[a:z].tobytes(), owner[a:z].tobytes(), zone[a:z].tobytes()
 
 
 _FIRST = ("kind string, doc_id long, digest long, n long, signature binary, chunk string, number int, "
-          "bucket int, marks binary, owners binary")
+          "bucket int, marks binary, owners binary, zones binary")
 
 
 def _first_pass(words: int, percent: int, buckets: int):
@@ -155,7 +191,8 @@ def _first_pass(words: int, percent: int, buckets: int):
         schema = pa.schema([
             ("kind", pa.string()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()),
             ("signature", pa.binary()), ("chunk", pa.string()), ("number", pa.int32()),
-            ("bucket", pa.int32()), ("marks", pa.binary()), ("owners", pa.binary())])
+            ("bucket", pa.int32()), ("marks", pa.binary()), ("owners", pa.binary()),
+            ("zones", pa.binary())])
 
         def made(rows):
             return pa.RecordBatch.from_arrays(
@@ -165,7 +202,7 @@ def _first_pass(words: int, percent: int, buckets: int):
             return [], uuid.uuid4().hex, 0, set()
 
         def packed(chunk, name):
-            rows = [("prefix", None, None, None, None, name, None, *x) for x in _pack(chunk, buckets)]
+            rows = [("prefix", None, None, None, None, name, None, *x) for x in _pack(chunk, buckets, percent)]
             for a in range(0, len(rows), 256):
                 yield made(rows[a:a + 256])
 
@@ -180,9 +217,10 @@ def _first_pass(words: int, percent: int, buckets: int):
                     if mark is not None and mark not in seen:   # copies in a chunk send one prefix
                         seen.add(mark)
                         number = len(chunk)
-                        chunk.append((mark, tokens[:_prefix(len(tokens), percent)].copy()))
+                        chunk.append((mark, tokens[:_prefix(len(tokens), percent)].copy(), len(tokens)))
                         size += chunk[-1][1].nbytes
-                    rows.append(("doc", doc_id, digest, len(tokens), mark, name, number, None, None, None))
+                    rows.append(("doc", doc_id, digest, len(tokens), mark, name, number, None, None, None,
+                                 None))
                 yield made(rows)
                 if size >= CHUNK_BYTES or len(chunk) > CHUNK_SETS - 4096:
                     yield from packed(chunk, name)
@@ -194,15 +232,15 @@ def _first_pass(words: int, percent: int, buckets: int):
 
 
 def _own(prefixes, sets) -> list:
-    """(bucket, marks, owners) of a chunk without sets that another chunk stands for."""
+    """(bucket, marks, owners, zones) of a chunk without sets that another chunk stands for."""
     counted = np.zeros(CHUNK_SETS, bool)
     counted[sets.number.to_numpy(np.int64)] = True
     out = []
-    for b, marks, owners in zip(prefixes.bucket, prefixes.marks, prefixes.owners):
+    for b, marks, owners, zones in zip(prefixes.bucket, prefixes.marks, prefixes.owners, prefixes.zones):
         marks, owners = np.frombuffer(marks, np.uint32), np.frombuffer(owners, np.uint16)
         keep = counted[owners]
         if keep.any():
-            out.append((b, marks[keep], owners[keep]))
+            out.append((b, marks[keep], owners[keep], np.frombuffer(zones, np.uint8)[keep]))
     return out
 
 
@@ -211,7 +249,7 @@ def _distinct_marks(prefixes, sets):
     import pandas as pd
 
     rows = []
-    for b, marks, _ in _own(prefixes, sets):
+    for b, marks, _, _ in _own(prefixes, sets):
         marks, counts = np.unique(marks, return_counts=True)
         rows.append((b, prefixes.chunk.iloc[0], marks.tobytes(), counts.astype(np.uint32).tobytes()))
     return pd.DataFrame(rows, columns=["bucket", "chunk", "marks", "counts"])
@@ -239,27 +277,34 @@ def _index(percent: int):
     def run(prefixes, rest):
         import pandas as pd
 
-        names = ["signature", "n", "rare", "tokens"]
+        names = ["signature", "n", "tokens", "most"]
         sets = rest[rest.kind == "set"]
         if not len(sets) or not len(prefixes):
             return pd.DataFrame(columns=names)
         levels = dict(zip(rest.bucket[rest.kind == "class"], rest.levels[rest.kind == "class"]))
-        token, owner, level = [], [], []
-        for b, marks, owners in _own(prefixes, sets):
-            each = np.frombuffer(levels[b], np.uint8)[np.unique(marks, return_inverse=True)[1]]
-            shared = each > 0
-            token.append((np.int64(b) << np.int64(32)) | marks[shared].astype(np.int64))
-            owner.append(owners[shared])
-            level.append(each[shared])
-        token, owner, level = map(np.concatenate, (token, owner, level))
+        token, owner, level, zone = [], [], [], []
+        for b, marks, owners, zones in _own(prefixes, sets):
+            token.append((np.int64(b) << np.int64(32)) | marks.astype(np.int64))
+            owner.append(owners)
+            level.append(np.frombuffer(levels[b], np.uint8)[np.unique(marks, return_inverse=True)[1]])
+            zone.append(zones)
+        token, owner, level, zone = map(np.concatenate, (token, owner, level, zone))
         order = np.lexsort((token, level, owner))
-        token, owner = token[order], owner[order]
+        token, owner, level, zone = token[order], owner[order], level[order], zone[order]
         n, number = sets.n.to_numpy(np.int64), sets.number.to_numpy(np.int64)
         begin, end = np.searchsorted(owner, number), np.searchsorted(owner, number, side="right")
-        kept = end - begin - _guaranteed_by_any(n, percent) + 1
-        rare = _prefix(n, percent) - (end - begin)
-        rows = [(mark, n[j], rare[j], token[begin[j]:begin[j] + kept[j]])
-                for j, mark in enumerate(sets.signature) if kept[j] > 0]
+        # shingles of no other set (class 0) come first, and are in no list
+        shared = np.concatenate([[0], np.cumsum(level > 0)])
+        first = end - (shared[end] - shared[begin])
+        kept = end - first - _guaranteed_by_any(n, percent) + 1
+        rows = []
+        for j, mark in enumerate(sets.signature):
+            if kept[j] > 0:
+                a, z = first[j], first[j] + kept[j]
+                # per entry and range of sizes: the shingles before it that no partner has
+                before = np.cumsum(zone[begin[j]:z, None] > np.arange(CELLS), axis=0)
+                before = np.concatenate([np.zeros((1, CELLS), before.dtype), before])[a - begin[j]:-1]
+                rows.append((mark, n[j], token[a:z], _largest_partner(int(n[j]), percent, before)))
         return pd.DataFrame(rows, columns=names)
 
     return run
@@ -386,11 +431,8 @@ def _cluster(percent: int):
 
 def _clusters(index: DataFrame, percent: int) -> DataFrame:
     """Per set the clusters it belongs to: (sid, [(leader, parts)])."""
-    entries = index.select("sid", "n", "rare", F.posexplode("tokens").alias("i", "token")).select(
-        "token", "sid", "n",
-        # the largest partner that the shingles from this place on leave possible
-        F.least(F.floor(F.col("n") * 100 / percent), F.floor(
-            (F.col("n") - F.col("rare") - F.col("i")) * (100 + percent) / percent) - F.col("n")).alias("most"))
+    entries = index.select("sid", "n", F.posexplode(F.arrays_zip("tokens", "most")).alias("i", "at")).select(
+        F.col("at.tokens").alias("token"), "sid", "n", F.col("at.most").alias("most"))
     by_size = Window.partitionBy("token").orderBy("n", "sid")
     begins = F.col("n") > F.coalesce(F.max(F.greatest("most", "n")).over(
         by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -426,7 +468,7 @@ def ngram_jaccard_join(documents: DataFrame, words: int = 5, percent: int = 80)
     first = stored(documents.mapInArrow(_first_pass(words, percent, buckets), _FIRST), "shingles",
                    ("kind",))
     docs = first.where("kind = 'doc'").select("doc_id", "digest", "n", "signature", "chunk", "number")
-    prefixes = first.where("kind = 'prefix'").select("chunk", "bucket", "marks", "owners")
+    prefixes = first.where("kind = 'prefix'").select("chunk", "bucket", "marks", "owners", "zones")
     rest = "kind string, chunk string, bucket int, number int, n long, signature binary, levels binary"
     own = docs.where("number is not null").groupBy("signature").agg(
         F.min(F.struct("chunk", "number")).alias("at"), F.first("n").alias("n"))
@@ -439,7 +481,7 @@ def ngram_jaccard_join(documents: DataFrame, words: int = 5, percent: int = 80)
         F.lit("set").alias("kind"), "chunk", F.lit(None).cast("int").alias("bucket"), "number", "n",
         "signature", F.lit(None).cast("binary").alias("levels"))
     index = by_chunk.cogroup(classes.union(numbered).groupBy("chunk")).applyInPandas(
-        _index(percent), "signature binary, n long, rare long, tokens array<long>")
+        _index(percent), "signature binary, n long, tokens array<long>, most array<long>")
     index = stored(index.withColumn("sid", F.monotonically_increasing_id()), "index")
 
     known = index.select("sid", "signature").join(_clusters(index, percent), "sid")

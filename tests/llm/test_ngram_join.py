@@ -74,6 +74,47 @@ def test_copies_near_copies_and_common_passages(spark):
     assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)) == want
 
 
+def test_longer_versions(spark):
+    """Texts of 20 to 1,000 shingles and versions that are longer by 15 to 25 %, by new words at either end
+    or inside, with passages that several texts share."""
+    rng = random.Random(11)
+    word = lambda: "w%d" % rng.randrange(10**7)
+    passages = [[word() for _ in range(rng.randrange(8, 60))] for _ in range(40)]
+    rows = []
+    for _ in range(420):
+        text = [word() for _ in range(rng.choice([24, 30, 45, 70, 110, 180, 300, 500, 1000]))]
+        at = rng.randrange(len(text))
+        if rng.random() < 0.5:
+            text[at:at] = rng.choice(passages)
+        more = [word() for _ in range(int(len(text) * rng.uniform(0.15, 0.25)))]
+        at = rng.choice([0, len(text), rng.randrange(len(text))])
+        rows += [text, text[:at] + more + text[at:]]
+    rng.shuffle(rows)
+    rows = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    want = brute(rows)
+    assert 150 < sum(c != i for i, (_, c) in want.items()) < 420
+    assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == want
+
+
+def test_reach_of_a_prefix():
+    """A shingle within the reach of a set is in the prefix of every linked partner that has it."""
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 16, 20, 60, 300, 1000):
+        overlap, sizes, reach = N._reaches(n, 80)
+        assert sizes[-1] == n * 100 // 80 and (np.diff(reach) <= 0).all()
+        for b in range(n, n * 100 // 80 + 1, max(1, n // 40)):
+            cell = int(np.argmax(sizes >= b))
+            common = -(-80 * (n + b) // 180)
+            assert overlap[cell] <= common
+            for worst in (True, False):
+                own = np.sort(rng.permutation(10**6)[:n] + 10**6)
+                kept = own[-common:] if worst else np.sort(rng.choice(own, common, replace=False))
+                other = np.append(kept, rng.permutation(10**6)[:b - common] if worst
+                                  else rng.permutation(10**6)[:b - common] + 2 * 10**6)
+                prefix = set(np.sort(other)[:N._prefix(b, 80)].tolist())
+                assert all(x in prefix for x in own[:max(0, reach[cell])].tolist() if x in set(kept.tolist()))
+
+
 @pytest.mark.parametrize("parts", [1, 2])
 def test_block_of_a_cluster(parts):
     """The bounds by the pivot and the products give the same links as plain intersections."""
