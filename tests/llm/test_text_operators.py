@@ -60,6 +60,38 @@ token_url = "Qw12345678"
     assert S.lexed_spans("a=" * 50_000) == [] and S.lexed_spans("x = '" * 20_000) == []
 
 
+def found_in(code):
+    return {code[a:z] for a, z in S.lexed_spans(code)}
+
+
+def test_long_literals_key_blocks_and_phrases():
+    rng = random.Random(4)
+    random_text = lambda n: "".join(rng.choices("ABCDEFGHabcdefgh0123456789+/", k=n))
+    lines = "\\n".join(random_text(64) for _ in range(26))
+    block = f"-----BEGIN PRIVATE KEY-----\\n{lines}\\n-----END PRIVATE KEY-----\\n"
+    assert found_in('{"private_key": "%s", "client": "bob"}' % block) == {block}
+    plain = "-----BEGIN RSA PRIVATE KEY-----\n  MIIE%s\n  -----END RSA PRIVATE KEY-----" % random_text(60)
+    assert found_in(f"private_key: |\n  {plain}\nname: x1") == {plain}
+    for n in (513, 1600, 5000, 70_000):
+        long = random_text(n)
+        assert found_in(f'signing_key = "{long}"') == {long} == found_in(f"SIGNING_KEY={long}\nA=b")
+        assert found_in(f'auth_key = """{long}"""') == {long}
+    assert found_in(f"bearer: 'Bearer {random_text(900)}'")
+    assert found_in('passphrase = "correct horse battery staple"') == {"correct horse battery staple"}
+    assert not found_in('password: "Please enter a value"\npassword = "The password is too short"\ntitle = "correct horse"')
+
+
+def test_constants_of_many_pieces():
+    pieces = [f"Pq{i:03d}xZ7-" for i in range(200)]
+    code = "\n".join(f'k{i} = {f"k{i - 1} + " if i else ""}"{p}"' for i, p in enumerate(pieces))
+    assert found_in(code + "\nclient_secret = k199") == set(pieces)
+    assert found_in("secret_key = " + " + ".join(f'"{p}"' for p in pieces)) == set(pieces)
+    assert found_in('a = b + "Pq1-xZ7"\nb = a + "Rs2-yW8"\npwd = b') == {"Pq1-xZ7", "Rs2-yW8"}
+    assert "Pq1-xZ7" in found_in('k = "Pq1-xZ7"\nURL_TOKEN=' + "ab1/" * 400 + "${k}/x")
+    chain = "p0_secret = \"Ab1-Cd2-Ef\"\n" + "\n".join(f"p{i}_secret = p{i - 1}_secret" for i in range(1, 20_000))
+    assert found_in(chain) == {"Ab1-Cd2-Ef"} and len(found_in("token=" * 5_000)) <= 5_000
+
+
 def test_secret_rows(odd, none):
     rows = S.scan_secrets(odd).collect()
     nothing = hashlib.sha256(b"").hexdigest()
