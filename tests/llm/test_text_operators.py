@@ -92,6 +92,26 @@ def test_constants_of_many_pieces():
     assert found_in(chain) == {"Ab1-Cd2-Ef"} and len(found_in("token=" * 5_000)) <= 5_000
 
 
+@pytest.mark.parametrize("code", [
+    'const signingKey: string = "{}";', "let clientPwd: string | null = '{}';", "private pwd?: string = `{}`;",
+    'client_pwd: str = "{}"', 'pwd: Optional[str] = "{}"', 'client_pwd: str | None = "{}"', 'pwd: Final = "{}"',
+    'client_pwd: bytes = b"{}"', 'client_pwd:str="{}"', 'def f(a, pwd: str = "{}", b=1): pass',
+    'val clientPwd: String? = "{}"', 'const SIGNING_KEY: &str = "{}";', "static PWD: &'static str = \"{}\";",
+    'const PWD: &[u8] = b"{}";', 'let pwd: String = "{}"', 'var pwd string = "{}"', 'const signingKey string = "{}"',
+    'var (\n\tpwd string = "{}"\n)', 'var pwd creds.Value = "{}"', 'pwd := "{}"', 'String pwd = "{}";',
+    'const string ApiKey = "{}";', 'Dim pwd As String = "{}"', "DECLARE @pwd NVARCHAR(50) = '{}'",
+    'key: str = "{}"\nclient_pwd: str = key', 'password: SecretStr = "{}"'])
+def test_typed_assignments(code):
+    value = "Zx9-kQ2_vB7n"
+    assert found_in(code.replace("{}", value)) == {value}
+
+
+def test_types_are_not_names_of_constants():
+    for code in ('label: string = "Zx9-kQ2_vB7n"\npassword: string', 'if password: label = "Zx9-kQ2_vB7n"'):
+        assert found_in(code) == set()
+    assert found_in("secret: QUJDREVGx1=\nenv: PASSWORD=aB3dE5fG7") >= {"QUJDREVGx1=", "aB3dE5fG7"}
+
+
 def test_secret_rows(odd, none):
     rows = S.scan_secrets(odd).collect()
     nothing = hashlib.sha256(b"").hexdigest()
