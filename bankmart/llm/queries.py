@@ -11,14 +11,17 @@ from .ann_search import nearest_neighbours
 from .common import id_remainder
 from .embedding_dedup import embedding_near_dedup
 from .language_id import fit_languages, identify_language
+from .lexical_search import ranked_search
 from .mixing import mix_sources, quality_weights
 from .ngram_join import ngram_jaccard_join
+from .quality_rules import quality_verdicts
 from .secret_scan import scan_secrets
 from .sentencepiece_codec import encode_documents
 from .sharding import shard_documents
 from .sql import ORACLE_SQL  # noqa: F401  (read by the entry adapter)
 from .token_files import read_token_files, write_token_files
 from .toxicity import fit_toxicity, score_toxicity
+from .whitening import whiten_embeddings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,8 +88,22 @@ def op10_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ngram_jaccard_join, op2_toxicity, op3_language_id, op4_secret_scan, op5_mix_sources,
-        op6_sentencepiece, op7_token_files, op8_embedding_dedup, op9_shard_documents, op10_ann_search)
+        op6_sentencepiece, op7_token_files, op8_embedding_dedup, op9_shard_documents, op10_ann_search,
+        op11_whitening, op12_quality_rules, op13_ranked_search)
 }

@@ -85,8 +85,82 @@ SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
 FROM embeddings e JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = e.vec_id
 """
 
+_TERMS = r"""unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"""
+
+RANKED_SEARCH = rf"""
+WITH terms AS (SELECT doc_id, {_TERMS} AS term FROM documents),
+lengths AS (SELECT doc_id, count(*)::BIGINT AS n FROM terms GROUP BY doc_id),
+asked AS (SELECT DISTINCT item_id, {_TERMS} AS term FROM benchmark),
+held AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM terms
+    WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS tokens FROM lengths),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM held, totals GROUP BY term, docs),
+scores AS (
+    SELECT a.item_id, h.doc_id,
+        sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // tokens))))::BIGINT AS score
+    FROM asked a JOIN held h USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+    GROUP BY a.item_id, h.doc_id)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
+# One statement per rule: failures by host, their moments, the beta prior's strength.
+_RULES = {
+    "few_words": "n_words < 50", "repeated_words": "100 * n_repeat_words > 50 * n_words",
+    "symbols": "10 * n_symbols > n_words", "duplicate_lines": "100 * n_dup_lines > 30 * n_lines",
+    "word_length": "n_words > 0 AND (word_chars < 3 * n_words OR word_chars > 10 * n_words)",
+}
+
+QUALITY_RULES = rf"""
+WITH words AS (
+    SELECT doc_id, source, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, w[i:i + 2] AS win FROM (
+        SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words)),
+repeated AS (
+    SELECT doc_id, count(DISTINCT place)::BIGINT AS n FROM (
+        SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM windows
+        WHERE (doc_id, win) IN (SELECT (doc_id, win) FROM windows GROUP BY doc_id, win HAVING count(*) > 1))
+    GROUP BY doc_id),
+lines AS (
+    SELECT doc_id, source, text, w,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM words),
+counts AS (
+    SELECT l.doc_id, coalesce('s' || source, '') AS host, len(w)::BIGINT AS n_words,
+        coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+        coalesce(r.n, 0) AS n_repeat_words
+    FROM lines l LEFT JOIN repeated r ON r.doc_id = l.doc_id),
+failures AS (
+    {" UNION ALL ".join(f"SELECT '{r}' AS rule, doc_id, host, {x} AS failed FROM counts" for r, x in _RULES.items())}),
+hosts AS (SELECT rule, host, count(*)::DOUBLE AS n, sum(failed::INT)::DOUBLE AS k FROM failures GROUP BY rule, host),
+pooled AS (SELECT rule, sum(n) AS n, sum(k) / sum(n) AS m, sum(n * n) AS squares, count(*) AS hosts
+    FROM hosts GROUP BY rule),
+spread AS (SELECT rule, sum(h.n * (h.k / h.n - m) ** 2) AS s FROM hosts h JOIN pooled USING (rule) GROUP BY rule),
+alike AS (
+    SELECT rule, m, CASE WHEN m * (1 - m) > 0 AND p.n - squares / p.n - (hosts - 1) > 0
+        THEN (s - m * (1 - m) * (hosts - 1)) / (m * (1 - m) * (p.n - squares / p.n - (hosts - 1))) ELSE 0 END AS a
+    FROM pooled p JOIN spread USING (rule)),
+rates AS (
+    SELECT rule, host, m, CASE WHEN a <= 0 THEN m
+        ELSE (k + m * greatest(1 / least(a, 1) - 1, 10)) / (n + greatest(1 / least(a, 1) - 1, 10)) END AS rate
+    FROM hosts JOIN alike USING (rule)),
+lost AS (
+    SELECT doc_id, bool_or(rate >= 0.5 OR (failed AND rate >= 0.2 AND rate >= 2 * m)) AS gone
+    FROM failures JOIN rates USING (rule, host) GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    {_RULES["few_words"]} OR {_RULES["repeated_words"]} AS base_failed,
+    NOT ({_RULES["few_words"]} OR {_RULES["repeated_words"]}) AND NOT gone AS kept
+FROM counts JOIN lost USING (doc_id)
+"""
+
 ORACLE_SQL = {
     "op1_ngram_jaccard_join": NGRAM_JACCARD_JOIN,
     "op5_mix_sources": MIX_SOURCES,
     "op8_embedding_dedup": EMBEDDING_DEDUP,
+    "op12_quality_rules": QUALITY_RULES,
+    "op13_ranked_search": RANKED_SEARCH,
 }

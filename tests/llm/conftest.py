@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "embeddings", "labels")
+TABLES = ("documents", "embeddings", "labels", "benchmark")
 
 
 @pytest.fixture(scope="session")
