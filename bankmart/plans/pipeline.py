@@ -1,15 +1,20 @@
 """Build the project: select layers or models, materialise them in order.
 
-* Staging and intermediate models are session temp views (plus the lazy
-  DataFrame): their plans are DataFrame code, which a catalog view cannot hold.
-  Marts are tables, fully replaced on every build.
-* Marts and seeds are in the database of their layer, ``<schema>_<layer>``
-  (``dbt_dev_gtm``, ``dbt_prod_finance``, ...).
+* Staging and intermediate models are catalog views, kept as Spark SQL text
+  (``bankmart.plans.views``): other sessions read them, and each read runs over the raw
+  tables as they are then. ``CREATE OR REPLACE VIEW`` swaps the text in one step, so
+  readers never miss a view; a view that another one reads is created first, also when it
+  was not selected and does not exist yet. Raw tables that are plans only
+  (``raw.from_frames``) have no name to put in a text: their view models are session
+  temp views. Marts are tables, fully replaced on every build.
+* Every model and seed is in the database of its layer, ``<schema>_<layer>``
+  (``dbt_dev_staging``, ``dbt_dev_gtm``, ``dbt_prod_finance``, ...).
 * The load timestamp column is stamped only here, when a model is
   materialised; the model functions stay deterministic.
 * A mart that reads another mart reads the *written* table, not a recomputed
   plan: the write is the boundary between the two jobs, which also cuts the
-  lineage that a lost executor would otherwise have to replay.
+  lineage that a lost executor would otherwise have to replay. If it was neither
+  selected nor built before, it is built first: a tie-out never counts a plan against itself.
 * Before writing, the initial shuffle partition count is sized from the raw
   input's byte size when the session leaves it unset (AQE then coalesces).
 * A table is published only after its job has committed: each build writes
@@ -30,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankmart.config import Config
+from bankmart.plans import views
 from bankmart.plans.project import Project
 from bankmart.plans.sizing import input_bytes
 from bankmart.sources.raw import RawTables, read_seed_customers
@@ -153,7 +159,8 @@ def publish_table(spark: SparkSession, df: DataFrame, target: str,
     The data job writes to ``<warehouse>/<db>/<table>/v=<build>``; only when
     it has committed does the table move to the new folder: with an unchanged
     schema by ``ALTER TABLE ... SET LOCATION`` (readers never see the table
-    missing), otherwise by replacing the external table entry. No data is
+    missing). A changed schema takes a new external table entry: the old one is dropped and
+    the new one created, and a reader between the two finds no table. No data is
     touched by the switch. Returns the version folder.
     """
     db, table = target.split(".", 1)
@@ -173,6 +180,26 @@ def publish_table(spark: SparkSession, df: DataFrame, target: str,
     return version
 
 
+def view_name(cfg: Config, model: str) -> str:
+    return f"{layer_database(cfg, BY_NAME[model].layer)}.{model}"
+
+
+def publish_view(spark: SparkSession, raw: RawTables, cfg: Config, model: str) -> str:
+    """Create or replace the catalog view of a view model; returns its name.
+
+    Views that it reads and that do not exist are created before it.
+    """
+    names = {m: view_name(cfg, m) for m in views.UPSTREAM}
+    for upstream in views.UPSTREAM[model]:
+        if not spark.catalog.tableExists(names[upstream]):
+            publish_view(spark, raw, cfg, upstream)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {names[model].split('.')[0]}")
+    query = views.view_text(model, cfg, raw.relations, names, raw.lenient)
+    spark.sql(f"CREATE OR REPLACE VIEW {names[model]} AS "
+              f"SELECT *, current_timestamp() AS {LOAD_TIMESTAMP} FROM ({query})")
+    return names[model]
+
+
 @dataclass
 class BuildResult:
     built: dict[str, str] = field(default_factory=dict)   # model -> view/table name
@@ -191,6 +218,10 @@ def build(spark: SparkSession, raw: RawTables, cfg: Config | None = None,
     result = BuildResult()
     if not chosen:
         return result
+    if write:
+        missing = {u for m in chosen for u in m.reads_tables if not spark.catalog.tableExists(
+            f"{layer_database(cfg, BY_NAME[u].layer)}.{u}")}
+        chosen = [m for m in MODELS if m in chosen or m.name in missing]
     if write:
         size_initial_partitions(spark, raw)
     overrides: dict[str, DataFrame] = {}
@@ -199,9 +230,8 @@ def build(spark: SparkSession, raw: RawTables, cfg: Config | None = None,
         for upstream in spec.reads_tables:
             if upstream not in overrides and write:
                 stored = f"{layer_database(cfg, BY_NAME[upstream].layer)}.{upstream}"
-                if spark.catalog.tableExists(stored):
-                    overrides[upstream] = spark.table(stored).drop(LOAD_TIMESTAMP)
-                    project = Project(raw, cfg, overrides)
+                overrides[upstream] = spark.table(stored).drop(LOAD_TIMESTAMP)
+                project = Project(raw, cfg, overrides)
         df = project.model(spec.name)
         if spec.materialized == "table" and write:
             target = f"{layer_database(cfg, spec.layer)}.{spec.name}"
@@ -211,6 +241,8 @@ def build(spark: SparkSession, raw: RawTables, cfg: Config | None = None,
             publish_table(spark, out, target)
             overrides[spec.name] = spark.table(target).drop(LOAD_TIMESTAMP)
             result.built[spec.name] = target
+        elif write and raw.relations:
+            result.built[spec.name] = publish_view(spark, raw, cfg, spec.name)
         else:
             with_load_timestamp(df).createOrReplaceTempView(spec.name)
             result.built[spec.name] = spec.name

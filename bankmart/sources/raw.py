@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,16 +13,22 @@ from bankmart.sources import schemas
 
 @dataclass(frozen=True)
 class RawTables:
-    """The landed raw tables, as lazy DataFrames."""
+    """The landed raw tables, as lazy DataFrames.
+
+    ``relations`` names them in SQL text (catalog tables or parquet.`folder`); None for tables
+    that exist as plans only, over which no catalog view can be made. ``lenient``: bad values became nulls.
+    """
 
     customers: DataFrame
     accounts: DataFrame
     transactions: DataFrame
     loans: DataFrame
     credit_cards: DataFrame
+    relations: Mapping[str, str] | None = None
+    lenient: bool = False
 
     def items(self) -> list[tuple[str, DataFrame]]:
-        return [(f.name, getattr(self, f.name)) for f in fields(self)]
+        return [(name, getattr(self, name)) for name in schemas.RAW_SCHEMAS]
 
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -46,7 +53,7 @@ def read_parquet(spark: SparkSession, root: str) -> RawTables:
     return RawTables(**{
         name: spark.read.schema(schema).parquet(f"{root}/{name}")
         for name, schema in schemas.RAW_SCHEMAS.items()
-    })
+    }, relations={name: f"parquet.`{root.replace('`', '``')}/{name}`" for name in schemas.RAW_SCHEMAS})
 
 
 def read_catalog(spark: SparkSession, database: str = schemas.SOURCE_NAME,
@@ -55,7 +62,7 @@ def read_catalog(spark: SparkSession, database: str = schemas.SOURCE_NAME,
     return RawTables(**{
         name: _conform(spark.table(f"{database}.{name}"), name, lenient)
         for name in schemas.RAW_SCHEMAS
-    })
+    }, relations={name: f"{database}.{name}" for name in schemas.RAW_SCHEMAS}, lenient=lenient)
 
 
 def from_frames(lenient: bool = False, **frames: DataFrame) -> RawTables:
@@ -63,7 +70,16 @@ def from_frames(lenient: bool = False, **frames: DataFrame) -> RawTables:
     return RawTables(**{name: _conform(df, name, lenient) for name, df in frames.items()})
 
 
-ROWS_PER_FILE = 4_000_000
+FEWEST_ROWS_PER_FILE, ROWS_PER_FILE = 20_000, 4_000_000
+
+
+def rows_per_file(df: DataFrame) -> int:
+    """Rows of a landed file: several files per core while tables are small, large files beyond.
+
+    The count reads no column, for Parquet its footers only.
+    """
+    files = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return min(max(-(-df.count() // files), FEWEST_ROWS_PER_FILE), ROWS_PER_FILE)
 
 
 def land(tables: RawTables, root: str) -> RawTables:
@@ -72,12 +88,13 @@ def land(tables: RawTables, root: str) -> RawTables:
     The landing step of a raw load: later reads are plain Parquet scans
     (filters on the raw columns push down, splits run in parallel) instead
     of recomputing whatever produced ``tables``. Nothing is shuffled for it: each
-    task writes what it read, in files of up to ``ROWS_PER_FILE`` rows. ``root``
+    task writes what it read, in files of up to ``rows_per_file`` rows, so that
+    later scans are split although one task may have read much. ``root``
     must be a fresh or disposable folder on storage every executor can read.
     """
     spark = tables.customers.sparkSession
     for name, df in tables.items():
-        df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{root}/{name}")
+        df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file(df)).parquet(f"{root}/{name}")
     return read_parquet(spark, root)
 
 
