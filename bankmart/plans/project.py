@@ -11,6 +11,7 @@ recomputing it (a table boundary that also cuts lineage).
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -243,6 +244,11 @@ class Project:
     def fn_days_since(self) -> DataFrame:
         return function_views.fn_days_since(self.stg_accounts, self.cfg)
 
+    @cached_property
+    def fn_days_since_today(self) -> DataFrame:
+        """The same with "today" left open: the date of the query, whatever the run is pinned to."""
+        return function_views.fn_days_since(self.stg_accounts, replace(self.cfg, as_of=None))
+
     @cached_property
     def fn_surrogate_key(self) -> DataFrame:
         return function_views.fn_surrogate_key(self.stg_accounts)

@@ -708,6 +708,10 @@ CTES["fn_days_since"] = f"""
 SELECT account_id, opened_date, {days_between('opened_date', AS_OF)} AS days_since
 FROM stg_accounts"""
 
+CTES["fn_days_since_today"] = f"""
+SELECT account_id, opened_date, {days_between('opened_date', 'current_date')} AS days_since
+FROM stg_accounts"""
+
 CTES["fn_surrogate_key"] = """
 SELECT account_id, customer_id, closed_date,
   md5(concat_ws('|', coalesce(CAST(customer_id AS VARCHAR), 'NULL'),
@@ -838,6 +842,7 @@ COMPARISON_CASTS: dict[str, dict[str, str]] = {
     },
     'fn_months_since': {'origination_date': 'TIMESTAMP', 'months_since': 'DOUBLE'},
     'fn_days_since': {'opened_date': 'TIMESTAMP', 'days_since': 'DOUBLE'},
+    'fn_days_since_today': {'opened_date': 'TIMESTAMP', 'days_since': 'DOUBLE'},
     'fn_surrogate_key': {'closed_date': 'TIMESTAMP'},
 }
 
