@@ -113,9 +113,10 @@ def ranges(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class PartCache:
-    """Ids of parts of texts that a task has met; forgets all when it holds ``LIMIT`` parts."""
+    """Ids of parts of texts that a task has met; forgets all beyond ``LIMIT`` parts or ``BYTES`` of them."""
 
-    LIMIT = 1 << 20
+    LIMIT, BYTES = 1 << 20, 96 << 20
+    ENTRY = 150                # bytes of a part beside its characters and ids
 
     def __init__(self, encode):
         self.encode = encode       # parts -> (ids of all, sizes)
@@ -124,15 +125,19 @@ class PartCache:
     def _forget(self) -> None:
         self.number: dict = {}
         self.flat, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.held = 0
 
     def of(self, parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, begin of each part in them, size of each part) for distinct parts."""
         new = [p for p in parts if p not in self.number]
-        if len(self.number) + len(new) > self.LIMIT and self.number:
+        length = sum(map(len, new))
+        if self.number and (len(self.number) + len(new) > self.LIMIT
+                            or self.held + self.ENTRY * len(new) + 6 * length > self.BYTES):
             self._forget()
-            new = parts
+            new, length = parts, sum(map(len, parts))
         if new:
             flat, size = self.encode(new)
+            self.held += self.ENTRY * len(new) + 2 * length + 4 * len(flat)
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
             self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
             self.size = np.concatenate([self.size, size])

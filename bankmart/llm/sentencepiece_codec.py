@@ -2,7 +2,7 @@
 
 The pieces and scores come from a public model file. A text is cut before every run of
 spaces (no piece has a space after another character), and each distinct
-part is segmented once a task: parts of equal length advance together, the hashes of
+part is segmented once a task: parts of like length advance together, the hashes of
 their substrings probe the sorted hashes of the pieces, and for every end the best
 last piece is stored as a back pointer.
 
@@ -12,6 +12,12 @@ two neighbours are what merging by score makes of their joined characters; exact
 one last piece does so at every end, and it is found from the longest
 down. Neighbours are tested for whole arrays at once by undoing merges on both sides of the border.
 A character that is no piece becomes its bytes' pieces.
+
+Long parts (scripts without spaces, encoded data) are cut before they advance: first between
+characters that stand next to each other in no piece, which no merge can cross; then, for a BPE model, into
+overlapping windows that advance together. As only one path has all its neighbours in order, two windows may be
+joined at any border that both have, if the piece before it in the one and the piece after it in
+the other are neighbours in order, too. A part without such a border advances as a whole.
 """
 
 from __future__ import annotations
@@ -25,7 +31,9 @@ from pyspark.sql import DataFrame
 from .common import PartCache, SortedHashes, mix64, ranges, shipped, slices, text_bytes
 
 SLICE_BYTES = 4 << 20
-BLOCK = 1 << 16               # parts of one length that advance together
+BLOCK = 1 << 16               # parts that advance together
+WINDOW, STEP = 128, 96        # of parts longer than twice a step
+ROUNDS = 64                   # of moving windows before a part advances as a whole
 SPACE = "▁"              # a space inside pieces (fixed value of the format)
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -51,6 +59,7 @@ class Pieces:
     ids: np.ndarray          # in the order of the hashes
     scores: np.ndarray
     longest: int             # characters of the longest piece
+    pairs: np.ndarray        # sorted: characters next to each other in some piece
     byte_ids: np.ndarray     # id of each byte's piece
     unknown: float           # score of a character that is no piece
     merges: Merges | None    # of a BPE model
@@ -135,7 +144,9 @@ def load_pieces(path: str, kind: str = "bpe") -> Pieces:
             byte_ids[value], bytes_of[i] = i, bytes([value])
         elif i in names:
             bytes_of[i] = names[i].replace(SPACE, " ").encode()
-    return Pieces(SortedHashes(hashes[order]), ids, scores, max(by_length), byte_ids,
+    pairs = {(ord(a) << 21) + ord(b) for name in names.values() for a, b in zip(name, name[1:])}
+    return Pieces(SortedHashes(hashes[order]), ids, scores, max(by_length),
+                  np.array(sorted(pairs), np.uint64), byte_ids,
                   float(scores.min()) - 10.0, merges, bytes_of, model.encode("a", out_type=str)[0][0] == SPACE)
 
 
@@ -165,8 +176,8 @@ def stays_apart(one: np.ndarray, two: np.ndarray, pieces: Pieces) -> np.ndarray:
     return out
 
 
-def segment(chars: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """Viterbi over parts of one length (n x length characters).
+def segment(chars: np.ndarray, sizes: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Viterbi over parts (n x longest characters) of falling ``sizes``; those that are long enough advance together.
 
     Returns (ids from the end, -1 - character where no piece fits; number of ids per part).
     """
@@ -179,38 +190,43 @@ def segment(chars: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     inverse = np.cumprod(inverse, dtype=np.uint64)
     back = np.zeros((length + 1, n), np.int16)
     which = np.full((length + 1, n), -1, np.int64)
-    best = np.zeros((length + 1, n))
+    best = np.zeros((length + 1, n)) if pieces.merges is None else None
     every = np.arange(n)
+    active = np.searchsorted(-sizes, -np.arange(length + 1), side="right")    # parts that reach a place
 
     def probe(rows, start, end):
         """Places of the pieces that the characters start..end are, and which of the rows have one."""
         at = pieces.hashes.find(mix64((sums[end, rows] - sums[start, rows]) * inverse[start]
                                       + np.uint64(end - start)))
-        hit = at >= 0
-        return at[hit], rows[hit]
+        hit = np.flatnonzero(at >= 0)
+        return at[hit], hit
 
     for end in range(1, length + 1):
+        rows = every[:active[end]]
         # until a piece is found: the last character by itself
-        which[end], back[end] = -1 - chars[:, end - 1].astype(np.int64), 1
+        which[end, rows], back[end, rows] = -1 - chars[rows, end - 1].astype(np.int64), 1
         spans = range(min(end, pieces.longest), 0, -1)
-        if pieces.merges is not None:
-            rows = every
+        if best is None:
             for span in spans:
-                at, found = probe(rows, end - span, end)
-                before, piece = which[end - span, found], pieces.ids[at]
-                good = np.full(len(found), end == span)
+                at, hit = probe(rows, end - span, end)
+                if not len(hit):
+                    continue
+                found, piece = rows[hit], pieces.ids[at]
+                good = np.full(len(hit), end == span)
                 if end > span:
+                    before = which[end - span, found]
                     test = before >= 0
                     good = ~test         # after a character that is no piece nothing merges
                     good[test] = stays_apart(before[test], piece[test], pieces)
                 which[end, found[good]], back[end, found[good]] = piece[good], span
-                rows = np.setdiff1d(rows, found[good], assume_unique=True)
+                rows = np.delete(rows, hit[good])
                 if not len(rows):
                     break
             continue
-        best[end] = best[end - 1] + pieces.unknown
+        best[end, rows] = best[end - 1, rows] + pieces.unknown
         for span in spans:
-            at, found = probe(every, end - span, end)
+            at, hit = probe(rows, end - span, end)
+            found = rows[hit]
             score = best[end - span, found] + pieces.scores[at]
             better = score > best[end, found]
             if span == 1:                # where a character is a piece, it is not unknown
@@ -219,8 +235,8 @@ def segment(chars: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
             which[end, found[better]], back[end, found[better]] = pieces.ids[at[better]], span
     out = np.zeros((n, length), np.int64)
     count = np.zeros(n, np.int64)
-    at = np.full(n, length)
-    left = every
+    at = sizes.copy()
+    left = np.flatnonzero(at > 0)
     while len(left):
         out[left, count[left]] = which[at[left], left]
         count[left] += 1
@@ -229,6 +245,98 @@ def segment(chars: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     return out, count
 
 
+def _segmented(chars: np.ndarray, begin: np.ndarray, size: np.ndarray, pieces: Pieces):
+    """Yield (numbers of parts, ids in order as a matrix, numbers of ids) of the parts chars[begin:begin + size].
+
+    Parts of like length advance together: up to 8 characters, up to 16, and so on.
+    """
+    order = np.argsort(-size, kind="stable")
+    level = np.ceil(np.log2(np.maximum(size[order], 8))).astype(np.int64)
+    for a, z in _runs(level):
+        block = max(1, min(BLOCK, (4 << 20) // int(size[order[a]])))
+        for b in range(a, z, block):
+            own = order[b:min(z, b + block)]
+            n = int(size[own[0]])
+            at = np.minimum(begin[own][:, None] + np.arange(n), len(chars) - 1)    # what is beyond a part is not read
+            ids, count = segment(chars[at], size[own], pieces)
+            # reversed: the ids come from the end of a part
+            turn = np.where(np.arange(n) < count[:, None], count[:, None] - 1 - np.arange(n), 0)
+            yield own, np.take_along_axis(ids, turn, 1), count
+
+
+def _windows(chars: np.ndarray, start: np.ndarray, size: np.ndarray, pieces: Pieces):
+    """Segments of the windows chars[start:start + size]: (ids in order, characters of each; 0 after the last)."""
+    token, width = np.zeros((len(start), WINDOW), np.int64), np.zeros((len(start), WINDOW), np.int64)
+    for own, ids, count in _segmented(chars, start, size, pieces):
+        n = ids.shape[1]
+        token[own, :n] = ids
+        width[own, :n] = np.where(np.arange(n) < count[:, None],
+                                  np.where(ids >= 0, pieces.merges.size[ids], 1), 0)
+    return token, width
+
+
+def segment_windows(chars: np.ndarray, begin: np.ndarray, length: np.ndarray, pieces: Pieces) -> dict:
+    """Long parts of a BPE model, chars[begin:begin + length] each, by windows.
+
+    Returns by number of the part its ids in order (-1 - character where no piece fits). Where
+    neighbouring windows have no border to be joined at (a run whose pieces start elsewhere), the windows from there on are
+    moved to a border of the one before. Parts that need too many moves are not in the result.
+    """
+    def laid(at, n):
+        return np.arange(at, max(at + 1, n - (WINDOW - STEP)), STEP)
+
+    starts = {p: laid(0, n) for p, n in enumerate(length.tolist())}
+    out: dict = {}
+    moved: dict = {p: (-1, 0) for p in starts}
+    for _ in range(ROUNDS):
+        if not starts:
+            break
+        parts = np.array(list(starts))
+        many = [len(starts[p]) for p in parts]
+        owner, start = np.repeat(np.arange(len(parts)), many), np.concatenate([starts[p] for p in parts])
+        size = np.minimum(WINDOW, length[parts][owner] - start)
+        token, width = _windows(chars, begin[parts][owner] + start, size, pieces)
+        end = np.cumsum(width, axis=1)
+        row, j = np.nonzero(width)
+        before = np.full((len(start), WINDOW + 1), -1, np.int64)     # number of the token that ends, or begins, here
+        after = before.copy()
+        before[row, end[row, j]] = j
+        after[row, end[row, j] - width[row, j]] = j
+        one = np.flatnonzero(owner[:-1] == owner[1:])                # with the window after it
+        gap = start[one + 1] - start[one]
+        place = np.arange(WINDOW + 1)
+        there = np.take_along_axis(after[one + 1], np.maximum(place - gap[:, None], 0), 1)
+        pair, at = np.nonzero((before[one] >= 0) & (there >= 0) & (place >= gap[:, None]))
+        x, y = token[one[pair], before[one[pair], at]], token[one[pair] + 1, there[pair, at]]
+        fits = (x < 0) | (y < 0)
+        fits[~fits] = stays_apart(x[~fits], y[~fits], pieces)
+        joint = np.full(len(one), WINDOW + 1)
+        np.minimum.at(joint, pair[fits], at[fits])
+        missing = joint > WINDOW
+        first, last = np.zeros(len(start), np.int64), size.copy()
+        last[one], first[one + 1] = joint, joint - gap
+        keep = (width > 0) & (end - width >= first[:, None]) & (end <= last[:, None])
+        open_ = np.zeros(len(parts), bool)
+        open_[owner[one[missing]]] = True
+        bounds = np.append(0, np.cumsum(many))
+        for i in np.flatnonzero(~open_).tolist():
+            rows = slice(bounds[i], bounds[i + 1])
+            out[int(parts[i])] = token[rows][keep[rows]]
+            del starts[int(parts[i])]
+        wrong = one[missing]
+        for i in np.flatnonzero(open_).tolist():
+            p = int(parts[i])
+            k = int(wrong[np.searchsorted(wrong, bounds[i])])        # the first pair that does not join
+            borders = np.flatnonzero(before[k, STEP - WINDOW // 4:size[k]] >= 0) + STEP - WINDOW // 4
+            tries = moved[p][1] + 1 if moved[p][0] == k - bounds[i] else 0
+            moved[p] = (k - bounds[i], tries)
+            if tries >= len(borders):
+                del starts[p]
+            else:
+                starts[p] = np.append(starts[p][:k - bounds[i] + 1], laid(int(start[k] + borders[tries]), int(length[p])))
+    return out
+
+
 class Codec:
     """Encodes and decodes many texts at once."""
 
@@ -241,30 +349,41 @@ class Codec:
 
     def _words(self, words: list) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all parts, sizes) of a list of parts."""
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        order = np.argsort(size, kind="stable")
+        whole = np.fromiter(map(len, words), np.int64, len(words))
         joined = np.frombuffer("".join(words).replace(" ", SPACE).encode("utf-32-le"), np.uint32)
-        begin = np.cumsum(size) - size
+        # cut between characters that no piece holds together
+        cut = np.zeros(len(joined), bool)
+        cut[np.cumsum(whole) - whole] = True
+        beside = (joined[:-1].astype(np.uint64) << np.uint64(21)) + joined[1:]
+        place = np.minimum(np.searchsorted(self.pieces.pairs, beside), len(self.pieces.pairs) - 1)
+        cut[1:] |= self.pieces.pairs[place] != beside if len(self.pieces.pairs) else True
+        begin = np.flatnonzero(cut)
+        size = np.diff(np.append(begin, len(joined)))
+        owner = np.repeat(np.arange(len(words)), whole)[begin]
         rows: list = []
-        counts = np.zeros(len(words), np.int64)
-        for a, z in _runs(size[order]):
-            own, length = order[a:z], int(size[order[a]])
-            block = max(1, min(BLOCK, (4 << 20) // length))
-            for b in range(0, len(own), block):
-                part = own[b:b + block]
-                ids, count = segment(joined[begin[part][:, None] + np.arange(length)], self.pieces)
-                keep = np.arange(length) < count[:, None]
-                # reversed: the ids come from the end of a part
-                place = np.where(keep, count[:, None] - 1 - np.arange(length), 0)
-                flat = np.take_along_axis(ids, place, 1)[keep]
-                flat, count = self._bytes(flat, count)
-                counts[part] = count
-                rows.append((part, flat, count))
+        counts = np.zeros(len(size), np.int64)
+
+        def put(part, flat, count):
+            flat, count = self._bytes(flat, count)
+            counts[part] = count
+            rows.append((part, flat, count))
+
+        long = 2 * STEP if self.pieces.merges is not None else len(joined)
+        some = np.flatnonzero(size > long)
+        alone = size > long
+        for a in range(0, len(some), 1 << 10):
+            part = some[a:a + (1 << 10)]
+            for p, ids in segment_windows(joined, begin[part], size[part], self.pieces).items():
+                put(part[p:p + 1], ids, np.array([len(ids)]))
+                alone[part[p]] = False
+        rest = np.flatnonzero((size <= long) | alone)
+        for own, ids, count in _segmented(joined, begin[rest], size[rest], self.pieces):
+            put(rest[own], ids[np.arange(ids.shape[1]) < count[:, None]], count)
         start = np.cumsum(counts) - counts
         out = np.zeros(int(counts.sum()), np.int32)
         for part, flat, count in rows:
             out[np.repeat(start[part] - (np.cumsum(count) - count), count) + np.arange(len(flat))] = flat
-        return out, counts
+        return out, np.bincount(owner, counts, len(words)).astype(np.int64)
 
     def _bytes(self, flat: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Characters without a piece as the pieces of their bytes."""
@@ -296,14 +415,20 @@ class Codec:
         cut = space.copy()
         cut[1:] &= ~space[:-1]
         cut[offsets[:-1][np.diff(offsets) > 0]] = True
-        cuts = np.flatnonzero(cut)
-        parts = pa.LargeStringArray.from_buffers(
-            len(cuts), pa.py_buffer(np.append(cuts, len(raw)).astype(np.int64)),
-            pa.py_buffer(np.ascontiguousarray(raw))).dictionary_encode()
-        index = parts.indices.to_numpy(zero_copy_only=False)
-        flat, begin, size = self.cache.of(parts.dictionary.to_pylist())
-        ids = ranges(flat, begin[index], size[index])
-        return ids, np.append(0, np.cumsum(size[index]))[np.searchsorted(cuts, offsets)]
+        cuts = np.append(np.flatnonzero(cut), len(raw))
+        raw = pa.py_buffer(np.ascontiguousarray(raw))
+        ids, sizes, a = [], [], 0
+        while a < len(cuts) - 1:         # a bounded stretch of parts at a time
+            z = max(a + 1, int(np.searchsorted(cuts, cuts[a] + SLICE_BYTES, side="right")) - 1)
+            parts = pa.LargeStringArray.from_buffers(
+                z - a, pa.py_buffer(cuts[a:z + 1].astype(np.int64)), raw).dictionary_encode()
+            index = parts.indices.to_numpy(zero_copy_only=False)
+            flat, begin, size = self.cache.of(parts.dictionary.to_pylist())
+            ids.append(ranges(flat, begin[index], size[index]))
+            sizes.append(size[index])
+            a = z
+        ends = np.append(0, np.cumsum(np.concatenate(sizes)))
+        return np.concatenate(ids), ends[np.searchsorted(cuts[:-1], offsets)]
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
         """The UTF-8 bytes of each text."""

@@ -223,3 +223,53 @@ def test_file_rows(odd, none, bpe):
     assert [r.start for r in rows] == np.cumsum([0, *(r.n_tokens for r in rows)])[:-1].tolist()
     assert {r.n_tokens for r in rows if r.doc_id in (3, 4)} == {1}
     assert K.read_token_files(K.write_token_files(none, bpe)).count() == 0
+
+
+def test_long_parts_equal_the_library():
+    """Scripts without spaces, encoded data, runs and words of 32,000 characters; windows that have to move."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library, codec = sentencepiece.SentencePieceProcessor(model_file=path), C.Codec(C.load_pieces(path))
+    rng = random.Random(8)
+    pieces = [p for p in (library.id_to_piece(i).replace("▁", "") for i in range(300, library.get_piece_size())) if p]
+    chinese = [chr(c) for c in range(0x4E00, 0x9F00)]
+    made = ["".join(rng.choices(chinese, k=30_000)), "".join(rng.choices(pieces, k=9_000)),
+            "".join(rng.choices([p for p in pieces if any(c > "⺀" for c in p)], k=5_000)),
+            "".join(rng.choices("ABCDEFabcdef0123456789+/", k=32_000)), "a" * 32_000, "=" * 32_001, "ab" * 5_000,
+            "".join(rng.choice("-=*") * rng.randrange(1, 400) for _ in range(60)), "internationalisation" * 1_600,
+            *("".join(rng.choices(pieces, k=60)) for _ in range(300)),
+            *("".join(rng.choices("aA=", k=n)) for n in range(180, 460, 3))]
+    ids, ends = codec.encode(pa.array(made))
+    for i, text in enumerate(made):
+        assert ids[ends[i]:ends[i + 1]].tolist() == library.encode(text)
+    assert codec.decode(ids, ends) == [t.encode() for t in made]
+    assert len(C.segment_windows(np.frombuffer(("▁" + "=" * 900).encode("utf-32-le"), np.uint32), np.array([0]),
+                                 np.array([901]), codec.pieces)) == 1      # after moving to the run's borders
+
+
+def test_unigram_parts_of_any_length_have_the_best_score():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    pieces = C.load_pieces(path, "unigram")
+    codec, rng = C.Codec(pieces), random.Random(9)
+    for text in ["".join(rng.choices("theinrsat", k=n)) for n in (1, 2, 7, 40, 300)]:
+        ids, _ = codec.encode(pa.array([text]))
+        own = dict(zip(pieces.ids.tolist(), pieces.scores.tolist()))
+        names = {b.decode(): i for i, b in enumerate(pieces.bytes_of) if i in own}
+        whole = " " + text
+        best = [0.0] + [-1e18] * len(whole)
+        for end in range(1, len(whole) + 1):
+            for a in range(max(0, end - pieces.longest), end):
+                if whole[a:end] in names:
+                    best[end] = max(best[end], best[a] + own[names[whole[a:end]]])
+        assert abs(sum(own[i] for i in ids.tolist()) - best[-1]) < 1e-6
+
+
+def test_part_cache_is_bounded_by_bytes(monkeypatch):
+    from bankmart.llm.common import PartCache
+
+    cache = PartCache(lambda parts: (np.concatenate([np.arange(len(p)) for p in parts]), np.array([len(p) for p in parts])))
+    monkeypatch.setattr(PartCache, "BYTES", 50_000)
+    for i in range(100):
+        parts = [f"{i}-{j}-" + "x" * 200 for j in range(20)]
+        flat, begin, size = cache.of(parts)
+        assert [flat[a:a + n].tolist() for a, n in zip(begin, size)] == [list(range(len(p))) for p in parts]
+        assert cache.held <= 50_000 and len(cache.number) <= 60
