@@ -1,32 +1,37 @@
 """Approximate nearest neighbours by multi-index hashing.
 
-A code is the signs of a vector under several rotations learned by alternating
-between signs and the rotation that fits them best. It is cut into substrings
-of a byte, each an index of its own. If two codes differ in r bits or fewer, then for any
-allotment of radii a_j with sum(a_j + 1) > r some substring j differs in a_j bits
-or fewer; of all allotments the one that visits the smallest share of the index is
-taken (if that is more than everything, one substring with all its values serves).
-So every code within the radius is retrieved, and the vectors themselves rank what is retrieved.
-
-Radii grow until a query has its neighbours: first a small one, then one
-calibrated on a sample for recall, then all bits. An index entry is (substring,
-value), cut into blocks of bounded size; queries are cut into blocks, too.
+A code is the signs of a vector under several rotations, learned by alternating
+between signs and the rotation that fits them best. It is cut into substrings of 16
+bits, each an index of its own. If two codes differ in fewer than m (a + 1) of their bits, some
+of the m substrings differs in a bits or fewer: probing all values within a bits of
+the query's, in every substring's index, retrieves every code within that radius (and many beyond it).
+What is retrieved and differs in no more bits than a second, larger radius is ranked by
+the vectors themselves. m, a and that radius are fitted on a sample: of those that find enough of the
+sample's neighbours, the ones that retrieve the least.
+
+The index is a table of blocks: ids, codes and vectors of some thousand rows. A task sorts the
+codes of a block by each substring and looks the probes up; it reads the vectors of a block only where they are
+ranked, and they never leave it. The queries come in blocks of bounded size, one of which
+is broadcast at a time. Queries that found too few neighbours are compared with all rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from itertools import combinations
-from math import comb
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ranges, shipped, stored
 from .vectors import matrix, sample, usable
 
-BLOCK = 4096
+BITS = 16                    # of a substring
+PARTS = (16, 24, 32)         # numbers of substrings to choose from
+BLOCK_ROWS = 1 << 15
+BLOCK_BYTES = 16 << 20       # of a block's vectors
+QUERY_BYTES = 32 << 20       # of a block of queries
 
 
 def learn_rotation(x: np.ndarray, seed: int, rounds: int = 20) -> np.ndarray:
@@ -40,143 +45,179 @@ def learn_rotation(x: np.ndarray, seed: int, rounds: int = 20) -> np.ndarray:
 
 
 @dataclass
-class CodeBook:
-    """Rotations by dimension, and the radii of the search."""
-
-    rotations: dict          # dim -> (dim x bits)
-    tables: int
-    radii: dict              # dim -> calibrated radius
-
-    def codes(self, x: np.ndarray) -> np.ndarray:
-        """Codes of unit rows as bytes (n x substrings)."""
-        dim = x.shape[1]
-        rotation = self.rotations.get(dim)
-        if rotation is None:             # a length that the sample has not met
-            rotation = np.hstack([learn_rotation(np.eye(dim), s, 1) for s in range(self.tables)])
-        return np.packbits(x @ rotation >= 0, axis=1)
-
-
-def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Hamming distances of all pairs of codes."""
-    pad = -a.shape[1] % 8
-    a, b = (np.ascontiguousarray(np.pad(c, ((0, 0), (0, pad)))).view(np.uint64) for c in (a, b))
-    out = np.zeros((len(a), len(b)), np.int32)
-    for j in range(a.shape[1]):
-        out += np.bitwise_count(a[:, j][:, None] ^ b[:, j][None])
-    return out
+class Code:
+    """How vectors of one length are coded and searched."""
+
+    directions: np.ndarray   # dim x bits
+    parts: int               # substrings that are probed
+    near: int                # bits that a probed substring may differ in; BITS: everything is retrieved
+    radius: int              # bits that a code may differ in to be ranked
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        """Substrings of unit rows (n x parts, 16 bits each)."""
+        signs = x @ self.directions[:, :BITS * self.parts] >= 0
+        return np.packbits(signs, axis=1, bitorder="little").view(np.uint16)
+
+
+def differing(one: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Bits in which the rows of ``codes`` differ from the code ``one``."""
+    return np.bitwise_count(codes ^ one).sum(1, dtype=np.int32)
+
+
+def ball(near: int) -> np.ndarray:
+    """All substrings with up to ``near`` bits."""
+    return np.array([sum(1 << b for b in c) for r in range(near + 1) for c in combinations(range(BITS), r)], np.uint16)
+
+
+def everything(dim: int) -> Code:
+    """For a length of which too little is known: all is retrieved and ranked."""
+    return Code(np.ones((dim, BITS)), 1, BITS, BITS)
 
 
-def fit_codes(vectors: dict, tables: int = 4, k: int = 5, share: float = 0.985, queries: int = 400) -> CodeBook:
-    """Learn rotations on a sample of unit vectors by dimension, and calibrate the radii.
+def fit_codes(vectors: dict, k: int = 5, recall: float = 0.95, share: float = 0.99, queries: int = 400) -> dict:
+    """A ``Code`` by dimension, fitted on a sample of unit vectors.
 
-    The second radius holds ``share`` of the ``k`` nearest neighbours of sampled queries within the
-    sample; with more vectors neighbours are nearer, so that recall then is higher.
+    Of the choices by which sampled queries retrieve ``recall`` of their ``k`` neighbours within the sample
+    the one that retrieves the fewest vectors; the radius holds ``share`` of the neighbours.
+    Among more vectors than the sample's neighbours are nearer, so that more of them are found.
     """
-    rotations, calibrated = {}, {}
+    out = {}
     for dim, x in vectors.items():
-        rotations[dim] = np.hstack([learn_rotation(x, s) for s in range(tables)])
-        book = CodeBook(rotations, tables, {})
-        q = x[:: max(1, len(x) // queries)]
-        near = q @ x.T
-        top = np.argsort(-near, axis=1)[:, 1:k + 1]         # the first is the vector itself
-        codes = book.codes(x)
-        own = codes[:: max(1, len(x) // queries)]
-        distance = np.take_along_axis(differing(own, codes), top, 1)
-        bits = 8 * codes.shape[1]
-        calibrated[dim] = int(np.quantile(distance, share)) if distance.size else bits
-    return CodeBook(rotations, tables, calibrated)
-
-
-def allotment(substrings: int, radius: int) -> tuple[int, ...]:
-    """Radius of each substring (-1: not visited) with the least share of the index to visit."""
-    share = [0.0] + [sum(comb(8, i) for i in range(a + 1)) / 256 for a in range(9)]
-    need = radius + 1
-    best = [(0.0, ())] + [(float("inf"), ())] * need
-    for _ in range(substrings):
-        best = [min((best[max(0, r - gain)][0] + share[gain], (*best[max(0, r - gain)][1], gain - 1))
-                    for gain in range(10)) for r in range(need + 1)]
-    cost, radii = best[need]
-    return radii if cost < 1 else (8, *[-1] * (substrings - 1))
-
-
-def _ball(radius: int) -> np.ndarray:
-    """All bytes with up to ``radius`` bits."""
-    return np.array([sum(1 << b for b in c) for r in range(radius + 1) for c in combinations(range(8), r)],
-                    np.uint8)
-
-
-def _radius(book: CodeBook, dim: int, level: int) -> int:
-    bits = 8 * (-(-dim * book.tables // 8))
-    return min(bits, (bits // 8, book.radii.get(dim, bits), bits)[level])
-
-
-def _entries(book: CodeBook, level: int, probes: bool):
-    """Index entries of vectors, or the entries that queries visit: (dim, part, value) and the vector."""
+        if len(x) <= k:
+            out[dim] = everything(dim)
+            continue
+        turns = -(-BITS * max(PARTS) // dim)
+        directions = np.hstack([learn_rotation(x, s) for s in range(turns)])[:, :BITS * max(PARTS)]
+        full = Code(directions, max(PARTS), 0, 0)
+        codes = full.of(x)
+        asked = np.arange(0, len(x), max(1, len(x) // queries))
+        near = x[asked] @ x.T
+        near[np.arange(len(asked)), asked] = -2
+        top = np.argpartition(-near, k - 1, axis=1)[:, :k]
+        best = None
+        for parts in PARTS:
+            least = np.array([np.bitwise_count(codes[:, :parts] ^ codes[q, :parts]).min(1) for q in asked])
+            found = np.take_along_axis(least, top, 1)
+            for a in range(BITS):
+                visited = (least <= a).mean()
+                if (found <= a).mean() >= recall:
+                    if best is None or visited < best[0]:
+                        away = [differing(codes[q, :parts], codes[t, :parts]) for q, t in zip(asked, top)]
+                        best = (visited, parts, a, int(np.quantile(np.concatenate(away), share)))
+                    break
+        if best is None or best[0] > 0.7:      # next to no structure, or very few vectors
+            out[dim] = everything(dim)
+        else:
+            out[dim] = Code(directions[:, :BITS * best[1]], *best[1:])
+    return out
+
+
+def _blocks(load):
+    """Rows of one length as index blocks: (dim, ids, codes, vectors)."""
     def run(parts):
         import pandas as pd
 
-        allotted: dict = {}
+        def made(dim, rows):
+            vectors = b"".join(v for _, v in rows)
+            x = matrix([v for _, v in rows])
+            return pd.DataFrame({"dim": [dim], "ids": [np.array([i for i, _ in rows], np.int64).tobytes()],
+                                 "codes": [codes.get(dim, everything(dim)).of(x).tobytes()], "vectors": [vectors]})
+
+        codes, waiting = load(), {}
         for pdf in parts:
             for dim, own in pdf.groupby("dim"):
-                codes = book.codes(matrix(own.vector))
-                if dim not in allotted:
-                    allotted[dim] = allotment(codes.shape[1], _radius(book, int(dim), level))
-                for part, radius in enumerate(allotted[dim]):
-                    if radius < 0:
-                        continue
-                    values = codes[:, part][:, None] ^ (_ball(radius) if probes else np.zeros(1, np.uint8))[None]
-                    row = np.repeat(np.arange(len(own)), values.shape[1])
-                    for a in range(0, len(row), 50_000):
-                        r = row[a:a + 50_000]
-                        yield pd.DataFrame({
-                            "dim": int(dim), "part": part, "value": values.ravel()[a:a + 50_000].astype(np.int32),
-                            "id": own.id.to_numpy()[r], "vector": own.vector.to_numpy()[r]})
+                waiting.setdefault(int(dim), []).extend(zip(own.id, own.vector))
+                limit = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * int(dim))))
+                while len(waiting[int(dim)]) >= limit:
+                    yield made(int(dim), waiting[int(dim)][:limit])
+                    waiting[int(dim)] = waiting[int(dim)][limit:]
+        for dim, rows in waiting.items():
+            if rows:
+                yield made(dim, rows)
 
     return run
 
 
-def _search(book: CodeBook, level: int, k: int):
-    """Of one entry's block of vectors, the ``k`` nearest within the radius of each visiting query."""
-    names = ["query_id", "vec_id", "score", "differ"]
-    known = {dim: allotment(-(-dim * book.tables // 8), _radius(book, dim, level)) for dim in book.rotations}
-
-    def run(key, queries, vectors):
+class IndexBlock:
+    """The rows of an index block with the directories of their substrings."""
+
+    def __init__(self, code: Code, dim: int, ids: bytes, codes: bytes, vectors: bytes):
+        self.code, self.ids = code, np.frombuffer(ids, np.int64)
+        self.codes = np.frombuffer(codes, np.uint16).reshape(len(self.ids), -1)
+        self.x = matrix([vectors[a:a + 8 * dim] for a in range(0, len(vectors), 8 * dim)])
+        self.chosen = np.zeros(len(self.ids), bool)
+        self.retrieved = self.ranked = 0
+        if code.near < BITS:
+            n, parts = self.codes.shape
+            self.order = np.argsort(self.codes, axis=0, kind="stable").T.astype(np.int32).ravel()
+            # per substring where each value begins among the sorted rows
+            self.start = np.zeros((parts, (1 << BITS) + 1), np.int32)
+            for j in range(parts):
+                np.cumsum(np.bincount(self.codes[:, j], minlength=1 << BITS), out=self.start[j, 1:])
+            self.start += (np.arange(parts) * n)[:, None]
+            self.ball = ball(code.near)
+
+    def retrieve(self, one: np.ndarray) -> np.ndarray:
+        """Rows some substring of which is within reach of the query's."""
+        if self.code.near >= BITS:
+            return np.arange(len(self.ids))
+        values = (one[:, None] ^ self.ball).astype(np.int64)
+        part = np.arange(len(one))[:, None]
+        begin, end = self.start[part, values].ravel(), self.start[part, values + 1].ravel()
+        some = np.flatnonzero(end > begin)
+        self.chosen[ranges(self.order, begin[some].astype(np.int64), (end - begin)[some].astype(np.int64))] = True
+        rows = np.flatnonzero(self.chosen)
+        self.chosen[rows] = False
+        return rows
+
+    def search(self, query_id: int, q: np.ndarray, one: np.ndarray, k: int, scan: bool) -> tuple:
+        """(rows, scores) of the ``k`` best of what is retrieved, nearest first."""
+        rows = np.arange(len(self.ids)) if scan else self.retrieve(one)
+        self.retrieved += len(rows)
+        if not scan and self.code.near < BITS:
+            rows = rows[differing(one, self.codes[rows]) <= self.code.radius]
+        rows = rows[self.ids[rows] != query_id]
+        self.ranked += len(rows)
+        score = np.einsum("ij,j->i", self.x[rows], q)
+        if len(rows) > 4 * k:            # all that ties with the k-th stays
+            least = np.partition(score, len(score) - k)[len(score) - k]
+            rows, score = rows[score >= least], score[score >= least]
+        order = np.lexsort((self.ids[rows], -score))[:k]
+        return rows[order], score[order]
+
+
+def _search(load, ask, k: int, scan: bool):
+    def run(parts):
         import pandas as pd
 
-        if not len(queries) or not len(vectors):
-            return pd.DataFrame(columns=names)
-        dim, part = int(key[0]), int(key[1])
-        radius = _radius(book, dim, level)
-        x, y = matrix(queries.vector), matrix(vectors.vector)
-        cx, cy = book.codes(x), book.codes(y)
-        qid, vid = queries.id.to_numpy(), vectors.id.to_numpy()
-        allotted = known.get(dim) or allotment(cx.shape[1], radius)
-        out = []
-        for a in range(0, len(x), 256):
-            rows = slice(a, a + 256)
-            differ = differing(cx[rows], cy)
-            q, v = np.nonzero((differ <= radius) & (qid[rows][:, None] != vid[None]))
-            # a pair is reported by the first substring that retrieves it
-            first = np.ones(len(q), bool)
-            for earlier in range(part):
-                if allotted[earlier] >= 0:
-                    first &= np.bitwise_count(cx[rows][q, earlier] ^ cy[v, earlier]) > allotted[earlier]
-            q, v = q[first], v[first]
-            score = np.einsum("ij,ij->i", x[rows][q], y[v])
-            order = np.lexsort((vid[v], -score, q))
-            q, v, score = q[order], v[order], score[order]
-            rank = np.arange(len(q)) - np.searchsorted(q, q)
-            near = rank < k
-            q, v, score = q[near], v[near], score[near]
-            out.append(pd.DataFrame({"query_id": qid[rows][q], "vec_id": vid[v], "score": score,
-                                     "differ": differ[q, v]}))
-        return pd.concat(out) if out else pd.DataFrame(columns=names)
+        codes, asked = load(), ask()
+        for pdf in parts:
+            for dim, ids, own, vectors in zip(pdf.dim, pdf.ids, pdf.codes, pdf.vectors):
+                if int(dim) not in asked:
+                    continue
+                code = codes.get(int(dim)) or everything(int(dim))
+                block = IndexBlock(code, int(dim), ids, own, vectors)
+                query_ids, q = asked[int(dim)]
+                mine, out = code.of(q), []
+                for i, one, x in zip(query_ids.tolist(), mine, q):
+                    rows, score = block.search(i, x, one, k, scan)
+                    out.append((np.full(len(rows), i), block.ids[rows], score))
+                found = [np.concatenate(c) for c in zip(*out)]
+                yield pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found)))
 
     return run
 
 
-def nearest_neighbours(vectors: DataFrame, is_query, k: int = 5, tables: int = 4,
-                       sample_rows: int = 20_000) -> DataFrame:
+def _query_blocks(queries: DataFrame):
+    """The queries (id, dim, vector), some at a time: {dim: (ids, unit rows)}."""
+    size = queries.agg(F.coalesce(F.sum(F.length("vector") + 64), F.lit(0))).first()[0]
+    blocks = -(-size // QUERY_BYTES)
+    for b in range(blocks):
+        pdf = queries.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(blocks)) == b).toPandas()
+        yield {int(d): (own.id.to_numpy(), matrix(own.vector)) for d, own in pdf.groupby("dim")}
+
+
+def nearest_neighbours(vectors: DataFrame, is_query, k: int = 5, sample_rows: int = 20_000) -> DataFrame:
     """The ``k`` nearest rows found, by cosine, of every row for which the condition ``is_query`` holds.
 
     ``vectors`` (vec_id, embedding). Candidates are all rows but those of the query's own vec_id.
@@ -192,48 +233,21 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 5, tables: int = 4
                   "vec_id", "embedding", "asks").dropDuplicates(["id", "dim", "digest"])
     rows = stored(rows.withColumn("nth", F.row_number().over(
         Window.partitionBy("id").orderBy("digest"))).where("nth = 1").drop("nth"), "ann-vectors")
-    book = fit_codes(sample(rows, sample_rows), tables, k)
-    # of exact copies only the first k + 1 can be among anyone's k nearest
-    copies = Window.partitionBy("dim", "digest").orderBy("id")
-    indexed = stored(rows.withColumn("nth", F.row_number().over(copies)).where(F.col("nth") <= k + 1)
-                     .select("id", "dim", "vector"), "ann-index")
-    pending = rows.where("asks").select("id", "dim", "vector")
-    found = []
-    entry = "dim int, part int, value int, id long, vector binary"
-    for level in range(3):
-        index = indexed.mapInPandas(_entries(book, level, False), entry)
-        probes = pending.mapInPandas(_entries(book, level, True), entry)
-        # at most 256 values of each substring: bounded
-        sizes = index.groupBy("dim", "part", "value").agg(
-            F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-        asking = probes.groupBy("dim", "part", "value").agg(
-            F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("askers"))
-        cut = stored(sizes.join(asking, ["dim", "part", "value"]), "ann-blocks")
-
-        def blocks(df, own, other, own_salt, other_salt):
-            return df.join(cut, ["dim", "part", "value"]).withColumn(
-                own_salt, F.pmod(F.xxhash64("id", F.lit(7)), F.col(own)).cast("int")).withColumn(
-                other_salt, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("blocks", "askers")
-
-        keys = ["dim", "part", "value", "s", "t"]
-        hits = blocks(probes, "askers", "blocks", "s", "t").groupBy(*keys).cogroup(
-            blocks(index, "blocks", "askers", "t", "s").groupBy(*keys)).applyInPandas(
-            _search(book, level, k), "query_id long, vec_id long, score double, differ int")
-        best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        hits = stored(hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "ann-hits")
-        if level == 2:
-            found.append(hits)
-            break
-        # near the edge of the first, small radius nearer vectors may have been missed
-        certain = F.lit(True) if level else F.col("differ") <= F.col("most")
-        asked = pending.select(F.col("id").alias("query_id"),
-                               F.floor(F.col("dim") * tables / 16).alias("most"))
-        done = hits.join(asked, "query_id").where(certain).groupBy("query_id").count() \
-            .where(F.col("count") >= k).select("query_id")
-        done = stored(done, "ann-done")
-        found.append(hits.join(done, "query_id", "left_semi"))
-        pending = stored(pending.join(done, pending.id == done.query_id, "left_anti"), "ann-pending")
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
-    return out.select("query_id", "rank", "vec_id", "score")
+    load = shipped(spark, fit_codes(sample(rows, sample_rows), k))
+    index = stored(rows.select("id", "dim", "vector").mapInPandas(
+        _blocks(load), "dim int, ids binary, codes binary, vectors binary"), "ann-index")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def found(asked: DataFrame, scan: bool) -> DataFrame:
+        out = spark.createDataFrame([], "query_id long, vec_id long, score double")
+        for block in _query_blocks(asked):
+            out = out.union(index.mapInPandas(_search(load, shipped(spark, block), k, scan),
+                                              "query_id long, vec_id long, score double"))
+        return out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+    queries = rows.where("asks").select("id", "dim", "vector")
+    hits = stored(found(queries, False), "ann-hits")
+    full = hits.where(F.col("rank") == k).select(F.col("query_id").alias("id"))
+    pending = stored(queries.join(full, "id", "left_anti"), "ann-pending")
+    return hits.join(full, hits.query_id == full.id, "left_semi").union(found(pending, True).select(hits.columns)) \
+        .select("query_id", "rank", "vec_id", "score")

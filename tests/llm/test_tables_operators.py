@@ -170,18 +170,58 @@ def test_dedup_rows(spark):
     assert D.embedding_near_dedup(empty).count() == 0
 
 
+def index_block(code, x):
+    return A.IndexBlock(code, x.shape[1], np.arange(len(x)).tobytes(), code.of(A.matrix([v.tobytes() for v in x])).tobytes(),
+                        x.tobytes())
+
+
 def test_every_code_within_the_radius_is_retrieved():
     rng = np.random.default_rng(0)
-    for substrings, radius in ((8, 3), (8, 11), (32, 32), (32, 100), (4, 32)):
-        radii = A.allotment(substrings, radius)
-        assert sum(r + 1 for r in radii) > radius or 8 in radii
-        for _ in range(200):
-            a = rng.integers(0, 256, substrings, dtype=np.uint8)
-            b = a.copy()
-            for bit in rng.choice(8 * substrings, radius, replace=False):
-                b[bit // 8] ^= np.uint8(1 << (bit % 8))
-            assert any(r >= 0 and a[j] ^ b[j] in A._ball(r) for j, r in enumerate(radii))
-    assert np.array_equal(A.differing(a[None], b[None]), [[np.bitwise_count(a ^ b).sum()]])
+    directions = rng.normal(size=(24, 16 * 6))
+    for near in (0, 1, 3):
+        code = A.Code(directions, 6, near, 96)
+        x = rng.normal(size=(3000, 24))
+        x[::3] = x[0] + rng.normal(size=(1000, 24)) * rng.uniform(0, 1, (1000, 1))
+        block = index_block(code, x)
+        for q in range(0, 3000, 100):
+            away = A.differing(block.codes[q], block.codes)
+            got = set(block.retrieve(block.codes[q]).tolist())
+            assert set(np.flatnonzero(away <= 6 * (near + 1) - 1).tolist()) <= got
+            reach = np.bitwise_count(block.codes ^ block.codes[q]).min(1) <= near
+            assert got == set(np.flatnonzero(reach).tolist())
+    assert len(A.ball(3)) == len(set(A.ball(3).tolist())) == 697
+
+
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.1", "/root/testdata/sf0.01"])
+def test_index_prunes_the_given_vectors(sf_dir):
+    """Of the given table few vectors reach the float ranking, at a recall of 0.9 or more."""
+    import duckdb
+
+    rows = duckdb.sql(f"SELECT embedding FROM '{sf_dir}/embeddings.parquet' ORDER BY vec_id").fetchall()
+    x = np.array([r[0] for r in rows], float)
+    unit = A.matrix([v.tobytes() for v in x])
+    block = index_block(A.fit_codes({x.shape[1]: unit})[x.shape[1]], x)
+    hits, queries = 0, range(0, len(x), 50)
+    for q in queries:
+        score = unit @ unit[q]
+        score[q] = -9
+        best = np.lexsort((np.arange(len(x)), -score))[:5]
+        rows, _ = block.search(q, unit[q], block.codes[q], 5, False)
+        hits += len(set(rows.tolist()) & set(best.tolist()))
+    assert hits / (5 * len(queries)) >= 0.9
+    assert block.ranked / (len(x) * len(queries)) < 0.2
+    print(sf_dir, "recall", hits / (5 * len(queries)), "retrieved", block.retrieved / (len(x) * len(queries)),
+          "ranked", block.ranked / (len(x) * len(queries)))
+
+
+def test_queries_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 6))
+    whole = A.nearest_neighbours(vectors(spark, x), F.col("vec_id") % 7 == 0).collect()
+    monkeypatch.setattr(A, "QUERY_BYTES", 2000)
+    monkeypatch.setattr(A, "BLOCK_ROWS", 50)
+    assert Counter(map(tuple, whole)) == Counter(map(tuple, A.nearest_neighbours(
+        vectors(spark, x), F.col("vec_id") % 7 == 0).collect()))
 
 
 def test_neighbours_have_high_recall(spark):
