@@ -52,6 +52,17 @@ def hash_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
     return df.where(F.xxhash64(key) < F.lit(least)).limit(limit)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

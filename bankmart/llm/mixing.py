@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, stored
+from .common import unused, WORD_PATTERN, stored
 
 CELLS = 4096
 
@@ -127,12 +127,12 @@ def mixed_documents(documents: DataFrame, decisions: DataFrame) -> DataFrame:
     Rows of one doc_id, source and text count as one, with the sum of their copies.
     """
     keys = ["doc_id", "source", "digest"]
-    counts = decisions.groupBy(*keys).agg(F.sum("copies").alias("mix_copies"))
-    one = documents.withColumn("mix_digest", F.xxhash64("text")).dropDuplicates(
-        ["doc_id", "source", "mix_digest"]).alias("d")
+    digest, copies, copy = unused(documents, "digest", "copies", "copy")
+    counts = decisions.groupBy(*keys).agg(F.sum("copies").alias(copies))
+    one = documents.withColumn(digest, F.xxhash64("text")).dropDuplicates(["doc_id", "source", digest]).alias("d")
     same = (F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))
             & F.col("d.source").eqNullSafe(F.col("c.source"))
-            & (F.col("d.mix_digest") == F.col("c.digest")))
-    return one.join(counts.alias("c"), same).where("mix_copies > 0") \
-        .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))) \
+            & (F.col(f"d.`{digest}`") == F.col("c.digest")))
+    return one.join(counts.alias("c"), same).where(F.col(copies) > 0) \
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))) \
         .select(*[F.col(f"d.`{c}`") for c in documents.columns])

@@ -20,23 +20,24 @@ between different sets are found without listing all pairs:
    that no set reaches beyond its block; only sets of one block meet.
 4. *Answers from similar sets.* Blocks that share their first set form a cluster;
    a set is sent once to a cluster, whatever number of lists they share. Inside,
-   every set is compared with one pivot. The overlap of two others is
-   bounded from both sides by their overlaps with the pivot; what the bounds leave
-   open is computed from the pivot's shingles and the few that both have
-   besides. Clusters are cut into parts of bounded size that are compared pairwise.
-   A task returns a spanning forest of its links, never all pairs.
+   all overlaps with one pivot are computed, which bound those of the other pairs from both sides. What
+   the bounds leave open is answered set by set: a set's overlaps are those of the most similar set
+   that has been answered, corrected by the lists of the shingles in which the two differ. Sets
+   that are connected already are not compared. A task returns a spanning forest of its links, never all pairs.
+5. *Large clusters* are cut into parts of bounded size. Each part is treated as above; then one
+   set of each of the groups found goes to all parts, which connects the groups of near copies with work in
+   proportion to the cluster. Only what stays outside of the largest group is compared with all (``_across``).
 """
 
 from __future__ import annotations
 
 import uuid
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, mix64, shuffle_width, slices, stored, text_bytes
+from .common import components, mix64, ranges, shuffle_width, slices, stored, text_bytes, unused
 
 _RNG = np.random.default_rng(20240607)
 _BYTE_VALUE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -53,8 +54,8 @@ CHUNK_BYTES = 8 << 20          # prefixes packed together
 CHUNK_SETS = 1 << 16
 PART_SETS = 1024               # sets of a cluster that are compared together
 PART_SHINGLES = 1 << 20
-COLUMNS = 2048                 # shingles multiplied at a time
-ROWS = 256
+ROUNDS = 3                     # of connecting a large cluster's groups by one set of each
+SENT_GROUPS = 32
 CELLS = 8                      # ranges of partner sizes that are bounded one by one
 
 
@@ -132,7 +133,6 @@ def _guaranteed_by_any(n, percent: int):
     return _guaranteed(_least_overlap(n, percent), percent)
 
 
-@lru_cache(1 << 14)
 def _reaches(n: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of sets of n and their partners of n to n / t, the sizes in CELLS ranges: per range the least
     overlap of a link, the largest size, and the reach.
@@ -149,24 +149,38 @@ def _reaches(n: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return overlap[np.minimum(edges[:-1], len(b) - 1)], b[last], reach[last]
 
 
-def _zones(n: int, percent: int) -> np.ndarray:
+def _remembered(percent: int):
+    """``_reaches`` for one task, which meets the same sizes again and again."""
+    known: dict = {}
+
+    def of(n: int):
+        if n not in known:
+            if len(known) >= 1 << 14:
+                known.clear()
+            known[n] = _reaches(n, percent)
+        return known[n]
+
+    return of
+
+
+def _zones(n: int, percent: int, reaches) -> np.ndarray:
     """For each place of the prefix of a set of n: the number of ranges whose reach covers it."""
-    reach = _reaches(n, percent)[2]
+    reach = reaches(n)[2]
     return (np.arange(_prefix(n, percent))[:, None] < reach).sum(1).astype(np.uint8)
 
 
-def _largest_partner(n: int, percent: int, unshared: np.ndarray) -> np.ndarray:
+def _largest_partner(n: int, unshared: np.ndarray, reaches) -> np.ndarray:
     """Largest size of a partner by ``unshared`` (entries x CELLS), shingles of a set of n that are in
     no partner of a range; 0 if no range is possible."""
-    overlap, size, _ = _reaches(n, percent)
+    overlap, size, _ = reaches(n)
     return np.where(n - unshared >= overlap, size, 0).max(1)
 
 
-def _pack(chunk: list, buckets: int, percent: int):
+def _pack(chunk: list, buckets: int, percent: int, reaches):
     """Prefixes of one chunk's distinct sets as (bucket, fingerprints, set numbers, zones)."""
     tokens = mix64(np.concatenate([t for _, t, _ in chunk]))   # the hash order used the high bits up
     owner = np.repeat(np.arange(len(chunk), dtype=np.uint16), [len(t) for _, t, _ in chunk])
-    zone = np.concatenate([_zones(n, percent) for _, _, n in chunk])
+    zone = np.concatenate([_zones(n, percent, reaches) for _, _, n in chunk])
     bucket = tokens % np.uint64(buckets)
     mark = (tokens >> np.uint64(32)).astype(np.uint32)
     order = np.lexsort((owner, mark, bucket))
@@ -187,7 +201,7 @@ def _first_pass(words: int, percent: int, buckets: int):
     def run(batches):
         import pyarrow as pa
 
-        hasher = Hasher(words)
+        hasher, reaches = Hasher(words), _remembered(percent)
         schema = pa.schema([
             ("kind", pa.string()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()),
             ("signature", pa.binary()), ("chunk", pa.string()), ("number", pa.int32()),
@@ -202,7 +216,8 @@ def _first_pass(words: int, percent: int, buckets: int):
             return [], uuid.uuid4().hex, 0, set()
 
         def packed(chunk, name):
-            rows = [("prefix", None, None, None, None, name, None, *x) for x in _pack(chunk, buckets, percent)]
+            rows = [("prefix", None, None, None, None, name, None, *x) 
+                    for x in _pack(chunk, buckets, percent, reaches)]
             for a in range(0, len(rows), 256):
                 yield made(rows[a:a + 256])
 
@@ -277,7 +292,7 @@ def _index(percent: int):
     def run(prefixes, rest):
         import pandas as pd
 
-        names = ["signature", "n", "tokens", "most"]
+        names, reaches = ["signature", "n", "tokens", "most"], _remembered(percent)
         sets = rest[rest.kind == "set"]
         if not len(sets) or not len(prefixes):
             return pd.DataFrame(columns=names)
@@ -304,20 +319,28 @@ def _index(percent: int):
                 # per entry and range of sizes: the shingles before it that no partner has
                 before = np.cumsum(zone[begin[j]:z, None] > np.arange(CELLS), axis=0)
                 before = np.concatenate([np.zeros((1, CELLS), before.dtype), before])[a - begin[j]:-1]
-                rows.append((mark, n[j], token[a:z], _largest_partner(int(n[j]), percent, before)))
+                rows.append((mark, n[j], token[a:z], _largest_partner(int(n[j]), before, reaches)))
         return pd.DataFrame(rows, columns=names)
 
     return run
 
 
+_SENT = "leader long, parts int, part int, sid long, tokens binary"
+
+
 def _shingled(words: int):
-    """Sets of texts whose signature is the expected one, once for every cluster part they go to."""
+    """Sets of texts whose signature is the expected one, once for every cluster they belong to."""
     def run(batches):
         import pyarrow as pa
 
         hasher = Hasher(words)
-        schema = pa.schema([("leader", pa.int64()), ("one", pa.int32()), ("two", pa.int32()),
-                            ("part", pa.int32()), ("sid", pa.int64()), ("tokens", pa.binary())])
+        schema = pa.schema([("leader", pa.int64()), ("parts", pa.int32()), ("part", pa.int32()),
+                            ("sid", pa.int64()), ("tokens", pa.binary())])
+
+        def made(rows):
+            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)],
+                                              schema=schema)
+
         for batch in batches:
             for rows in slices(batch, SLICE_BYTES):
                 out, size = [], 0
@@ -328,76 +351,112 @@ def _shingled(words: int):
                         continue
                     data = tokens.tobytes()
                     for c in clusters:
-                        part = sid % c["parts"]
-                        for other in range(c["parts"]):
-                            out.append((c["leader"], min(part, other), max(part, other), part, sid, data))
-                            size += len(data)
-                            if size >= 4 * SLICE_BYTES:
-                                yield pa.RecordBatch.from_arrays(
-                                    [pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
-                                out, size = [], 0
+                        out.append((c["leader"], c["parts"], sid % c["parts"], sid, data))
+                        size += len(data)
+                        if size >= 4 * SLICE_BYTES:
+                            yield made(out)
+                            out, size = [], 0
                 if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
+                    yield made(out)
 
     return run
 
 
-def _incidence(rows: np.ndarray, columns: np.ndarray, low: int, n: int) -> np.ndarray:
-    """0/1 matrix (n sets x COLUMNS shingles) of the entries with columns from ``low``."""
-    out = np.zeros((n, COLUMNS), np.float32)
-    own = (columns >= low) & (columns < low + COLUMNS)
-    out[rows[own], columns[own] - low] = 1
-    return out
+class Answers:
+    """Overlaps of sets of a cluster, each set's derived from those of a similar one answered before.
 
+    A set's answers are its overlaps with all sets. Those of ``a`` are those of an answered set b,
+    plus one for every set that holds a shingle which a has and b has not, minus one for every set that
+    holds a shingle which b has and a has not. Only the lists of these differing shingles are read.
+    """
 
-def linked_sets(sets: list, parts: np.ndarray, percent: int) -> np.ndarray:
-    """Which pairs of sorted sets link, as a boolean matrix; only pairs of different ``parts`` if there are two."""
+    def __init__(self, sets: list, percent: int):
+        self.percent, self.sets, m = percent, sets, len(sets)
+        self.n = np.array([len(t) for t in sets], np.int64)
+        _, column = np.unique(np.concatenate(sets), return_inverse=True)
+        self.ends = np.append(0, np.cumsum(self.n))
+        self.column = column
+        order = np.argsort(column, kind="stable")
+        self.holders = np.repeat(np.arange(m, dtype=np.int32), self.n)[order]
+        self.first = np.append(0, np.cumsum(np.bincount(column)))
+        self.rows: dict = {}
+        self.closest = np.full(m, -1)            # answered set that each differs least from
+        self.apart = self.n.copy()               # shingles they differ in; at first from nothing
+        self.read = 0                            # entries of lists, as a measure of the work
+
+    def own(self, a: int) -> np.ndarray:
+        return self.column[self.ends[a]:self.ends[a + 1]]
+
+    def _held(self, columns: np.ndarray) -> np.ndarray:
+        begin = self.first[columns]
+        size = self.first[columns + 1] - begin
+        self.read += int(size.sum())
+        return np.bincount(ranges(self.holders, begin, size), minlength=len(self.n))
+
+    def of(self, a: int) -> np.ndarray:
+        """Overlaps of set ``a`` with every set."""
+        if a in self.rows:
+            return self.rows[a]
+        near, own = int(self.closest[a]), self.own(a)
+        if near < 0:
+            row = self._held(own)
+        else:
+            other = self.own(near)
+            row = self.rows[near] + self._held(np.setdiff1d(own, other, assume_unique=True)) \
+                - self._held(np.setdiff1d(other, own, assume_unique=True))
+        self.rows[a] = row
+        apart = self.n + self.n[a] - 2 * row
+        closer = apart < self.apart
+        self.closest[closer], self.apart[closer] = a, apart[closer]
+        return row
+
+    def linked(self, a: int) -> np.ndarray:
+        """Which sets link with ``a`` (itself among them)."""
+        return (100 + self.percent) * self.of(a) >= self.percent * (self.n + self.n[a])
+
+
+def linked_forest(sets: list, percent: int) -> tuple[list, Answers | None]:
+    """Edges of a spanning forest of the links among sorted sets.
+
+    All overlaps with one pivot, the set of median size, bound those of the other pairs from both sides. Pairs that
+    are linked by the lower bound join; of the pairs that the bounds leave open only those of sets not joined
+    yet are answered, from the answers of similar sets.
+    """
     m = len(sets)
-    n = np.array([len(t) for t in sets], np.int64)
+    if m < 3:
+        if m < 2:
+            return [], None
+        n = len(sets[0]) + len(sets[1])
+        common = n - len(np.unique(np.concatenate(sets)))
+        return ([(0, 1)] if (100 + percent) * common >= percent * n else []), None
+    answers = Answers(sets, percent)
+    n = answers.n
     pivot = int(np.argmin(np.abs(n - np.median(n))))
-    tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(m), n)
-    in_pivot = np.zeros(len(tokens), bool)
-    in_pivot[column[row == pivot]] = True
-    shared = np.bincount(row, in_pivot[column], m).astype(np.int64)     # with the pivot
-    # columns: the pivot's first, then those that two sets have besides it
-    useful = np.bincount(column, minlength=len(tokens)) > 1
-    order = np.full(len(tokens), -1, np.int64)
-    for some in (useful & in_pivot, useful & ~in_pivot):
-        order[some] = order.max() + 1 + np.arange(some.sum())
-    column = order[column]
-    row, column = row[column >= 0], column[column >= 0]
-    width = int(column.max()) + 1 if len(column) else 0
-
+    shared = answers.of(pivot)
     total = n[:, None] + n[None]
     most = np.minimum(shared[:, None], shared) + np.minimum((n - shared)[:, None], n - shared)
-    least = shared[:, None] + shared - n[pivot]
-    sure = (100 + percent) * least >= percent * total
-    unsure = ((100 + percent) * most >= percent * total) & ~sure \
-        & (100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n))
-    if parts.min() != parts.max():
-        apart = parts[:, None] != parts
-        sure &= apart
-        unsure &= apart
+    sure = (100 + percent) * (shared[:, None] + shared - n[pivot]) >= percent * total
+    open_ = ((100 + percent) * most >= percent * total) & ~sure
     np.fill_diagonal(sure, False)
-    np.fill_diagonal(unsure, False)
-    out = sure
-    open_ = [(a, b) for a in range(0, m, ROWS) for b in range(a, m, ROWS)
-             if unsure[a:a + ROWS, b:b + ROWS].any()]
-    if open_:
-        common = np.zeros((m, m), np.float32)
-        for low in range(0, width, COLUMNS):
-            matrix = _incidence(row, column, low, m)
-            for a, b in open_:
-                common[a:a + ROWS, b:b + ROWS] += matrix[a:a + ROWS] @ matrix[b:b + ROWS].T
-        for a, b in open_:
-            found = (100 + percent) * common[a:a + ROWS, b:b + ROWS].astype(np.int64) \
-                >= percent * total[a:a + ROWS, b:b + ROWS]
-            found &= unsure[a:a + ROWS, b:b + ROWS]
-            out[a:a + ROWS, b:b + ROWS] |= found
-            out[b:b + ROWS, a:a + ROWS] |= found.T
-    return out
+    np.fill_diagonal(open_, False)
+    edges = _forest(sure)
+    label = np.arange(m)
+    for a, b in edges:
+        label[label == label[b]] = label[a]
+    open_ &= label[:, None] != label
+    while True:
+        left = np.flatnonzero(open_.any(1))
+        if not len(left):
+            return edges, answers
+        # the cheapest to answer of those that are open
+        a = int(left[np.argmin(answers.apart[left])])
+        for b in np.flatnonzero(answers.linked(a)).tolist():
+            if label[b] != label[a]:
+                edges.append((a, b))
+                label[label == label[b]] = label[a]
+        open_[a] = open_[:, a] = False
+        joined = np.flatnonzero(label == label[a])
+        open_[np.ix_(joined, joined)] = False
 
 
 def _forest(linked: np.ndarray) -> list:
@@ -415,20 +474,83 @@ def _forest(linked: np.ndarray) -> list:
 
 
 def _cluster(percent: int):
+    """Edges among the members of one part of a cluster."""
     def run(pdf):
         import pandas as pd
 
         pdf = pdf.drop_duplicates("sid")     # rows of one doc_id and text bring a set twice
         sid = pdf.sid.to_numpy()
-        if len(sid) < 2:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        linked = linked_sets([np.frombuffer(t, np.uint64) for t in pdf.tokens], pdf.part.to_numpy(), percent)
-        edges = np.array(_forest(linked), np.int64).reshape(-1, 2)
+        edges, _ = linked_forest([np.frombuffer(t, np.uint64) for t in pdf.tokens], percent)
+        edges = np.array(edges, np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": sid[edges[:, 0]], "b": sid[edges[:, 1]]})
 
     return run
 
 
+def _against(percent: int):
+    """Edges between sets that are asked and the members of one part, a spanning forest of them."""
+    def run(members, asked):
+        import pandas as pd
+
+        if not len(members) or not len(asked):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        both = pd.concat([asked, members])
+        sid, count = both.sid.to_numpy(), len(asked)
+        answers = Answers([np.frombuffer(t, np.uint64) for t in both.tokens], percent)
+        label, edges = np.arange(len(sid)), []
+        for a in range(count):
+            for b in np.flatnonzero(answers.linked(a)).tolist():
+                if label[b] != label[a]:
+                    edges.append((sid[a], sid[b]))
+                    label[label == label[b]] = label[a]
+        edges = np.array(edges, np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": edges[:, 0], "b": edges[:, 1]})
+
+    return run
+
+
+def _meet(members: DataFrame, asked: DataFrame, percent: int, *keys: str) -> DataFrame:
+    asked = asked.toDF(*asked.columns)       # columns of its own: both sides come from one table
+    return members.groupBy("leader", "part", *keys).cogroup(asked.groupBy("leader", "part", *keys)).applyInPandas(
+        _against(percent), "a long, b long")
+
+
+def _across(sets: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
+    """Edges between the parts of large clusters, given those within parts.
+
+    ``sets`` (leader, parts, part, sid, tokens). Sets that are connected already need no comparison. So
+    a few rounds send one set of each of a cluster's largest groups to all of its parts, which connects the groups of a
+    family of near copies; every set travels once a round. What then is outside of a cluster's largest group
+    is compared with all of the cluster, in chunks.
+    """
+    every = sets.select("leader", "parts", "sid")
+    for turn in range(ROUNDS + 1):
+        labels = components(edges)
+        state = stored(every.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select(
+            "leader", "parts", "sid", F.coalesce("component", "sid").alias("label")), "cluster-groups")
+        groups = state.groupBy("leader", "parts", "label").agg(
+            F.count("*").alias("n"), F.min(F.struct(F.xxhash64("sid", F.lit(turn)), "sid")).alias("one"))
+        largest = Window.partitionBy("leader").orderBy(F.desc("n"), "label")
+        groups = stored(groups.withColumn("nth", F.row_number().over(largest))
+                        .where(F.col("nth") <= SENT_GROUPS), "cluster-heads")
+        open_ = groups.where("nth = 2").select("leader")
+        if open_.isEmpty():
+            return edges
+        if turn < ROUNDS:
+            heads = groups.join(open_, "leader").select("leader", F.col("one.sid").alias("sid"))
+            asked = sets.drop("part").join(heads, ["leader", "sid"]).withColumn(
+                "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            edges = stored(edges.union(_meet(sets.join(open_, "leader"), asked, percent)), "cluster-edges")
+    rest = state.join(groups.where("nth = 1").select("leader", F.col("label").alias("top")), "leader") \
+        .where("label != top").select("leader", "sid")
+    chunks = rest.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(PART_SETS)).cast("int").alias("chunks"))
+    asked = sets.drop("part").join(rest, ["leader", "sid"]).join(chunks, "leader").withColumn(
+        "chunk", F.pmod(F.xxhash64("sid", F.lit(5)), F.col("chunks")).cast("int")) \
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = sets.join(chunks, "leader").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return stored(edges.union(_meet(met, asked, percent, "chunk")), "cluster-edges")
+
+
 def _clusters(index: DataFrame, percent: int) -> DataFrame:
     """Per set the clusters it belongs to: (sid, [(leader, parts)])."""
     entries = index.select("sid", "n", F.posexplode(F.arrays_zip("tokens", "most")).alias("i", "at")).select(
@@ -484,14 +606,20 @@ def ngram_jaccard_join(documents: DataFrame, words: int = 5, percent: int = 80)
         _index(percent), "signature binary, n long, tokens array<long>, most array<long>")
     index = stored(index.withColumn("sid", F.monotonically_increasing_id()), "index")
 
-    known = index.select("sid", "signature").join(_clusters(index, percent), "sid")
-    chosen = docs.join(known, "signature").groupBy("sid", "signature").agg(
-        F.min("doc_id").alias("id"), F.first("clusters").alias("clusters"))
-    # one plan whatever the number of sets: both sides are shuffled by the id
-    texts = documents.join(chosen.hint("merge"), documents.doc_id.eqNullSafe(chosen.id))
-    edges = texts.select("text", "sid", "signature", "clusters").mapInArrow(
-        _shingled(words), "leader long, one int, two int, part int, sid long, tokens binary") \
-        .groupBy("leader", "one", "two").applyInPandas(_cluster(percent), "a long, b long")
+    known = stored(index.select("sid", "signature").join(_clusters(index, percent), "sid"), "clusters")
+
+    def sets(known: DataFrame) -> DataFrame:
+        chosen = docs.join(known, "signature").groupBy("sid", "signature").agg(
+            F.min("doc_id").alias("id"), F.first("clusters").alias("clusters"))
+        # one plan whatever the number of sets: both sides are shuffled by the id
+        texts = documents.join(chosen.hint("merge"), documents.doc_id.eqNullSafe(chosen.id))
+        return texts.select("text", "sid", "signature", "clusters").mapInArrow(_shingled(words), _SENT)
+
+    edges = sets(known).groupBy("leader", "part").applyInPandas(_cluster(percent), "a long, b long")
+    large = known.withColumn("clusters", F.filter("clusters", lambda c: c.parts > 1)).where("size(clusters) > 0")
+    if not large.isEmpty():
+        edges = _across(stored(sets(large).dropDuplicates(["leader", "sid"]), "large-clusters"),
+                        stored(edges, "part-edges"), percent)
     groups = index.select("sid", "signature").join(
         components(edges).withColumnRenamed("node", "sid"), "sid", "left") \
         .select("signature", F.coalesce("component", "sid").alias("found"))
@@ -514,8 +642,8 @@ def one_of_each_group(documents: DataFrame, words: int = 5, percent: int = 80) -
     found = ngram_jaccard_join(documents, words, percent).where("doc_id <=> component_id")
     kept = found.where("signature is not null").dropDuplicates(["group"]) \
         .union(found.where("signature is null")).select("doc_id", "digest").distinct().alias("k")
-    rows = documents.withColumn("join_digest", F.xxhash64("text")) \
-        .dropDuplicates(["doc_id", "join_digest"]).alias("d")
+    (digest,) = unused(documents, "digest")
+    rows = documents.withColumn(digest, F.xxhash64("text")).dropDuplicates(["doc_id", digest]).alias("d")
     return rows.join(kept, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
-                     & (F.col("d.join_digest") == F.col("k.digest"))) \
+                     & (F.col(f"d.`{digest}`") == F.col("k.digest"))) \
         .select(*[F.col(f"d.`{c}`") for c in documents.columns])

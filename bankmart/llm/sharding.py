@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, unused
 
 CELLS = 4096
 
@@ -65,19 +65,23 @@ def shard_documents(documents: DataFrame, shards: int = 16, seed: int = 0) -> Da
 def write_shards(documents: DataFrame, placed: DataFrame, path: str) -> None:
     """Write the documents as Parquet, one folder per shard, files and rows in the order of slots.
 
+    The columns shard and slot are added; a document's own columns of these names stay, the added ones get
+    a trailing underscore.
+
     Rows are matched by doc_id, size and checksum; of equal rows each gets its own slot.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    keys = ["doc_id", "size", "text_crc32"]
-    own = documents.withColumn("size", (F.octet_length(text) + 1).cast("long")) \
-        .withColumn("text_crc32", F.crc32(text.cast("binary")))
-    nth = Window.partitionBy(*keys)
-    left = own.withColumn("nth", F.row_number().over(nth.orderBy("text"))).alias("d")
-    right = placed.withColumn("nth", F.row_number().over(nth.orderBy("shard", "slot"))).alias("p")
+    size, checksum, nth, shard, slot = unused(documents, "size", "text_crc32", "nth", "shard", "slot")
+    own = documents.withColumn(size, (F.octet_length(text) + 1).cast("long")) \
+        .withColumn(checksum, F.crc32(text.cast("binary")))
+    left = own.withColumn(nth, F.row_number().over(
+        Window.partitionBy("doc_id", size, checksum).orderBy("text"))).alias("d")
+    right = placed.withColumn("nth", F.row_number().over(
+        Window.partitionBy("doc_id", "size", "text_crc32").orderBy("shard", "slot"))).alias("p")
     same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id"))
-    for k in ("size", "text_crc32", "nth"):
-        same &= F.col(f"d.{k}") == F.col(f"p.{k}")
+    for mine, theirs in ((size, "size"), (checksum, "text_crc32"), (nth, "nth")):
+        same &= F.col(f"d.`{mine}`") == F.col(f"p.{theirs}")
     left.join(right, same).select(*[F.col(f"d.`{c}`") for c in documents.columns],
-                                  F.col("p.shard"), F.col("p.slot")) \
-        .repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot") \
-        .write.partitionBy("shard").parquet(path)
+                                  F.col("p.shard").alias(shard), F.col("p.slot").alias(slot)) \
+        .repartitionByRange(shard, slot).sortWithinPartitions(shard, slot) \
+        .write.partitionBy(shard).parquet(path)

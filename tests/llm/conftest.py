@@ -46,8 +46,11 @@ def odd(spark):
         (10, "12345 67890 !!!", "en", "a", 15), (11, "naïve 漢字 €\U0001d11e\x00 end", "fr", "a", 9),
         (11, "another text of the same id", "fr", "a", 9),
     ]
-    extra = "signature string, digest int, key string, cell string, n long, group string, weight int"
-    return spark.createDataFrame([(*r, "s", 1, None, "c", 2, "g", 3) for r in rows], f"{DOCUMENT}, {extra}")
+    extra = ("signature string, digest int, key string, cell string, n long, group string, weight int, "
+             "size int, nth int, shard string, slot int, join_digest string, mix_digest int, mix_copies int, "
+             "mix_copy int, copies int, copy string, n_words int, host string, numbers string, vector string")
+    own = ("s", 1, None, "c", 2, "g", 3, 4, 5, "t", 6, None, 7, 8, 9, 10, "u", 11, "v", None, "w")
+    return spark.createDataFrame([(*r, *own) for r in rows], f"{DOCUMENT}, {extra}")
 
 
 @pytest.fixture(scope="session")

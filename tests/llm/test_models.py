@@ -168,3 +168,44 @@ def test_language_rows(spark, sf, odd, none):
     assert L.identify_language(none, model).count() == 0
     empty = L.fit_languages(none)
     assert {r.lang_pred for r in L.identify_language(odd, empty).collect()} == {"und"}
+
+
+def test_sample_of_toxicity_is_bounded(spark, monkeypatch):
+    """One id of very many rows, many dirty languages, long texts: rows and bytes at the driver stay bounded."""
+    seen = {}
+
+    def fit(texts, toxic, lang, epochs, drawn_for=None):
+        seen.update(rows=len(texts), bytes=sum(map(len, texts)), toxic=int(toxic.sum()), weight=drawn_for)
+
+    monkeypatch.setattr(T, "fit", fit)
+    hot = [(1, f"text number {i} of one id", "en") for i in range(20_000)] + [(1, "the same text", "en")] * 3_000
+    dirty = [(i, f"words {i}", f"lang{i % 3_000}") for i in range(2, 6_000)]
+    frame = spark.createDataFrame(hot + dirty, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(1, 6_000)] + [(1, None), (1, 1)],
+                                   "doc_id long, toxic int")
+    T.fit_toxicity(frame, labels, limit=1_000)
+    assert 600 < seen["rows"] < 1_500 + 2 * T.LANGUAGES and (seen["weight"] >= 1).all()
+    T.fit_toxicity(frame, labels, limit=1_000, text_bytes=6_000)
+    assert seen["bytes"] < 12_000
+    long = spark.createDataFrame([(2, "x " * 50_000, "en"), (3, "short", None)], "doc_id long, text string, lang string")
+    T.fit_toxicity(long, labels, text_bytes=100_000)
+    assert seen["rows"] == 1
+
+
+def test_convolution_equals_a_plain_one(texts):
+    """The pooled responses of a trained model, filter by filter and word by word."""
+    rng = np.random.default_rng(5)
+    own = [t or "" for t in list(texts.values())[:40]] + ["", "one", "two words"]
+    model = T.fit(own, rng.integers(0, 2, len(own)).astype(float), ["en"] * len(own), 1)
+    rows, ends = T.Words().of(pa.array(own))
+    pooled, _ = T.pool(model, rows, ends)
+    for i in range(len(own)):
+        words = [sum(table[r] for table, r in zip(model.tables, rows[:, j])) for j in range(ends[i], ends[i + 1])]
+        plain, f = [], 0
+        for width, w in zip(T.WIDTHS, model.filters):
+            for k in range(w.shape[1]):
+                values = [sum(float(words[j + s] @ w[s, k]) for s in range(width)) + model.bias[f]
+                          for j in range(len(words) - width + 1)]
+                plain.append(max([0.0, *values]))
+                f += 1
+        assert np.allclose(pooled[i], plain, atol=1e-3)

@@ -115,26 +115,125 @@ def test_reach_of_a_prefix():
                 assert all(x in prefix for x in own[:max(0, reach[cell])].tolist() if x in set(kept.tolist()))
 
 
-@pytest.mark.parametrize("parts", [1, 2])
-def test_block_of_a_cluster(parts):
-    """The bounds by the pivot and the products give the same links as plain intersections."""
-    rng = np.random.default_rng(1)
+def made_cluster(count, rng):
     base = rng.choice(10**6, 90, replace=False)
     sets = []
-    for _ in range(300):
+    for _ in range(count):
         x = base.copy()
         x[rng.choice(90, rng.integers(0, 25), replace=False)] = rng.integers(0, 60, 1) + 10**7
         sets.append(np.unique(np.append(x, rng.integers(2 * 10**6, 2 * 10**6 + 40, rng.integers(0, 9)))).astype(np.uint64))
-    part = np.arange(300) % parts
-    got = N.linked_sets(sets, part, 80)
+    return sets
+
+
+def roots(count, edges):
+    label = list(range(count))
+    for a, b in edges:
+        label = [label[a] if x == label[b] else x for x in label]
+    groups = defaultdict(list)
+    for i, x in enumerate(label):
+        groups[x].append(i)
+    return sorted(groups.values())
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 40, 300])
+def test_forest_of_a_cluster(count):
+    """Bounds and derived answers connect the same sets as plain intersections; every edge is a link."""
+    for seed in range(6):
+        rng = np.random.default_rng(seed)
+        sets = made_cluster(count, rng)
+        if seed % 2:                      # several families with a common part
+            sets = [np.unique(np.append(s, 3 * 10**7 + i % 5 * 100 + np.arange(rng.integers(10, 60)))).astype(np.uint64)
+                    for i, s in enumerate(sets)]
+        plain = [set(s.tolist()) for s in sets]
+        links = [(i, j) for i in range(count) for j in range(i)
+                 if 100 * len(plain[i] & plain[j]) >= 80 * len(plain[i] | plain[j])]
+        edges, _ = N.linked_forest(sets, 80)
+        assert {(max(e), min(e)) for e in edges} <= set(links) and len(edges) < count
+        assert roots(count, edges) == roots(count, links)
+
+
+def test_answers_are_derived_from_similar_sets():
+    sets = made_cluster(200, np.random.default_rng(4))
     plain = [set(s.tolist()) for s in sets]
-    for i in range(300):
-        for j in range(300):
-            c = len(plain[i] & plain[j])
-            want = i != j and (parts == 1 or part[i] != part[j]) and 100 * c >= 80 * (len(plain[i]) + len(plain[j]) - c)
-            assert got[i, j] == want
-    edges = N._forest(got)
-    assert all(got[a, b] for a, b in edges) and len(edges) < 300
+    answers, work = N.Answers(sets, 80), []
+    for a in range(200):
+        before = answers.read
+        assert answers.of(a).tolist() == [len(plain[a] & p) for p in plain]
+        work.append(answers.read - before)
+    assert max(work[20:]) < work[0] and sum(work[20:]) / 180 < work[0] / 2
+
+
+def test_large_clusters_by_rounds(spark, monkeypatch):
+    """Parts of few sets: groups of near copies are connected across parts, separate families stay apart."""
+    monkeypatch.setattr(N, "PART_SETS", 16)
+    rng = random.Random(12)
+    word = lambda: "w%d" % rng.randrange(10**6)
+    rows = []
+    for family in range(4):
+        base = [word() for _ in range(160)] if family != 1 else rows[0].split()[:120] + [word() for _ in range(40)]
+        for _ in range(110):
+            copy = list(base)
+            for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 6])):
+                copy[rng.randrange(len(copy))] = word()
+            rows.append(" ".join(copy))
+    rows = list(enumerate(rows))
+    assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
+
+
+def test_sets_sent_grow_with_the_group(spark, monkeypatch):
+    """Near copies of one text: what the parts of their cluster read grows in proportion."""
+    monkeypatch.setattr(N, "PART_SETS", 32)
+    seen = {}
+    for count in (200, 400, 800):
+        rng = random.Random(13)
+        word = lambda: "w%d" % rng.randrange(10**6)
+        base, rows = [word() for _ in range(150)], []
+        for i in range(count):
+            copy = list(base)
+            for _ in range(1):
+                copy[rng.randrange(150)] = word()
+            rows.append((i, " ".join(copy)))
+        sent = []
+        monkeypatch.setattr(N, "_meet", lambda members, asked, percent, *keys, own=N._meet: (
+            sent.append(members.count() + asked.count()), own(members, asked, percent, *keys))[1])
+        got = result(spark.createDataFrame(rows, "doc_id long, text string"))
+        monkeypatch.undo()
+        monkeypatch.setattr(N, "PART_SETS", 32)
+        assert got == brute(rows)
+        seen[count] = sum(sent)
+    assert seen[800] <= 5 * max(seen[200], 200) and seen[400] <= 3 * max(seen[200], 200)
+
+
+def test_workers_need_no_installed_copy(sf):
+    """Run from another folder, where no worker can import the library."""
+    import os
+    import subprocess
+    import sys
+    import tempfile
+    from pathlib import Path
+
+    root = str(Path(N.__file__).resolve().parents[2])
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from bankmart.session import local_session
+from bankmart.llm import queries as Q
+spark = local_session(2)
+def alone(batches):
+    for b in batches:
+        try:
+            import bankmart
+            raise SystemExit("importable")
+        except ModuleNotFoundError:
+            yield b
+spark.range(1).mapInArrow(alone, "id long").count()
+for name in ("op1_ngram_jaccard_join", "op6_sentencepiece", "op10_ann_search", "op11_whitening", "op13_ranked_search"):
+    print(name, Q.QUERIES[name](spark, {sf!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(prefix="elsewhere-"), env=env,
+                          capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0 and "op13_ranked_search 400" in done.stdout, done.stderr[-2000:]
 
 
 def test_odd_rows(odd):
@@ -150,4 +249,6 @@ def test_one_of_each_group(odd, none):
     assert kept.columns == odd.columns
     ids = sorted((r.doc_id for r in kept.collect()), key=str)
     assert ids == sorted([1, 3, 4, 5, 6, None, 8, 10, 11, 11], key=str)
+    named = odd.selectExpr("*", "'x' as join_digest", "7 as size", "'y' as nth")
+    assert {(r.digest, r.join_digest, r.size) for r in N.one_of_each_group(named).collect()} == {(1, "x", 7)}
     assert N.ngram_jaccard_join(none).count() == 0 and N.one_of_each_group(none).count() == 0

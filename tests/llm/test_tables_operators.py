@@ -119,7 +119,10 @@ def test_shard_rows(odd, none, spark, tmp_path):
     assert H.shard_documents(none).count() == 0
     H.write_shards(odd, out, str(tmp_path / "shards"))
     back = spark.read.parquet(str(tmp_path / "shards"))
-    assert back.groupBy("shard").count().count() == 3 and back.count() == odd.count()
+    # its own columns of these names stay, the added ones get another name
+    assert back.groupBy("shard_").count().count() == 3 and back.count() == odd.count()
+    assert set(odd.columns) < set(back.columns) and {(r.shard, r.slot, r.size, r.nth) for r in back.collect()} == {
+        ("t", 6, 4, 5)}
 
 
 def vectors(spark, x, label=None, extra=()):
