@@ -120,13 +120,18 @@ def _compare(threshold: float):
     return run
 
 
-def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.93, cells: int = 16,
+def cells_for(largest: int) -> int:
+    """Cells for labels of up to ``largest`` different vectors: the share of pairs compared falls as they grow."""
+    return int(min(2048, max(16, largest ** 0.5 / 4)))
+
+
+def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.93, cells: int | None = None,
                          sample_rows: int = 20_000, block: int = 4096) -> DataFrame:
     """Link vectors of equal, non-null label with a cosine (double precision) of ``threshold`` or more.
 
     ``vectors`` (vec_id, embedding, label). Returns per row: vec_id, n_links (other rows linked
     directly, exact copies included), component_id (smallest vec_id reachable by links), kept (vec_id =
-    component_id). The centres are fitted on up to ``sample_rows`` vectors; every vector is compared,
+    component_id). The number of ``cells`` grows with the largest label if not given. The centres are fitted on up to ``sample_rows`` vectors; every vector is compared,
     and all links are found. Vectors that are null, empty, zero or hold null or
     non-finite components link with nothing, nor do vectors of different length. Rows of one vec_id
     count as vectors of their own. A row with a null vec_id is not compared: null ids, no links,
@@ -138,6 +143,8 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.93, cells: int
     groups = stored(rows.groupBy("label", "dim", "digest").agg(
         F.min("id").alias("least"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
         .withColumn("id", F.monotonically_increasing_id()), "vector-groups")
+    if cells is None:
+        cells = cells_for(groups.groupBy("label").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0])
     centres = {d: spherical_kmeans(x, cells) for d, x in sample(rows, sample_rows).items()}
     label = dict(vectors.dtypes)["label"]
     assigned = stored(groups.select("label", "dim", "id", "copies", "vector").mapInPandas(

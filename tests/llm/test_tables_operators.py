@@ -163,6 +163,24 @@ def test_all_links_of_embeddings(spark):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (links[i], root[i], root[i] == i)
 
 
+def test_share_of_pairs_compared_falls_as_rows_grow():
+    """At 1x, 4x and 16x the cells grow, and a smaller share of all pairs meets in a cell."""
+    rng = np.random.default_rng(6)
+    base, shares = rng.normal(size=(60, 8)), []
+    for n in (5_000, 20_000, 80_000):
+        x = base[rng.integers(0, 60, n)] + rng.normal(size=(n, 8)) * 0.3
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        cells = D.cells_for(n)
+        centres = D.spherical_kmeans(x[:10_000], cells)
+        near = x @ centres.T
+        home = near.argmax(1)
+        between = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
+        visits = near.max(1, keepdims=True) - near <= (np.sqrt(2 - 2 * 0.93) / 2 + 1e-9) * between[home]
+        own = np.bincount(home, minlength=len(centres))
+        shares.append((own * (own - 1) / 2 + own * (visits.sum(0) - own)).sum() / (n * (n - 1) / 2))
+    assert D.cells_for(100) == 16 and shares[0] > shares[1] > shares[2]
+
+
 def test_dedup_rows(spark):
     rows = D.embedding_near_dedup(vectors(spark, np.eye(8)[:2], extra=ODD_VECTORS)).collect()
     assert len(rows) == 2 + len(ODD_VECTORS)

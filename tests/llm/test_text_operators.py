@@ -273,3 +273,60 @@ def test_part_cache_is_bounded_by_bytes(monkeypatch):
         flat, begin, size = cache.of(parts)
         assert [flat[a:a + n].tolist() for a, n in zip(begin, size)] == [list(range(len(p))) for p in parts]
         assert cache.held <= 50_000 and len(cache.number) <= 60
+
+
+SECRET = "Zk29fjW2x"
+
+
+@pytest.mark.parametrize("code", [
+    f'pwd = ("{SECRET}")', f'pwd = [\n  "{SECRET}",\n]', f'{{"pwd": {{"value": "{SECRET}"}}}}',
+    f'os.environ.setdefault("DB_PWD", "{SECRET}")', f'config.put("pwd", "{SECRET}");', f"<pwd>{SECRET}</pwd>",
+    f'<db-pwd kind="x">\n {SECRET} \n</db-pwd>', f"mysql --db-pwd {SECRET} -h host", f'run --client-pwd "{SECRET}"',
+    f'pwd{" " * 300}= "{SECRET}"', f'pwd: Map<String, List<{"Very" * 30}>> = "{SECRET}"',
+    f'{{"{"x" * 130}_pwd": "{SECRET}"}}', f'pwd =\n    "{SECRET}"', f'pwd := "{SECRET}"', f"$pwd => '{SECRET}'",
+    f'/* a comment */ pwd /* of "two" */ = /* parts */ "{SECRET}"'])
+def test_literals_that_belong_by_structure(code):
+    assert [code[a:z] for a, _, _, *s in [x for x in S.scan(code) if x[1] == 3] for a, z in [s]] == [SECRET]
+    assert SECRET not in S.redact(code, S.scan(code))
+
+
+@pytest.mark.parametrize("code", [
+    f'name = ("{SECRET}" "xQ7pLm41")', 'print("your pwd", "Hello there you")', f'pwd_length = ["{SECRET}"]',
+    f'f(pwd, other="{SECRET}")', "<token>the</token>", "--token the", f'log("pwd", name)\nx = "{SECRET}"',
+    f'{{"pwd": {{"hint": "{SECRET}"}}}}', f"don't use the pwd, it's '{SECRET}'", "key: |\n  plain\n"])
+def test_literals_of_other_names_stay(code):
+    assert [x for x in S.scan(code) if x[1] == 3] == []
+
+
+def test_blocks_of_lines_are_whole():
+    code = f"a: 1\npwd: |\n  {SECRET} and\n\n  more lines\n    deeper\nname: x\n  - secret_key: >-\n      {SECRET}\n  other: y\n"
+    clean = S.redact(code, S.scan(code))
+    assert clean == "a: 1\npwd: |\n  [SECRET]\nname: x\n  - secret_key: >-\n      [SECRET]\n  other: y\n"
+
+
+def test_random_nesting_against_a_plain_reading():
+    """Small grammar of nested dictionaries and lists: literals under a sensitive key that only generic keys or lists follow."""
+    rng = random.Random(10)
+
+    def made(depth, owner):
+        """(text, literals that belong to a sensitive name)."""
+        kind = rng.randrange(3) if depth else 0
+        if kind == 0:
+            value = "Zk" + "".join(rng.choices("abcdXYZ0123456789", k=10)) + "9x"
+            return f'"{value}"', [value] if owner else []
+        if kind == 1:
+            parts = [made(depth - 1, owner) for _ in range(rng.randrange(1, 4))]
+            return "[" + ", ".join(p for p, _ in parts) + "]", [x for _, f in parts for x in f]
+        text, found = [], []
+        for _ in range(rng.randrange(1, 4)):
+            name = rng.choice(["pwd", "db_pwd", "value", "data", "host", "user"])
+            own = name.endswith("pwd") or (name in ("value", "data") and owner)
+            p, f = made(depth - 1, own)
+            text.append(f'"{name}": {p}')
+            found += f
+        return "{" + rng.choice([", ", ",\n  "]).join(text) + "}", found
+
+    for _ in range(400):
+        text, want = made(rng.randrange(1, 5), False)
+        got = {text[a:z] for a, z in S.structured_spans(text, S.sensitivity, S.literal_score)}
+        assert {x for x in got} == {x for x in want if S.literal_score(x) * 0.9 >= 0.5}, text
