@@ -107,6 +107,39 @@ def text_bytes(array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def stretches(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray, limit: int):
+    """Cut the bytes of texts into stretches (begin, end) of about ``limit`` bytes, not within a word.
+
+    ``inside`` says of each byte value whether it belongs to a word; texts begin at ``offsets``. A word
+    that is longer than all this is not cut.
+    """
+    at = 0
+    while at < len(raw):
+        stop = min(at + limit, len(raw))
+        if stop < len(raw):
+            back = np.flatnonzero(~inside[raw[at:stop]])
+            border = int(offsets[np.searchsorted(offsets, stop, side="right") - 1])
+            cut = max(at + int(back[-1]) + 1 if len(back) else at, border)
+            if cut == at:
+                end = min(int(offsets[np.searchsorted(offsets, at, side="right")]), len(raw))
+                ahead = np.flatnonzero(~inside[raw[stop:end]])
+                cut = stop + int(ahead[0]) + 1 if len(ahead) else end
+            stop = cut
+        yield at, stop
+        at = stop
+
+
+def word_bounds(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray, a: int, z: int):
+    """(begin, end) of the words in the stretch raw[a:z], counted from ``a``; texts begin at ``offsets``."""
+    within = inside[raw[a:z]]
+    cuts = np.zeros(z - a + 1, bool)
+    cuts[offsets[np.searchsorted(offsets, a):np.searchsorted(offsets, z, side="right")] - a] = True
+    first, last = within.copy(), within.copy()
+    first[1:] &= ~within[:-1] | cuts[1:-1]
+    last[:-1] &= ~within[1:] | cuts[1:-1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finish a 64-bit hash so that every input bit reaches every output bit."""
     x = x.astype(np.uint64)

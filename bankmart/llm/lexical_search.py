@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix64, shipped, slices, stored, text_bytes
+from .common import mix64, shipped, slices, stored, stretches, text_bytes, word_bounds
 
 # Fixed values of the contract's score.
 FLAT, SLOPE, UNIT = 10, 90, 1_000_000_000     # m = 100 - 90 + (90 n N) div L
@@ -63,34 +63,13 @@ class Terms:
     def of(self, texts):
         """Yield (number of the text, hash) of all terms, stretch by stretch, in order of the texts."""
         raw, offsets = text_bytes(texts)
-        at = 0
-        while at < len(raw):
-            stop = min(at + PIECE_BYTES, len(raw))
-            if stop < len(raw):          # not within a term, unless it is longer than all this
-                back = np.flatnonzero(~_TERM[raw[at:stop]])
-                near = offsets[np.searchsorted(offsets, stop, side="right") - 1]
-                cut = max(at + int(back[-1]) + 1 if len(back) else at, int(near))
-                if cut > at:
-                    stop = cut
-                else:
-                    end = min(int(offsets[np.searchsorted(offsets, at, side="right")]), len(raw))
-                    ahead = np.flatnonzero(~_TERM[raw[stop:end]])
-                    stop = stop + int(ahead[0]) + 1 if len(ahead) else end
-            piece = raw[at:stop]
-            self._powers(len(piece))
-            inside = _TERM[piece]
-            cuts = np.zeros(len(piece) + 1, bool)
-            own = offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, stop, side="right")]
-            cuts[own - at] = True
-            first, last = inside.copy(), inside.copy()
-            first[1:] &= ~inside[:-1] | cuts[1:-1]
-            last[:-1] &= ~inside[1:] | cuts[1:-1]
-            start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-            sums = np.zeros(len(piece) + 1, np.uint64)
-            np.cumsum(_BYTE_VALUE[_LOWER[piece]] * self.up[:len(piece)], out=sums[1:])
+        for a, z in stretches(raw, offsets, _TERM, PIECE_BYTES):
+            self._powers(z - a)
+            start, end = word_bounds(raw, offsets, _TERM, a, z)
+            sums = np.zeros(z - a + 1, np.uint64)
+            np.cumsum(_BYTE_VALUE[_LOWER[raw[a:z]]] * self.up[:z - a], out=sums[1:])
             marks = mix64((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
-            yield np.searchsorted(offsets, start + at, side="right") - 1, marks
-            at = stop
+            yield np.searchsorted(offsets, start + a, side="right") - 1, marks
 
 
 def _merged(parts: list) -> list:

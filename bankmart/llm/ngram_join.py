@@ -37,7 +37,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, mix64, ranges, shuffle_width, slices, stored, text_bytes, unused
+from .common import (components, mix64, ranges, shuffle_width, slices, stored, stretches, text_bytes, unused,
+                     word_bounds)
 
 _RNG = np.random.default_rng(20240607)
 _BYTE_VALUE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -50,6 +51,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 SLICE_BYTES = 2 << 20          # texts hashed at a time by a task
+PIECE_BYTES = 4 << 20          # of a long text hashed at a time
 CHUNK_BYTES = 8 << 20          # prefixes packed together
 CHUNK_SETS = 1 << 16
 PART_SETS = 1024               # sets of a cluster that are compared together
@@ -77,29 +79,31 @@ class Hasher:
         n, size = len(offsets) - 1, len(raw)
         if not size:
             return [np.zeros(0, np.uint64)] * n
-        if len(self.up) <= size:
-            self.up, self.down = _powers(_FACTOR, 2 * size), _powers(_FACTOR_INVERSE, 2 * size)
-        inside = ~_SEPARATOR[raw]
-        cut = np.zeros(size + 1, bool)
-        cut[offsets] = True
-        first, last = inside.copy(), inside.copy()
-        first[1:] &= ~inside[:-1] | cut[1:size]
-        last[:-1] &= ~inside[1:] | cut[1:size]
-        start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-        sums = np.zeros(size + 1, np.uint64)
-        np.cumsum(_BYTE_VALUE[_LOWER[raw]] * self.up[:size], out=sums[1:])
-        word = mix64((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
-        bounds = np.searchsorted(start, offsets)
+        starts, words = [], []
+        for a, z in stretches(raw, offsets, ~_SEPARATOR, PIECE_BYTES):     # long texts a stretch at a time
+            if len(self.up) <= z - a:
+                self.up, self.down = (_powers(f, z - a + 1) for f in (_FACTOR, _FACTOR_INVERSE))
+            start, end = word_bounds(raw, offsets, ~_SEPARATOR, a, z)
+            sums = np.zeros(z - a + 1, np.uint64)
+            np.cumsum(_BYTE_VALUE[_LOWER[raw[a:z]]] * self.up[:z - a], out=sums[1:])
+            words.append(mix64((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64)))
+            starts.append(start + a)
+        word = np.concatenate(words)
+        bounds = np.searchsorted(np.concatenate(starts), offsets)
+        del starts, words
         k, count = self.words, len(word)
         place = np.concatenate([_PLACE_VALUE] * (k // len(_PLACE_VALUE) + 1))
         grams = np.full(max(0, count - k + 1), k, np.uint64)
         for j in range(k):
-            grams += word[j:j + len(grams)] * place[j]
-        grams = mix64(grams)
+            for a in range(0, len(grams), PIECE_BYTES):
+                z = min(a + PIECE_BYTES, len(grams))
+                grams[a:z] += word[a + j:z + j] * place[j]
+        for a in range(0, len(grams), PIECE_BYTES):
+            grams[a:a + PIECE_BYTES] = mix64(grams[a:a + PIECE_BYTES])
         out = []
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             if b - a >= k:
-                out.append(np.unique(grams[a:b - k + 1]))
+                out.append(_distinct(grams[a:b - k + 1]))
             elif b > a:
                 whole = (word[a:b] * place[:b - a]).sum(dtype=np.uint64) + np.uint64(b - a)
                 out.append(mix64(np.array([whole], np.uint64)))
@@ -108,6 +112,14 @@ class Hasher:
         return out
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted, without repeats; in place, so that a long text's grams are not copied again and again."""
+    values.sort()
+    keep = np.ones(len(values), bool)
+    keep[1:] = values[1:] != values[:-1]
+    return values[keep]
+
+
 def signature(tokens: np.ndarray) -> bytes:
     import xxhash
 

@@ -209,3 +209,23 @@ def test_convolution_equals_a_plain_one(texts):
                 plain.append(max([0.0, *values]))
                 f += 1
         assert np.allclose(pooled[i], plain, atol=1e-3)
+
+
+def test_long_texts_by_stretches(monkeypatch, texts):
+    """Words, shingles and pooled responses do not depend on how long texts are cut."""
+    from bankmart.llm import ngram_join as N
+
+    rng = np.random.default_rng(6)
+    own = [t or "" for t in list(texts.values())[:30]] + ["", "x" * 900, "é\U0001d11e " * 200, "A b\tC\x0bd  e"]
+    model = T.fit(own, rng.integers(0, 2, len(own)).astype(float), ["en"] * len(own), 1)
+    rows, ends = T.Words().of(pa.array(own))
+    sets = N.Hasher().sets(pa.array(own))
+    scores = model.score(rows, ends)
+    for size in (40, 333):
+        monkeypatch.setattr(T, "PIECE_BYTES", size)
+        monkeypatch.setattr(T, "POOLED_WORDS", size)
+        monkeypatch.setattr(N, "PIECE_BYTES", size)
+        again, bounds = T.Words().of(pa.array(own))
+        assert np.array_equal(rows, again) and np.array_equal(ends, bounds)
+        assert np.allclose(model.score(again, bounds), scores, atol=1e-5)
+        assert all(np.array_equal(a, b) for a, b in zip(sets, N.Hasher().sets(pa.array(own))))
