@@ -63,7 +63,7 @@ def test_toxicity_rows(spark, sf, odd, none):
     assert T.fit_toxicity(none, labels).out_bias == -20.0
 
 
-def test_toxicity_sample_of_a_small_language(spark, monkeypatch):
+def test_toxicity_sample_of_a_small_language(spark):
     """A language with few texts in an even sample gets enough of both labels when the input has them."""
     rng = np.random.default_rng(6)
     rows = []
@@ -75,14 +75,12 @@ def test_toxicity_sample_of_a_small_language(spark, monkeypatch):
             words[rng.integers(0, 30)] = "idiota" if lang == "es" else "moron"
         rows.append((i, " ".join(words), lang, int(bad)))
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
-    seen = {}
-    monkeypatch.setattr(T, "fit", lambda *x, **named: seen.update(x=x, drawn_for=named.get("drawn_for")))
-    T.fit_toxicity(table.select("doc_id", "text", "lang"), table.select("doc_id", "toxic"), limit=800)
-    texts, toxic, lang = seen["x"][:3]
+    drawn = T.labelled_sample(table.select("doc_id", "text", "lang"), table.select("doc_id", "toxic"), limit=800).toPandas()
+    toxic, lang = drawn.toxic.to_numpy(float), drawn.lang
     small = np.array(lang) == "es"
     there = sum(r[2] == "es" and r[3] for r in rows)
-    assert there > 150 and (toxic[small] > 0).sum() >= min(there, 150) and len(texts) < 800 + 4 * 200
-    assert abs(seen["drawn_for"].sum() - len(rows)) < 500
+    assert there > 150 and (toxic[small] > 0).sum() >= min(there, 150) and len(drawn) < 800 + 4 * 200
+    assert abs(drawn.drawn_for.sum() - len(rows)) < 500
 
 
 def test_held_out_rule(spark, sf):
@@ -170,26 +168,23 @@ def test_language_rows(spark, sf, odd, none):
     assert {r.lang_pred for r in L.identify_language(odd, empty).collect()} == {"und"}
 
 
-def test_sample_of_toxicity_is_bounded(spark, monkeypatch):
-    """One id of very many rows, many dirty languages, long texts: rows and bytes at the driver stay bounded."""
-    seen = {}
+def test_sample_of_toxicity_is_bounded(spark):
+    """One id of very many rows, many dirty languages, long texts: rows and bytes of the sample stay bounded."""
+    def sample(frame, labels, **limits):
+        rows = T.labelled_sample(frame, labels, **limits).toPandas()
+        return len(rows), rows.text.str.len().sum(), rows.drawn_for
 
-    def fit(texts, toxic, lang, epochs, drawn_for=None):
-        seen.update(rows=len(texts), bytes=sum(map(len, texts)), toxic=int(toxic.sum()), weight=drawn_for)
-
-    monkeypatch.setattr(T, "fit", fit)
     hot = [(1, f"text number {i} of one id", "en") for i in range(20_000)] + [(1, "the same text", "en")] * 3_000
     dirty = [(i, f"words {i}", f"lang{i % 3_000}") for i in range(2, 6_000)]
     frame = spark.createDataFrame(hot + dirty, "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(1, 6_000)] + [(1, None), (1, 1)],
                                    "doc_id long, toxic int")
-    T.fit_toxicity(frame, labels, limit=1_000)
-    assert 600 < seen["rows"] < 1_500 + 2 * T.LANGUAGES and (seen["weight"] >= 1).all()
-    T.fit_toxicity(frame, labels, limit=1_000, text_bytes=6_000)
-    assert seen["bytes"] < 12_000
+    rows, _, weight = sample(frame, labels, limit=1_000)
+    assert 600 < rows < 1_500 + 2 * T.LANGUAGES and (weight >= 1).all()
+    assert abs(weight.sum() - 25_999) < 5_000            # the sample stands for all labelled documents
+    assert sample(frame, labels, limit=1_000, text_bytes=6_000)[1] < 12_000
     long = spark.createDataFrame([(2, "x " * 50_000, "en"), (3, "short", None)], "doc_id long, text string, lang string")
-    T.fit_toxicity(long, labels, text_bytes=100_000)
-    assert seen["rows"] == 1
+    assert sample(long, labels, text_bytes=100_000)[0] == 1
 
 
 def test_convolution_equals_a_plain_one(texts):
