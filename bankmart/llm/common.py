@@ -52,6 +52,16 @@ def hash_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
     return df.where(F.xxhash64(key) < F.lit(least)).limit(limit)
 
 
+def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """Hand whole texts to Python in batches of fewer rows, unless the session has a setting of its own.
+
+    Spark's default of 10,000 rows is some ten megabytes of text, held several times on both sides.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``df`` does not have (in any case)."""
     taken, out = {c.lower() for c in df.columns}, []

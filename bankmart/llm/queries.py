@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann_search import nearest_neighbours
-from .common import id_remainder
+from .common import id_remainder, small_batches
 from .embedding_dedup import embedding_near_dedup
 from .language_id import fit_languages, identify_language
 from .lexical_search import ranked_search
@@ -25,6 +25,7 @@ from .whitening import whiten_embeddings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -253,7 +253,7 @@ def _segmented(chars: np.ndarray, begin: np.ndarray, size: np.ndarray, pieces: P
     order = np.argsort(-size, kind="stable")
     level = np.ceil(np.log2(np.maximum(size[order], 8))).astype(np.int64)
     for a, z in _runs(level):
-        block = max(1, min(BLOCK, (4 << 20) // int(size[order[a]])))
+        block = max(1, min(BLOCK, (1 << 20) // int(size[order[a]])))
         for b in range(a, z, block):
             own = order[b:min(z, b + block)]
             n = int(size[own[0]])
