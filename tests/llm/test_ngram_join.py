@@ -9,6 +9,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from bankmart.llm import ngram_join as N
 
 _ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -249,6 +251,6 @@ def test_one_of_each_group(odd, none):
     assert kept.columns == odd.columns
     ids = sorted((r.doc_id for r in kept.collect()), key=str)
     assert ids == sorted([1, 3, 4, 5, 6, None, 8, 10, 11, 11], key=str)
-    named = odd.selectExpr("*", "'x' as join_digest", "7 as size", "'y' as nth")
+    named = odd.withColumns({"join_digest": F.lit("x"), "size": F.lit(7), "nth": F.lit("y")})
     assert {(r.digest, r.join_digest, r.size) for r in N.one_of_each_group(named).collect()} == {(1, "x", 7)}
     assert N.ngram_jaccard_join(none).count() == 0 and N.one_of_each_group(none).count() == 0
