@@ -40,6 +40,27 @@ def shipped(spark: SparkSession, value):
     return lambda: cloudpickle.loads(data.value)
 
 
+def give_back() -> None:
+    """Return freed memory to the system; allocators would keep what a finished step has used."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # of glibc
+    if trim:
+        trim(0)
+
+
+def lean(run):
+    """``run`` for mapInArrow, in a worker that is small again when the task ends (workers serve many stages)."""
+    def whole(batches):
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def hash_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
     """Up to ``limit`` rows, those of the smallest hashes of ``key``; all rows if there are no more.
 

@@ -37,8 +37,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import (components, mix64, ranges, shuffle_width, slices, stored, stretches, text_bytes, unused,
-                     word_bounds)
+from .common import (components, lean, mix64, ranges, shuffle_width, slices, stored, stretches, text_bytes,
+                     unused, word_bounds)
 
 _RNG = np.random.default_rng(20240607)
 _BYTE_VALUE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -599,7 +599,7 @@ def ngram_jaccard_join(documents: DataFrame, words: int = 5, percent: int = 80)
     buckets = 4 * shuffle_width(spark)
     documents = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")) \
         .withColumn("digest", F.xxhash64("text"))
-    first = stored(documents.mapInArrow(_first_pass(words, percent, buckets), _FIRST), "shingles",
+    first = stored(documents.mapInArrow(lean(_first_pass(words, percent, buckets)), _FIRST), "shingles",
                    ("kind",))
     docs = first.where("kind = 'doc'").select("doc_id", "digest", "n", "signature", "chunk", "number")
     prefixes = first.where("kind = 'prefix'").select("chunk", "bucket", "marks", "owners", "zones")
@@ -625,7 +625,7 @@ def ngram_jaccard_join(documents: DataFrame, words: int = 5, percent: int = 80)
             F.min("doc_id").alias("id"), F.first("clusters").alias("clusters"))
         # one plan whatever the number of sets: both sides are shuffled by the id
         texts = documents.join(chosen.hint("merge"), documents.doc_id.eqNullSafe(chosen.id))
-        return texts.select("text", "sid", "signature", "clusters").mapInArrow(_shingled(words), _SENT)
+        return texts.select("text", "sid", "signature", "clusters").mapInArrow(lean(_shingled(words)), _SENT)
 
     edges = sets(known).groupBy("leader", "part").applyInPandas(_cluster(percent), "a long, b long")
     large = known.withColumn("clusters", F.filter("clusters", lambda c: c.parts > 1)).where("size(clusters) > 0")

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import PartCache, SortedHashes, mix64, ranges, shipped, slices, text_bytes
+from .common import PartCache, SortedHashes, lean, mix64, ranges, shipped, slices, text_bytes
 
 SLICE_BYTES = 4 << 20
 BLOCK = 1 << 16               # parts that advance together
@@ -479,7 +479,7 @@ def encode_documents(documents: DataFrame, model: str) -> DataFrame:
                     ["doc_id", "ids", "n_pieces", "ids_crc32", "decoded_crc32", "round_trip"])
 
     return documents.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, ids array<int>, n_pieces long, ids_crc32 long, decoded_crc32 long, round_trip boolean")
+        lean(run), "doc_id long, ids array<int>, n_pieces long, ids_crc32 long, decoded_crc32 long, round_trip boolean")
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
