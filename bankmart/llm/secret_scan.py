@@ -15,7 +15,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -47,9 +49,11 @@ MESSAGE = {"please", "enter", "your", "invalid", "incorrect", "wrong", "must", "
            "forgotten", "reset", "change", "confirm", "cannot", "failed", "expired", "error", "used", "should"}
 # Without one of these no name is sensitive.
 _HINT = re.compile("pass|pwd|secret|token|key|credential|auth|bearer|webhook|dsn")
-SCORED = 512                   # characters of a literal that its score is taken from, half from either end
+_LONGEST_PLACEHOLDER = max(map(len, PLACEHOLDERS))
+_KEY_BLOCK = re.compile("-----BEGIN ")
+_URL = re.compile("://")
 _SCHEME = re.compile(r"(?:Bearer|Basic|Token)[ ]+(?=\S+\Z)", re.IGNORECASE)
-_PHRASE = re.compile(r"[^\s<>{}=;]+(?:[ \t]+[^\s<>{}=;]+)+\Z")
+_PHRASE = re.compile(r"[^\s<>{}=;]++(?:[ \t]++[^\s<>{}=;]++)++\Z")
 
 _OPERATOR = re.compile(r"[=:]")
 _NAME_BEFORE = re.compile(r"""(?:"([^"\n]{1,128})"|'([^'\n]{1,128})'|([A-Za-z_$][\w$.\-]{0,127}))\]?[ \t]*:?$""")
@@ -95,25 +99,65 @@ def sensitivity(name: str) -> float:
     return max((SENSITIVE.get(p, 0.0) for p in [*parts, *pairs]), default=0.0)
 
 
+class Literals:
+    """Scores of literals of one text, each taken from all of its characters.
+
+    Literals that end alike (of a long bare run with many names) share their counts of characters.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.at, self.counts = text, (0, 0), Counter()
+
+    def _counted(self, a: int, z: int) -> Counter:
+        """Characters of text[a:z] with their numbers."""
+        begin, end = self.at
+        if z == end and abs(a - begin) < z - a:
+            self.counts.update(self.text[a:begin])
+            self.counts.subtract(self.text[begin:a])
+            self.counts = +self.counts
+        else:
+            self.counts = Counter(self.text[a:z])
+        self.at = a, z
+        return self.counts
+
+    @cached_property
+    def _blocks(self) -> list[int]:
+        return [m.start() for m in _KEY_BLOCK.finditer(self.text)]
+
+    @cached_property
+    def _schemes(self) -> list[int]:
+        return [m.start() for m in _URL.finditer(self.text)]
+
+    def _holds(self, places: list[int], a: int, z: int) -> bool:
+        at = bisect_left(places, a)
+        return at < len(places) and places[at] < z
+
+    def score(self, a: int, z: int) -> float:
+        """0 to 1: how much text[a:z] looks like a credential (length, kinds of characters, entropy)."""
+        text = self.text
+        if self._holds(self._blocks, a, z - len("-----BEGIN ") + 1):
+            return 1.0
+        a = m.end() if (m := _SCHEME.match(text, a, z)) else a
+        length = z - a
+        if length < 6 or length <= _LONGEST_PLACEHOLDER and text[a:z].lower() in PLACEHOLDERS:
+            return 0.0
+        counts = self._counted(a, z)
+        if len(counts) < 4:
+            return 0.0
+        if text[a] in "<$%{" or "@" not in counts and self._holds(self._schemes, a, z - 2):
+            return 0.0
+        if any(c.isspace() for c in counts):
+            words = {w.strip(".,:!?").lower() for w in text[a:z].split()}
+            return 0.6 if length >= 8 and _PHRASE.match(text, a, z) and not words & (MESSAGE | SENSITIVE.keys()) else 0.0
+        kinds = sum(any(f(c) for c in counts) for f in (str.islower, str.isupper, str.isdigit)) \
+            + any(not c.isalnum() for c in counts)
+        bits = -math.fsum(n / length * math.log2(n / length) for n in counts.values())
+        return min(1.0, 0.15 * kinds + 0.1 * min(bits, 4.0) + 0.02 * min(length, 15))
+
+
 def literal_score(value: str) -> float:
-    """0 to 1: how much ``value`` looks like a credential (length, kinds of characters, entropy)."""
-    if "-----BEGIN " in value[:64]:
-        return 1.0
-    value = value[(m := _SCHEME.match(value)) and m.end() or 0:]
-    length = len(value)
-    if length > SCORED:
-        value = value[:SCORED // 2] + value[-SCORED // 2:]
-    if length < 6 or value.lower() in PLACEHOLDERS or len(set(value)) < 4:
-        return 0.0
-    if value[0] in "<$%{" or "://" in value and "@" not in value:
-        return 0.0
-    if any(c.isspace() for c in value):
-        words = {w.strip(".,:!?").lower() for w in value.split()}
-        return 0.6 if length >= 8 and _PHRASE.match(value) and not words & (MESSAGE | SENSITIVE.keys()) else 0.0
-    kinds = sum(any(f(c) for c in value) for f in (str.islower, str.isupper, str.isdigit)) \
-        + any(not c.isalnum() for c in value)
-    bits = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
-    return min(1.0, 0.15 * kinds + 0.1 * min(bits, 4.0) + 0.02 * min(len(value), 15))
+    """The score of a literal by itself."""
+    return Literals(value).score(0, len(value))
 
 
 def lexed_spans(text: str, least: float = 0.5) -> list[tuple[int, int]]:
@@ -127,6 +171,7 @@ def lexed_spans(text: str, least: float = 0.5) -> list[tuple[int, int]]:
     starts: dict[int, int] = {}        # place of a piece -> its number
     constants: dict[str, int] = {}
     scores: dict[tuple[int, int], float] = {}
+    literals = Literals(text)
     visited: dict[int, float] = {}
     found = set()
     run = (0, 0, 0)                    # rest of a long bare literal, and the number of its names
@@ -199,7 +244,7 @@ def lexed_spans(text: str, least: float = 0.5) -> list[tuple[int, int]]:
                     todo.append(piece)
                     continue
                 if piece not in scores:
-                    scores[piece] = literal_score(text[piece[0]:piece[1]])
+                    scores[piece] = literals.score(*piece)
                 if weight * scores[piece] >= least:
                     found.add(piece)
     return sorted(found)

@@ -330,3 +330,26 @@ def test_random_nesting_against_a_plain_reading():
         text, want = made(rng.randrange(1, 5), False)
         got = {text[a:z] for a, z in S.structured_spans(text, S.sensitivity, S.literal_score)}
         assert {x for x in got} == {x for x in want if S.literal_score(x) * 0.9 >= 0.5}, text
+
+
+def test_score_is_of_the_whole_literal():
+    """What tells a credential from a filler or a message may stand anywhere in a long literal."""
+    rng = random.Random(12)
+    inner = "".join(rng.choices("abcdefgXYZ0123456789+/", k=900))
+    for text, found in [(f'pwd = "{"a" * 300}{inner}{"a" * 300}"', True), (f'pwd = "{"ab " * 200}{"ab" * 150}<b> x"', False),
+                        (f'pwd = "{"one two " * 60}please {"one two " * 60}x"', False),
+                        (f'db_pwd: {"a" * 300}{inner}{"a" * 300}', True),
+                        (f'pwd = """{"x" * 80}\n-----BEGIN KEY-----"""', True)]:
+        assert any(s[1] == 3 for s in S.scan(text)) == found, text[:40]
+
+
+def test_shared_counts_give_the_score_of_each_literal():
+    rng = random.Random(13)
+    text = "".join(rng.choices("ab=:/@X7 \n<", weights=[9, 9, 3, 3, 3, 1, 9, 9, 1, 1, 1], k=400)) + "://" + "aX9=" * 9
+    literals = S.Literals(text)
+    for _ in range(2000):
+        a, z = sorted((rng.randrange(len(text)), rng.choice([len(text), rng.randrange(len(text))])))
+        assert literals.score(a, z) == S.literal_score(text[a:z])
+    # many names in one bare run, which all end with it
+    run = "token=Zk83hQ71xV&" * 20_000
+    assert len(S.lexed_spans(run)) >= 20_000
