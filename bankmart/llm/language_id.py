@@ -23,7 +23,7 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SortedHashes, mix64, shipped, slices, stored
@@ -32,6 +32,7 @@ ORDER = 4
 SLICE_BYTES = 1 << 20
 GROUP_BYTES = 8 << 20          # texts that meet one block after the other
 BLOCK_VALUES = 1 << 22         # probabilities (grams x languages) of a block
+ENTROPY_BINS = 1024            # a unit of cross-entropy, that the rejection limits are looked for in
 UNDETERMINED = "und"
 
 
@@ -287,15 +288,41 @@ def _blocks(sizes, languages: int, block_values: int) -> tuple[np.ndarray, int]:
     return block_of, count
 
 
-def fit_languages(documents: DataFrame, block_values: int = BLOCK_VALUES, sample: int = 400,
-                  quantile: float = 0.999) -> LanguageModel:
+def _limits(entropies: DataFrame, quantile: float) -> dict:
+    """The exact ``quantile`` (between two values in proportion) of all rows of ``entropies`` (lang, entropy), by language.
+
+    Counts in ENTROPY_BINS a unit say which one or two bins hold it; only the values of these are put in order.
+    """
+    entropies = entropies.withColumn("bin", F.floor(F.col("entropy") * ENTROPY_BINS))
+    of_lang, of_bin = Window.partitionBy("lang"), Window.partitionBy("lang", "bin").orderBy("entropy")
+
+    def holding(rows: DataFrame) -> DataFrame:
+        """The rows among whose ``n`` values, after the ``before`` ones, are those of the place below or above."""
+        def among(place):
+            return (place >= F.col("before")) & (place < F.col("before") + F.col("n"))
+
+        return rows.withColumn("low", among(F.floor("place"))).withColumn("high", among(F.ceil("place"))) \
+            .where("low or high")
+
+    bins = entropies.groupBy("lang", "bin").agg(F.count("*").alias("n"))
+    wanted = holding(bins.withColumn("before", F.sum("n").over(of_lang.orderBy("bin")) - F.col("n"))
+                     .withColumn("place", (F.sum("n").over(of_lang) - 1) * F.lit(float(quantile))))
+    values = entropies.join(F.broadcast(wanted.select("lang", "bin", "place", F.col("before").alias("start"))),
+                            ["lang", "bin"]).groupBy("lang", "bin", "place", "start", "entropy").agg(F.count("*").alias("n"))
+    found = holding(values.withColumn("before", F.col("start") + F.sum("n").over(of_bin) - F.col("n")))
+    rows = found.groupBy("lang", "place").agg(F.max(F.when(F.col("low"), F.col("entropy"))).alias("low"),
+                                              F.max(F.when(F.col("high"), F.col("entropy"))).alias("high")).collect()
+    return {r.lang: r.low + (r.high - r.low) * (r.place % 1) for r in rows}
+
+
+def fit_languages(documents: DataFrame, block_values: int = BLOCK_VALUES, quantile: float = 0.999) -> LanguageModel:
     """Models of all non-null ``lang`` values of ``documents`` (doc_id, text, lang).
 
     Grams are counted over all its whole texts, and all are kept. The model has as many
     blocks of about ``block_values`` probabilities as that takes; the driver and a task
     hold one at a time (at least the grams around one character). The
-    rejection limits are a quantile of the cross-entropies of about ``sample`` of a
-    language's own documents, plus a tenth.
+    rejection limits are a quantile of the cross-entropies of all of a language's own
+    documents, plus a tenth.
     """
     spark = documents.sparkSession
     rows = documents.where("text is not null and lang is not null").select("doc_id", "text", "lang")
@@ -335,11 +362,6 @@ def fit_languages(documents: DataFrame, block_values: int = BLOCK_VALUES, sample
         parts.append(spark.sparkContext.broadcast(part))
     model = LanguageModel(names, block_of, parts, np.full(len(names), np.inf))
 
-    # about sample texts of each language, by a threshold of a hash: no group is sorted, and none meets in one task
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
-    parts_of = spark.createDataFrame([(r.lang, min(1.0, sample / r.n)) for r in sizes], "lang string, part double")
-    chosen = rows.join(F.broadcast(parts_of), "lang").where(
-        (F.col("part") >= 1) | (F.xxhash64("doc_id", "text") / F.lit(2.0 ** 64) + 0.5 < F.col("part")))
     load = _in_tasks(spark, model)
 
     def run(batches):
@@ -355,12 +377,9 @@ def fit_languages(documents: DataFrame, block_values: int = BLOCK_VALUES, sample
                 yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(own, pa.float64())],
                                                  ["lang", "entropy"])
 
-    own = chosen.select("text", "lang") \
-        .mapInArrow(run, "lang string, entropy double").toPandas()
-    for j, name in enumerate(names):
-        entropy = own.entropy[own.lang == name].to_numpy()
-        if len(entropy):
-            model.limits[j] = np.quantile(entropy, quantile) * 1.1
+    own = stored(rows.select("text", "lang").mapInArrow(run, "lang string, entropy double"), "entropies")
+    limits = _limits(own.where(F.col("lang").isin(names)), quantile)     # others have texts without a letter only
+    model.limits[:] = [limits[x] * 1.1 for x in names]
     return model
 
 

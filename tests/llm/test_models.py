@@ -146,6 +146,31 @@ def test_language_model_keeps_every_gram(spark):
     assert [r[:2] + r[3:] for r in got[0]] == [r[:2] + r[3:] for r in got[1]] and {r[1] for r in got[0]} == {"de", "zh"}
 
 
+def test_limits_are_of_all_documents(spark):
+    """One text in a thousand is unlike the others: the limit knows all of them."""
+    rng = random.Random(21)
+    words = {"en": "the that this with then when there".split(), "de": "die der und das ist nicht ein".split()}
+    rows = [(i, " ".join(rng.choices(words[x], k=rng.randrange(3, 30))), x)
+            for i, x in enumerate(rng.choices(["en", "de"], k=3000))]
+    rows += [(i, "qxz vvk " * 4, "en") for i in range(3000, 3004)] + [(9000, "...", "none"), (9001, "", "de")] + rows[:40]
+    model = L.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["de", "en", "none"] or model.languages == ["de", "en"]
+    for j, name in enumerate(["de", "en"]):
+        own = model.cross_entropy(*L.Units().of([t for _, t, x in rows if x == name]))[:, j]
+        assert np.isclose(model.limits[j], np.quantile(own, 0.999) * 1.1, rtol=1e-9)
+
+
+def test_limits_of_repeated_values(spark):
+    rng = np.random.default_rng(22)
+    rows = {"one": [3.25], "same": [2.5] * 700, "two": [1.0, 9.0],
+            "many": np.r_[rng.normal(3, 1e-4, 900).repeat(3), rng.normal(5, 1, 300)].tolist()}
+    frame = spark.createDataFrame([(x, v) for x, own in rows.items() for v in own], "lang string, entropy double")
+    for quantile in (0.999, 0.5, 1.0, 0.0):
+        got = L._limits(frame, quantile)
+        assert got.keys() == rows.keys() and all(np.isclose(got[x], np.quantile(own, quantile), rtol=1e-12)
+                                                 for x, own in rows.items())
+
+
 def test_language_held_out(spark, sf):
     rows = Q.op3_language_id(spark, sf).collect()
     lang = {r.doc_id: r.lang for r in Q.table(spark, sf, "documents").collect()}
