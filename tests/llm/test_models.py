@@ -83,6 +83,47 @@ def test_toxicity_sample_of_a_small_language(spark):
     assert abs(drawn.drawn_for.sum() - len(rows)) < 500
 
 
+def test_toxicity_learns_from_every_document(spark):
+    """Each of 300 insults stands in two of 20,000 documents only; odd labels, repeated and long rows."""
+    rng = np.random.default_rng(7)
+    insults = [f"insult{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    insults = [x[::-1] for x in insults]                   # no common beginning
+    rows = []
+    for i in range(20_000):
+        words = [f"word{w}" for w in rng.integers(0, 300, 12)]
+        if i < 600:
+            words[rng.integers(0, 12)] = insults[i % 300]
+        rows.append((i, " ".join(words), "de" if i % 3 else None, int(i < 600)))
+    long_one = "rare " + "word1 " * 1_600_000                # of more than 8 MB
+    extra = [(20_000, long_one, "en", 0), (20_001, None, "en", 1), (20_002, "unlabelled", "en", None)] + rows[:50]
+    table = spark.createDataFrame(rows + extra, "doc_id long, text string, lang string, toxic int").repartition(4)
+    documents, labels = table.select("doc_id", "text", "lang"), table.select("doc_id", "toxic")
+    held = T.labelled_texts(documents, labels)
+    counts = T._all_counts(held)
+    assert counts.texts.tolist() == [19_401, 600] and 0.15 < 1 - counts.learned.sum() / 20_001 < 0.25
+    learned = held.where("learn")
+    only = T._all_counts(learned)
+    assert (only.bad == counts.bad).all() and (only.good == counts.good).all()
+    assert sum(x.sum() for x in counts.words.values()) == 12 * sum(r[2] == "de" for r in rows) + 1_600_001
+    model = T.fit_toxicity(documents, labels, epochs=2)
+    score = model.score(*T.Words().of(pa.array([r[1] for r in rows])))
+    assert (score[:600] >= 0.5).mean() > 0.85 and (score[600:] < 0.5).mean() > 0.99
+    fresh = model.score(*T.Words().of(pa.array([f"word1 word2 {x} word7 word9" for x in insults])))
+    assert (fresh >= 0.5).mean() > 0.85
+
+
+def test_places_of_a_long_text(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 500, n)) for n in (0, 1, 700, 3, 2, 900, 0)]
+    model = T.fit(labelled(60)[0], np.arange(60) % 2, ["en"] * 60, epochs=1)
+    rows, ends = T.Words().of(pa.array(texts))
+    model.tables = [rng.normal(0, 1, t.shape).astype(np.float32) for t in model.tables]
+    want = T.pool(model, rows, ends, places=True)
+    monkeypatch.setattr(T, "POOLED_WORDS", 100)
+    got = T.pool(model, rows, ends, places=True)
+    assert np.allclose(got[0], want[0], atol=1e-5) and (got[1] == want[1]).all()
+
+
 def test_held_out_rule(spark, sf):
     got = {r.doc_id: r.held_out for r in Q.op2_toxicity(spark, sf).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in got} and len(got) == 200
