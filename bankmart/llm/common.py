@@ -250,6 +250,25 @@ class SortedHashes:
         return at
 
 
+FINISHED_EDGES = 1 << 16     # that one task joins
+
+
+def _smallest(frames):
+    """(node, component) of a graph of few edges (a, b)."""
+    import pandas as pd
+
+    pdf = pd.concat(list(frames) or [pd.DataFrame({"a": [], "b": []}, dtype="int64")])
+    names, at = np.unique(np.concatenate([pdf.a.to_numpy(), pdf.b.to_numpy()]), return_inverse=True)
+    a, b = at[:len(pdf)], at[len(pdf):]
+    root = np.arange(len(names))
+    while (root[a] != root[b]).any():
+        x, y = root[a], root[b]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))     # a root points at smaller roots only
+        while (root[root] != root).any():
+            root = root[root]
+    yield pd.DataFrame({"node": names, "component": names[root]})
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): one row (node, component).
 
@@ -257,14 +276,22 @@ def components(edges: DataFrame) -> DataFrame:
     not in the result; null ends and loops are ignored. Each round points every
     node at its smallest neighbour, follows the pointers to their roots' side
     twice, and contracts the graph; pointers only lead to smaller nodes, so
-    they cannot form a cycle. Rounds end when no edge is left. All steps are joins and
+    they cannot form a cycle. Rounds end when FINISHED_EDGES or fewer are left, which one
+    task joins. All steps before are joins and
     pre-aggregated groupings: a node of very many edges is no single group.
     """
     edges = stored(edges.where("a is not null and b is not null and a != b")
                    .select("a", "b").distinct(), "edges")
+    kind = edges.schema["a"].dataType.simpleString()
+
+    def finished(edges: DataFrame) -> DataFrame:
+        return stored(edges.coalesce(1).mapInPandas(_smallest, f"node {kind}, component {kind}"), "joined")
+
+    if edges.count() <= FINISHED_EDGES:
+        return finished(edges)
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     labels = stored(nodes.select("node", F.col("node").alias("component")), "labels")
-    while not edges.isEmpty():
+    while edges.count() > FINISHED_EDGES:
         both = edges.select("a", "b").union(edges.select("b", "a"))
         step = both.groupBy("a").agg(F.min("b").alias("b")).select(
             F.col("a").alias("node"), F.least("a", "b").alias("to"))
@@ -280,4 +307,6 @@ def components(edges: DataFrame) -> DataFrame:
         edges = stored(edges.join(left, "a").join(right, "b").where("x != y")
                        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
                        .distinct(), "edges")
-    return labels
+    left = finished(edges).select(F.col("node").alias("component"), F.col("component").alias("x"))
+    return stored(labels.join(left, "component", "left").select("node", F.coalesce("x", "component").alias("component")),
+                  "labels")

@@ -31,8 +31,6 @@ between different sets are found without listing all pairs:
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -211,9 +209,13 @@ _FIRST = ("kind string, doc_id long, digest long, n long, signature binary, chun
 def _first_pass(words: int, percent: int, buckets: int):
     """Per document a row with its set's size and signature; per (chunk, bucket) the prefixes."""
     def run(batches):
+        from itertools import count
+
         import pyarrow as pa
+        from pyspark import TaskContext
 
         hasher, reaches = Hasher(words), _remembered(percent)
+        partition, numbers = TaskContext.get().partitionId(), count()     # same names in each run
         schema = pa.schema([
             ("kind", pa.string()), ("doc_id", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()),
             ("signature", pa.binary()), ("chunk", pa.string()), ("number", pa.int32()),
@@ -225,7 +227,7 @@ def _first_pass(words: int, percent: int, buckets: int):
                 [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         def fresh():
-            return [], uuid.uuid4().hex, 0, set()
+            return [], f"{partition}-{next(numbers)}", 0, set()
 
         def packed(chunk, name):
             rows = [("prefix", None, None, None, None, name, None, *x) 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -17,6 +18,7 @@ from bankmart.llm import embedding_dedup as D
 from bankmart.llm import mixing as M
 from bankmart.llm import queries as Q
 from bankmart.llm import sharding as H
+from bankmart.llm import common
 from bankmart.llm.common import components
 from bankmart.llm.secret_scan import redact, scan
 from bankmart.llm.sql import ORACLE_SQL
@@ -40,6 +42,25 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_by_rounds_and_in_one_task(spark, monkeypatch):
+    """Few edges are joined at once, with no rounds; many by rounds first, with the same result."""
+    rng = random.Random(17)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(500, 560)]
+    want = {n: n for e in edges for n in e if e[0] != e[1]}
+    for _ in range(len(want)):
+        for a, b in edges:
+            if a != b:
+                want[a] = want[b] = min(want[a], want[b])
+    frame = spark.createDataFrame(edges, "a long, b long")
+    written = []
+    monkeypatch.setattr(common, "stored", lambda df, name, *by, own=common.stored: (written.append(name), own(df, name, *by))[1])
+    for few, count in ((1 << 16, 2), (40, None), (0, None)):
+        monkeypatch.setattr(common, "FINISHED_EDGES", few)
+        written.clear()
+        assert {r.node: r.component for r in components(frame).collect()} == want
+        assert count is None or len(written) == count
+
+
 def water_level(sizes, shares=(3, 1, 2)):
     weight = np.array([shares[i % len(shares)] for i in range(len(sizes))], float)
     cap, target = 2.0 * np.array(sizes), np.zeros(len(sizes))
