@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +41,18 @@ def shipped(spark: SparkSession, value):
     return lambda: cloudpickle.loads(data.value)
 
 
+@contextmanager
+def lent(spark: SparkSession, value):
+    """``shipped`` for the jobs of a with block: the broadcast is gone after it, from the driver too."""
+    from pyspark import cloudpickle
+
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    try:
+        yield lambda: cloudpickle.loads(data.value)
+    finally:
+        data.destroy()
+
+
 def give_back() -> None:
     """Return freed memory to the system; allocators would keep what a finished step has used."""
     import ctypes

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, lean, mix64, shipped, slices, stored, stretches, text_bytes, word_bounds
+from .common import give_back, lean, lent, mix64, shipped, slices, stored, stretches, text_bytes, word_bounds
 
 SLICE_BYTES = 1 << 18
 LEARNED_BYTES = 1 << 20      # of texts that are put in a random order together
@@ -509,20 +509,25 @@ def _counted(batches):
 
 
 def _all_counts(rows: DataFrame) -> Counts:
-    """The sums over all tasks, of a size that the tables and languages bound."""
+    """The sums over all tasks, of a size that the tables and languages bound; they come as Arrow columns, as
+    an object for each of them would be many times as large."""
     sums = rows.mapInArrow(lean(_counted), _COUNTED).groupBy("kind", "lang", "row").agg(
-        F.sum("bad").alias("bad"), F.sum("good").alias("good")).toPandas()
+        F.sum("bad").alias("bad"), F.sum("good").alias("good")).toArrow()
+    kind, row, bad, good = (sums.column(x).to_numpy() for x in ("kind", "row", "bad", "good"))
     counts = Counts()
-    for kind, own in sums.groupby("kind"):
-        row, bad, good = (own[x].to_numpy() for x in ("row", "bad", "good"))
-        if kind < 3:
-            counts.bad[kind][row], counts.good[kind][row] = bad, good
-        elif kind == 3:
-            for name, part in own.groupby("lang"):
-                counts.words[name] = np.zeros(_LANGUAGE_ROWS, np.int64)
-                counts.words[name][part.row] = part.bad
-        else:
-            (counts.texts if kind == 4 else counts.learned)[:] = good[0], bad[0]
+    for j in range(3):
+        own = kind == j
+        counts.bad[j][row[own]], counts.good[j][row[own]] = bad[own], good[own]
+    words = np.flatnonzero(kind == 3)
+    lang = sums.column("lang").take(words).combine_chunks().dictionary_encode()
+    number = lang.indices.to_numpy(zero_copy_only=False)
+    for j, name in enumerate(lang.dictionary.to_pylist()):
+        own = words[number == j]
+        counts.words[name] = np.zeros(_LANGUAGE_ROWS, np.int64)
+        counts.words[name][row[own]] = bad[own]
+    for j, both in ((4, counts.texts), (5, counts.learned)):
+        for at in np.flatnonzero(kind == j):
+            both[:] = good[at], bad[at]
     return counts
 
 
@@ -564,36 +569,40 @@ def _epoch(load, seed: int):
 
 def _learned(training: Training, learn: DataFrame, seed: int) -> None:
     """One epoch over all documents: the mean of what the tasks have learned."""
-    load = shipped(learn.sparkSession, training)
-    means = [(F.sum(x) / F.sum("n")).alias(x) for x in ("a", "b", "c", "d", "square")]
-    sums = learn.mapInArrow(lean(_epoch(load, seed)), _LEARNED).groupBy("kind", "row").agg(*means)
-    for kind, own in sums.select("kind", "row", *(F.col(x).cast("float") for x in ("a", "b", "c", "d", "square"))) \
-            .toPandas().groupby("kind"):
-        row = own.row.to_numpy()
-        if kind == 3:
-            training.take(own.a.to_numpy(np.float64)[np.argsort(row)])
-        else:
-            training.model.tables[kind][row] += own[["a", "b", "c", "d"]].to_numpy(np.float32)
-            training.squares[kind][row] += own.square.to_numpy(np.float32)
+    means = [(F.sum(x) / F.sum("n")).cast("float").alias(x) for x in ("a", "b", "c", "d", "square")]
+    with lent(learn.sparkSession, training) as load:
+        sums = learn.mapInArrow(lean(_epoch(load, seed)), _LEARNED).groupBy("kind", "row").agg(*means).toArrow()
+    kind, row = sums.column("kind").to_numpy(), sums.column("row").to_numpy()
+    values = np.stack([sums.column(x).to_numpy() for x in ("a", "b", "c", "d")], axis=1)
+    square = sums.column("square").to_numpy()
+    for j in range(3):
+        own = kind == j
+        training.model.tables[j][row[own]] += values[own]
+        training.squares[j][row[own]] += square[own]
+    own = kind == 3
+    if own.any():
+        training.take(values[own, 0].astype(np.float64)[np.argsort(row[own])])
 
 
 def _logit_bins(model: ToxicityModel, held: DataFrame):
     """Texts by guessed language and range of logits, with the least and the greatest logit."""
-    load = shipped(held.sparkSession, model)
+    def run(load):
+        def logits(batches):
+            import pyarrow as pa
 
-    def run(batches):
-        import pyarrow as pa
+            model = load()
+            for rows, ends, toxic, _ in _encoded(batches, SLICE_BYTES):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(model.guess(rows, ends).astype(np.int32)), pa.array(toxic),
+                     pa.array(model.logits(rows, ends).astype(np.float64))], ["guess", "toxic", "logit"])
 
-        model = load()
-        for rows, ends, toxic, _ in _encoded(batches, SLICE_BYTES):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(model.guess(rows, ends).astype(np.int32)), pa.array(toxic),
-                 pa.array(model.logits(rows, ends).astype(np.float64))], ["guess", "toxic", "logit"])
+        return logits
 
-    bins = held.mapInArrow(lean(run), "guess int, toxic long, logit double").groupBy(
-        "guess", F.floor(F.col("logit") * LOGIT_BINS).alias("bin")).agg(
-        F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"), F.min("logit").alias("low"),
-        F.max("logit").alias("high")).toPandas()
+    with lent(held.sparkSession, model) as load:
+        bins = held.mapInArrow(lean(run(load)), "guess int, toxic long, logit double").groupBy(
+            "guess", F.floor(F.col("logit") * LOGIT_BINS).alias("bin")).agg(
+            F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"), F.min("logit").alias("low"),
+            F.max("logit").alias("high")).toArrow().to_pandas()
     return bins.assign(bads=bins.bad, goods=bins.good)
 
 
@@ -601,6 +610,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, epochs: int = 6) -> To
     """Fit on all labelled documents (``labelled_texts``): the driver only holds the model and sums of its size."""
     rows = labelled_texts(documents, labels)
     training = Training(_all_counts(rows), np.random.default_rng(0))
+    give_back()              # what the counts took
     if not training.constant:
         for epoch in range(epochs):
             _learned(training, rows.where("learn"), epoch)

@@ -112,6 +112,38 @@ def test_toxicity_learns_from_every_document(spark):
     assert (fresh >= 0.5).mean() > 0.85
 
 
+def test_driver_holds_counts_as_columns(spark):
+    """The sums of some 100,000 table rows reach the driver as arrays, not as an object a row, whatever the session says."""
+    import tracemalloc
+
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9))
+    rows = [(i, " ".join(word() for _ in range(800)), ("en", "de", None)[i % 3]) for i in range(60)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    labelled = T.labelled_texts(documents, labels)
+    key = "spark.sql.execution.arrow.pyspark.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    tracemalloc.start()
+    try:
+        counts = T._all_counts(labelled)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        spark.conf.set(key, before)
+    whole = T.Counts()
+    for r in labelled.collect():
+        words, ends = T.Words().of(pa.array([zlib.decompress(r.packed).decode()]))
+        whole.add(words, ends, np.array([r.toxic]), [r.lang], np.array([r.learn]))
+    assert np.array_equal(counts.bad, whole.bad) and np.array_equal(counts.good, whole.good)
+    assert (whole.bad + whole.good > 0).sum() > 80_000
+    assert counts.texts.tolist() == whole.texts.tolist() and counts.learned.tolist() == whole.learned.tolist()
+    assert counts.words.keys() == whole.words.keys() == {"en", "de"}
+    assert all(np.array_equal(counts.words[x], whole.words[x]) for x in whole.words)
+    assert peak < 30 << 20
+
+
 def test_places_of_a_long_text(monkeypatch):
     rng = np.random.default_rng(4)
     texts = [" ".join(f"w{x}" for x in rng.integers(0, 500, n)) for n in (0, 1, 700, 3, 2, 900, 0)]
