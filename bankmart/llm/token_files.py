@@ -18,7 +18,6 @@ import os
 import struct
 import uuid
 import zlib
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 
 from bankmart.plans.sizing import input_bytes
 
-from .common import PartCache, ranges, scratch, shuffle_width, slices, stored, text_bytes
+from .common import ranges, scratch, shuffle_width, slices, stored, text_bytes
 
 SLICE_BYTES = 12 << 20
 JOINED = 2048                 # parts that go through the tokenizer as one text
@@ -38,6 +37,8 @@ _SEEK_TABLE = 0x184D2A5E
 _SEEKABLE_MAGIC = 0x8F92EAB1
 
 
+_WHITE = np.zeros(256, bool)
+_WHITE[[*range(9, 14), *range(28, 33)]] = True          # as str.isspace
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _SIGN = np.zeros(256, bool)
@@ -67,6 +68,63 @@ def cut_points(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+class PartTable:
+    """Ids of parts of texts that a task has met, as Arrow and numpy arrays; forgets all beyond ``LIMIT`` parts or ``BYTES`` of them."""
+
+    LIMIT, BYTES = 1 << 20, 96 << 20
+    ENTRY = 64                 # bytes of a part beside its characters and ids, with its place in the table that looks it up
+
+    def __init__(self, encode):
+        self.encode = encode       # large string array -> (ids of all, sizes)
+        self._forget()
+
+    def _forget(self) -> None:
+        import pyarrow as pa
+
+        self.known = pa.array([], pa.large_string())
+        self.flat, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.held = 0
+
+    def of(self, parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, begin of each part in them, size of each part) for an array of distinct parts."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def found():
+            return pc.fill_null(pc.index_in(parts, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+        at = found()
+        new = parts.filter(pa.array(at < 0))
+        length = len(text_bytes(new)[0])
+        if len(self.known) and (len(self.known) + len(new) > self.LIMIT
+                                or self.held + self.ENTRY * len(new) + 4 * length > self.BYTES):
+            self._forget()
+            at, new = np.full(len(parts), -1), parts
+            length = len(text_bytes(new)[0])
+        if len(new):
+            flat, size = self.encode(new)
+            self.held += self.ENTRY * len(new) + length + 4 * len(flat)
+            at[at < 0] = len(self.known) + np.arange(len(new))
+            self.known = pa.concat_arrays([self.known, new])
+            self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
+            self.size = np.concatenate([self.size, size])
+        return self.flat, (np.cumsum(self.size) - self.size)[at], self.size[at]
+
+
+def _plain(parts, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which parts begin with one space and do not end with white space."""
+    begin, size = offsets[:-1], np.diff(offsets)
+    plain = size > 1
+    plain[plain] = raw[begin[plain]] == 0x20
+    ends = np.stack([raw[begin[plain] + 1], raw[offsets[1:][plain] - 1]])
+    white = _WHITE[ends].any(0)
+    wide = np.flatnonzero((ends >= 0x80).any(0) & ~white)      # white space may be wider than a byte
+    at = np.flatnonzero(plain)
+    white[wide] = [p[1].isspace() or p[-1].isspace() for p in parts.take(at[wide]).to_pylist()]
+    plain[at[white]] = False
+    return plain
+
+
 class Encoder:
     """Ids of many texts at once, by the tokenizers library."""
 
@@ -81,39 +139,33 @@ class Encoder:
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.bytes[i] = len(token)
-        self.cache = PartCache(self._parts)
+        self.cache = PartTable(self._parts)
 
     def _encoded(self, texts: list) -> list:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _parts(self, parts: list) -> tuple[np.ndarray, np.ndarray]:
+    def _parts(self, parts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct parts. Parts that begin with one space and do not end with white space
         are encoded many at once, and told apart by the bytes of their ids."""
-        plain = [len(p) > 1 and p[0] == " " and not (p[1].isspace() or p[-1].isspace()) for p in parts]
-        lists: list = [None] * len(parts)
+        import pyarrow as pa
+
+        plain = _plain(parts, *text_bytes(parts))
         size = np.zeros(len(parts), np.int64)
-        alone = [i for i, x in enumerate(plain) if not x]
-        for i, ids in zip(alone, self._encoded([parts[i] for i in alone])):
-            lists[i], size[i] = ids, len(ids)
-        together = [i for i, x in enumerate(plain) if x]
-        groups = [together[a:a + JOINED] for a in range(0, len(together), JOINED)]
-        for group, ids in zip(groups, self._encoded(["".join(parts[i] for i in g) for g in groups])):
-            ends = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in (parts[i] for i in group)])
-            cut = np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1
-            lists[group[0]] = ids
-            size[group] = np.diff(cut, prepend=0)
-        total = np.fromiter(chain.from_iterable(x for x in lists if x is not None), np.uint32)
+        lists = self._encoded(parts.filter(pa.array(~plain)).to_pylist())
+        size[~plain] = [len(x) for x in lists]
+        raw, offsets = text_bytes(parts.filter(pa.array(plain)))
+        ends = [min(a + JOINED, len(offsets) - 1) for a in range(0, len(offsets) - 1, JOINED)]
+        joined = self._encoded([raw[offsets[z - 1 - (z - 1) % JOINED]:offsets[z]].tobytes().decode() for z in ends])
+        cut = []                  # of the ids in each joined text, where a part ends
+        for z, ids in zip(ends, joined):
+            a = z - 1 - (z - 1) % JOINED
+            at = np.searchsorted(np.cumsum(self.bytes[ids]), offsets[a + 1:z + 1] - offsets[a]) + 1
+            cut.append(np.diff(at, prepend=0))
+        size[plain] = np.concatenate([np.zeros(0, np.int64), *cut])
+        total = np.concatenate([np.zeros(0, np.int32), *lists, *joined])
         begin = np.zeros(len(parts), np.int64)      # where each part's ids are in ``total``
-        at = 0
-        first = {g[0]: g for g in groups}
-        for i, ids in enumerate(lists):
-            if ids is None:
-                continue
-            if i in first:
-                begin[first[i]] = at + np.cumsum(size[first[i]]) - size[first[i]]
-            else:
-                begin[i] = at
-            at += len(ids)
+        order = np.concatenate([np.flatnonzero(~plain), np.flatnonzero(plain)])
+        begin[order] = np.cumsum(size[order]) - size[order]
         return ranges(total, begin, size), size
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +179,7 @@ class Encoder:
             len(cuts), pa.py_buffer(np.append(cuts, len(raw)).astype(np.int64)),
             pa.py_buffer(np.ascontiguousarray(raw))).dictionary_encode()
         index = parts.indices.to_numpy(zero_copy_only=False)
-        flat, begin, size = self.cache.of(parts.dictionary.to_pylist())
+        flat, begin, size = self.cache.of(parts.dictionary)
         at = np.searchsorted(cuts, offsets)
         if self.end_id is not None:     # one more part, after each text
             index = np.insert(index, at[1:], len(size))

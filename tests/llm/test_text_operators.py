@@ -190,6 +190,38 @@ def test_parts_encode_as_whole_texts(texts, bpe):
     assert len(K.Encoder(bpe, None).encode(pa.array([None, ""], pa.string()))[0]) == 0
 
 
+def test_distinct_parts_are_encoded_once(bpe):
+    """Half a million distinct words fit into what a task remembers; none goes through the tokenizer twice."""
+    encoder, plain = K.Encoder(bpe, 2), Tokenizer.from_file(bpe)
+    seen, own = [], encoder._encoded
+    encoder._encoded = lambda texts: (seen.append(sum(map(len, texts))), own(texts))[1]
+    texts = [" ".join(f"x{i * 560 + j}y" for j in range(560)) for i in range(1000)]
+    first = [encoder.encode(pa.array(texts[a:a + 250])) for a in range(0, 1000, 250)]
+    sent = sum(seen)
+    again = [encoder.encode(pa.array(texts[a:a + 250])) for a in range(0, 1000, 250)]
+    assert sum(seen) == sent <= sum(map(len, texts))
+    for (ids, ends), (same, at) in zip(first, again):
+        assert ids.tolist() == same.tolist() and ends.tolist() == at.tolist()
+    ids, ends = first[2]
+    assert ids[ends[7]:ends[8]].tolist() == [*plain.encode(texts[507], add_special_tokens=False).ids, 2]
+
+
+def test_part_table_is_bounded_by_bytes(monkeypatch):
+    def encode(parts):
+        parts = parts.to_pylist()
+        return np.concatenate([np.arange(len(p)) for p in parts]), np.array([len(p) for p in parts])
+
+    table = K.PartTable(encode)
+    monkeypatch.setattr(K.PartTable, "BYTES", 50_000)
+    for i in range(100):
+        parts = [f"{i // 2}-{j}-" + "x" * 200 for j in range(i % 2, 20 + i % 2)]
+        flat, begin, size = table.of(pa.array(parts, pa.large_string()))
+        assert [flat[a:a + n].tolist() for a, n in zip(begin, size)] == [list(range(len(p))) for p in parts]
+        assert table.held <= 50_000 and len(table.known) <= 60
+    empty = K.PartTable(encode).of(pa.array([], pa.large_string()))
+    assert [len(x) for x in empty] == [0, 0, 0]
+
+
 def test_files_round_trip(spark, sf, texts, bpe):
     plain = Tokenizer.from_file(bpe)
     documents = spark.read.parquet(f"{sf}/documents.parquet").repartition(5)
