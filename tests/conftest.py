@@ -26,6 +26,16 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def no_views_of_other_modules(request):
+    """Session temp views that another module's tests have left would be listed beside the views of every database."""
+    if "spark" in request.fixturenames:
+        session = request.getfixturevalue("spark")
+        for found in session.catalog.listTables():
+            if found.isTemporary:
+                session.catalog.dropTempView(found.name)
+
+
 @pytest.fixture(scope="session")
 def sf_small() -> str:
     return SF_SMALL
