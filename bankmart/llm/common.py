@@ -23,13 +23,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), **options) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (cuts the lineage).
 
     Later jobs then neither recompute it nor depend on any executor's disk.
     """
     path = scratch(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.options(**options).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

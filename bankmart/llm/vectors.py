@@ -11,10 +11,10 @@ from .common import hash_sample
 SCHEMA = "id long, dim int, digest binary, vector binary"
 
 
-def usable(vectors: DataFrame, id_column: str, column: str, *more: str) -> DataFrame:
+def usable(vectors: DataFrame, id_column: str, column: str, *more: str, kind: str = "f8") -> DataFrame:
     """Rows whose vector takes part: (id, dim, digest, vector, *more).
 
-    ``vector`` holds the components as 64-bit floats, ``digest`` is their 128-bit hash. Left out are null and empty vectors, zero
+    ``vector`` holds the components as floats of ``kind``, ``digest`` is the 128-bit hash of them as 64-bit floats. Left out are null and empty vectors, zero
     ones, and those with a null or non-finite component. ``more`` are columns to carry along.
     """
     numbers = F.col(column).cast("array<double>")
@@ -34,23 +34,28 @@ def usable(vectors: DataFrame, id_column: str, column: str, *more: str) -> DataF
             offsets = lists.offsets.to_numpy()
             offsets = offsets - offsets[0]
             data = [flat[a:z].tobytes() for a, z in zip(offsets[:-1], offsets[1:])]
+            kept = data if kind == "f8" else [flat[a:z].astype(kind).tobytes() for a, z in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(np.diff(offsets), pa.int32()),
                  pa.array([xxhash.xxh3_128_digest(d) for d in data], pa.binary()),
-                 pa.array(data, pa.binary()), *(batch.column(f.name) for f in carried)],
+                 pa.array(kept, pa.binary()), *(batch.column(f.name) for f in carried)],
                 ["id", "dim", "digest", "vector", *(f.name for f in carried)])
 
     extra = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in carried)
     return rows.mapInArrow(run, SCHEMA + extra)
 
 
-def matrix(column) -> np.ndarray:
-    """The vectors of a pandas column of one dimension, as unit rows."""
-    x = np.frombuffer(b"".join(column), np.float64).reshape(len(column), -1)
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    """The rows of a matrix at unit length."""
     x = x / np.abs(x).max(axis=1, keepdims=True)      # neither overflow nor underflow in the norm
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def matrix(column, kind: str = "f8") -> np.ndarray:
+    """The vectors of a pandas column of one dimension, as unit rows."""
+    return unit_rows(np.frombuffer(b"".join(column), kind).reshape(len(column), -1).astype(np.float64))
+
+
 def sample(rows: DataFrame, limit: int) -> dict:
     """Unit vectors of up to ``limit`` rows, chosen by a hash of their ids, by dimension (bounded)."""
     found = hash_sample(rows.select("id", "dim", "digest", "vector"), "id", limit).toPandas() \
