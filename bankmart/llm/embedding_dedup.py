@@ -289,7 +289,7 @@ def _across(threshold: float, kind: str):
 def _crossed(chunks: DataFrame, unit: int, count: int) -> DataFrame:
     """Every two chunks of a unit, each chunk with itself too: read where they are stored, not dealt out."""
     own = chunks.where(F.col("unit") == unit)
-    left = own.select([F.col(c).alias(f"a_{c}") for c in own.columns]).coalesce(max(1, count // 4))
+    left = own.select([F.col(c).alias(f"a_{c}") for c in own.columns]).coalesce(max(4, count // 4))
     right = own.select([F.col(c).alias(f"b_{c}") for c in own.columns]).hint("shuffle_replicate_nl")
     return left.crossJoin(right).where("a_no <= b_no")
 
